@@ -1,0 +1,16 @@
+"""Boolean texts."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Accepted spellings, compared in lower case.
+TRUE_TEXTS = ["true", "t", "yes", "y", "1"]
+FALSE_TEXTS = ["false", "f", "no", "n", "0"]
+
+
+def parse_flag(text: Column) -> Column:
+    """Boolean of a text, null when it is neither."""
+    lowered = F.lower(F.trim(text))
+    return F.when(lowered.isin(TRUE_TEXTS), True).when(lowered.isin(FALSE_TEXTS), False)
