@@ -7,6 +7,8 @@ once by the join that applies the repair.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,31 +23,33 @@ CODE_COLUMNS: dict[str, tuple[str, str]] = {
 PAIR = ["kind", "id", "name"]
 
 
-def pair_structs(extra: dict[str, dict[str, Column]] | None = None) -> Column:
-    """One array element (kind, id, name) per code kind of a row, with further fields per kind."""
-    extra = extra or {}
-    return F.array(
-        *[
-            F.struct(
-                F.lit(kind).alias("kind"),
-                F.col(id_column).alias("id"),
-                F.col(name_column).alias("name"),
-                *[value.alias(name) for name, value in extra.get(kind, {}).items()],
-            )
-            for kind, (id_column, name_column) in CODE_COLUMNS.items()
-        ]
+def code_counts(rows: DataFrame, sums: Sequence[str] = ()) -> DataFrame:
+    """Distinct (kind, id, name) with the sums of ``sums`` over its rows.
+
+    All kinds come from one scan and one shuffle of map-side combined rows.
+    Every row counts once per kind, under null codes, too.
+    """
+    columns = [c for pair in CODE_COLUMNS.values() for c in pair]
+    grouped = rows.groupingSets([list(pair) for pair in CODE_COLUMNS.values()], *columns).agg(
+        *[F.grouping(id_column).alias(f"_without_{kind}") for kind, (id_column, _) in CODE_COLUMNS.items()],
+        *[F.sum(name).alias(name) for name in sums],
+    )
+    of_kind = [(F.col(f"_without_{kind}") == 0, kind, pair) for kind, pair in CODE_COLUMNS.items()]
+    return grouped.select(
+        F.coalesce(*[F.when(test, kind) for test, kind, _ in of_kind]).alias("kind"),
+        F.coalesce(*[F.when(test, F.col(id_column)) for test, _, (id_column, _) in of_kind]).alias("id"),
+        F.coalesce(*[F.when(test, F.col(name_column)) for test, _, (_, name_column) in of_kind]).alias("name"),
+        *sums,
     )
 
 
-def code_pairs(rows: DataFrame) -> DataFrame:
-    """Distinct (kind, id, name). Both kinds come from one scan and one shuffle, combined map-side."""
-    pairs = rows.select(F.explode(pair_structs()).alias("pair")).select("pair.*")
-    return pairs.filter("id IS NOT NULL AND name IS NOT NULL").distinct()
+def known_pairs(counts: DataFrame) -> DataFrame:
+    return counts.select(PAIR).filter("id IS NOT NULL AND name IS NOT NULL")
 
 
-def mirrored(pairs: DataFrame) -> DataFrame:
-    """Pairs with id and name exchanged, to repair names by id instead of ids by name."""
-    return pairs.select("kind", F.col("name").alias("id"), F.col("id").alias("name"))
+def code_pairs(rows: DataFrame) -> DataFrame:
+    """Distinct (kind, id, name)."""
+    return known_pairs(code_counts(rows))
 
 
 def _canonical(member: str) -> Column:
@@ -186,6 +190,18 @@ def pair_repairs(pairs: DataFrame) -> DataFrame:
     return rewritten.filter("new_id <> id OR new_name <> name")
 
 
+def name_repairs(pairs: DataFrame) -> DataFrame:
+    """``pair_repairs`` with the roles of id and name exchanged: names are repaired by id."""
+    exchanged = pairs.select("kind", F.col("name").alias("id"), F.col("id").alias("name"))
+    return pair_repairs(exchanged).select(
+        "kind",
+        F.col("name").alias("id"),
+        F.col("id").alias("name"),
+        F.col("new_name").alias("new_id"),
+        F.col("new_id").alias("new_name"),
+    )
+
+
 def apply_repairs(rows: DataFrame, repairs: DataFrame) -> DataFrame:
     """Rewrite the codes of every row; batch and streaming rows alike.
 

@@ -17,19 +17,13 @@ from ..settings import STRICT_THRESHOLD, TOP_N
 def scan_codes_and_profile(details: DataFrame, rules: RuleSet = FIELD_RULES) -> DataFrame:
     """Pairs and rule failures in one pass over the raw records.
 
-    Every row yields one (kind, id, name) per kind, and its failure counts
-    ride along with the airport pair only, so each row is counted once. The
-    result has as many rows as there are distinct pairs.
+    The failure counts are summed per pair, so the result has as many rows as
+    there are distinct pairs, and the counts over one kind are those of all rows.
     """
-    no_failure = {name: F.lit(0) for name in ["total", *rules]}
-    counted = {"total": F.lit(1), **{field: validate.failures(field, rules) for field in rules}}
-    per_kind = {codes.AIRPORTS: counted, codes.SPECIES: no_failure}
-    return (
-        details.select(F.explode(codes.pair_structs(per_kind)).alias("pair"))
-        .select("pair.*")
-        .groupBy(codes.PAIR)
-        .agg(*[F.sum(name).alias(name) for name in no_failure])
-    )
+    failures = [validate.failures(field, rules).alias(f"failed_{field}") for field in rules]
+    columns = [c for pair in codes.CODE_COLUMNS.values() for c in pair]
+    counted = details.select(*columns, F.lit(1).alias("total"), *failures)
+    return codes.code_counts(counted, ["total", *[f"failed_{field}" for field in rules]])
 
 
 @dataclass(frozen=True)
@@ -53,9 +47,11 @@ def prepare(
     The rules are chosen on unrepaired rows and later applied to repaired ones.
     """
     scanned = stage(scan_codes_and_profile(details, rules), "codes")
-    counts = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ["total", *rules]]
-    profiled = scanned.agg(*counts)
-    pairs = scanned.select(codes.PAIR).filter("id IS NOT NULL AND name IS NOT NULL")
+    sums = {"total": "total", **{field: f"failed_{field}" for field in rules}}
+    profiled = scanned.filter(F.col("kind") == codes.SPECIES).agg(
+        *[F.coalesce(F.sum(column), F.lit(0)).alias(name) for name, column in sums.items()]
+    )
+    pairs = codes.known_pairs(scanned)
     return Preparation(
         pairs=pairs,
         repairs=stage(codes.pair_repairs(pairs), "repairs"),

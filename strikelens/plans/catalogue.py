@@ -220,10 +220,10 @@ def windowed_last_sum(spark: SparkSession, folder: str) -> DataFrame:
 def _wide_details(spark: SparkSession, folder: str) -> DataFrame:
     """All columns of a raw record; those the tables do not offer follow from the record id."""
     details = details_of(spark, folder)
-    record = F.col("record_id")
+    record, offered = F.col("record_id"), set(details.columns)
     made = []
     for place, (_, name, dtype) in enumerate(DETAIL_COLUMNS):
-        if name in details.columns:
+        if name in offered:
             made.append(F.col(name))
         elif dtype == "boolean":
             step = (record + place) % 7
@@ -327,6 +327,18 @@ def stream_grouped(spark: SparkSession, folder: str) -> DataFrame:
     return log.latest(spark)
 
 
+def grouped_topics(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts through their changelog topics, the latest record of each key."""
+    paths = new_folder(spark, "grouped-incidents"), new_folder(spark, "grouped-creatures")
+    drain(jobs.publish_counts(_clean_stream(spark, folder), *paths, new_folder(spark, "state")))
+    latest = []
+    for path, name in zip(paths, ("incidents", "creatures")):
+        records = topics.grouped_counts(spark.read.parquet(path))
+        kept = totals.latest_by_key(records, KEY.fieldNames(), "amount", ["id"])
+        latest.append(kept.select(*KEY.fieldNames(), F.lit(name).alias("measure"), "amount"))
+    return latest[0].unionByName(latest[1])
+
+
 def replay_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     """The same batch of counts written twice, as after a failure."""
     log = jobs.counts_log(new_folder(spark, "counts"))
@@ -435,6 +447,7 @@ QUERIES: dict[str, Query] = {
     "stream_static": stream_static,
     "replay_equals_batch": replay_equals_batch,
     "stream_grouped": stream_grouped,
+    "grouped_topics": grouped_topics,
     "replay_idempotent": replay_idempotent,
     "stream_topn": stream_topn,
     "snapshot_sink": snapshot_sink,

@@ -351,6 +351,11 @@ def oracle_sql() -> dict[str, str]:
         "stream_static": routed,
         "replay_equals_batch": clean,
         "stream_grouped": counts,
+        "grouped_topics": _with(
+            [*_prepared(), _GROUPED],
+            "SELECT * EXCLUDE (incidents, creatures), 'incidents' AS measure, incidents AS amount FROM grouped "
+            "UNION ALL SELECT * EXCLUDE (incidents, creatures), 'creatures', creatures FROM grouped",
+        ),
         "replay_idempotent": counts,
         "stream_topn": top,
         "snapshot_sink": _with(ranked, "SELECT *, 'counts' AS output FROM ranked UNION ALL SELECT *, 'ranking' FROM ranked"),

@@ -2,23 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.flags import parse_flag
-from ..schemas import DETAIL_COLUMNS, RANKED
+from ..schemas import DETAIL_COLUMNS, DETAILS, RANKED
 
 # A quote inside a quoted field is written twice.
 _QUOTING = {"quote": '"', "escape": '"'}
-
-
-def _typed(text: Column, dtype: str, fail: bool) -> Column:
-    if dtype == "string":
-        return F.coalesce(text, F.lit(""))
-    if dtype == "boolean":
-        return parse_flag(text)
-    trimmed = F.trim(text)
-    return trimmed.cast(dtype) if fail else trimmed.try_cast(dtype)
+_NUMBERS = ("int", "bigint", "float")
 
 
 def read_details(
@@ -39,13 +31,24 @@ def read_details(
     if multiline is None:
         multiline = path.endswith(".gz")
     reader = spark.read.options(header=True, multiLine=multiline, enforceSchema=False, **_QUOTING)
-    raw = reader.csv(path)
-    present = {name.strip().lower(): name for name in raw.columns}
+    headers = reader.csv(path).columns
+    header_of = {header.strip().lower(): header for header in headers}
+    source = {name: header_of.get(header.lower()) for header, name, _ in DETAIL_COLUMNS}
+
+    # numbers are read by the CSV source itself; flags are spelled in more ways than it accepts
+    numbers = {source[name]: DETAILS[name].dataType for _, name, dtype in DETAIL_COLUMNS if dtype in _NUMBERS}
+    schema = T.StructType([T.StructField(header, numbers.get(header, T.StringType())) for header in headers])
+    mode = "FAILFAST" if fail_on_malformed else "PERMISSIVE"
+    raw = reader.schema(schema).option("mode", mode).csv(path)
+
     columns = []
-    for header, name, dtype in DETAIL_COLUMNS:
-        found = present.get(header.lower())
-        text = F.col(f"`{found}`") if found else F.lit(None).cast("string")
-        columns.append(_typed(text, dtype, fail_on_malformed).alias(name))
+    for _, name, dtype in DETAIL_COLUMNS:
+        column = F.col(f"`{source[name]}`") if source[name] else F.lit(None).cast(dtype)
+        if dtype == "string":
+            column = F.coalesce(column, F.lit(""))
+        elif dtype == "boolean":
+            column = column.cast(dtype) if fail_on_malformed else column.try_cast(dtype)
+        columns.append(column.alias(name))
     details = raw.select(columns).withColumn("species_id", F.upper("species_id"))
     return details.repartition(partitions) if partitions else details
 

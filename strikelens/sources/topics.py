@@ -42,8 +42,13 @@ def summaries(envelopes: DataFrame) -> DataFrame:
 
 
 def grouped_counts(envelopes: DataFrame) -> DataFrame:
-    """Key columns and ``amount`` of a grouped topic, whose values are bare numbers."""
-    return from_envelopes(envelopes, KEY, T.LongType()).select("key.*", F.col("value").alias("amount"))
+    """Key columns and ``amount`` of a grouped topic, whose values are bare numbers.
+
+    Further columns, such as the ``id`` of the batch that wrote a record, are kept.
+    """
+    decoded = _texts(envelopes).withColumns({"key": decode("key", KEY), "amount": F.col("value").cast("bigint")})
+    others = [c for c in decoded.columns if c not in ENVELOPE.fieldNames()]
+    return decoded.select("key.*", *others)
 
 
 def yearly_counts(envelopes: DataFrame) -> DataFrame:
@@ -91,8 +96,12 @@ def topic_source(
     return reader.load(path) if path else reader.load()
 
 
-def topic_sink(envelopes: DataFrame, checkpoint: str, path: str | None = None, format: str = "parquet", **options: str) -> DataStreamWriter:
+def topic_sink(
+    envelopes: DataFrame, checkpoint: str, path: str | None = None, format: str = "parquet", **options: str
+) -> DataStreamWriter:
     """Append envelopes to a topic, each exactly once for folders."""
+    if format == "kafka":  # a broker takes header values as bytes
+        envelopes = envelopes.withColumn("headers", F.col("headers").cast("array<struct<key:string,value:binary>>"))
     writer = envelopes.writeStream.format(format).outputMode("append").option("checkpointLocation", checkpoint)
     if path:
         writer = writer.option("path", path)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators import rank, route, totals
+from ..schemas import KEY
 from ..sources import csv_files, topics
 from ..settings import TOP_N, WINDOW
 from .upserts import UpsertLog
@@ -22,7 +23,7 @@ KEY_COUNTS = ["incidents", "creatures"]
 
 def counts_log(path: str, **options: int) -> UpsertLog:
     """Log of the counts per key."""
-    return UpsertLog(path, topics.KEY.fieldNames(), KEY_COUNTS, **options)
+    return UpsertLog(path, KEY.fieldNames(), KEY_COUNTS, **options)
 
 
 def ranking_log(path: str, **options: int) -> UpsertLog:
@@ -50,6 +51,23 @@ def count_keys(clean: DataFrame, log: UpsertLog, checkpoint: str) -> DataStreamW
     return _each_batch(totals.grouped(clean), log.write, checkpoint)
 
 
+def publish_counts(clean: DataFrame, incidents: str, creatures: str, checkpoint: str) -> DataStreamWriter:
+    """Both counts per key as changelog topics: a record for every key that changed in a batch.
+
+    Records of one batch share a folder ``id=<batch>``, which a replay of the batch overwrites.
+    """
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        # evaluated once for both topics, and by the stateful plan only once
+        batch.persist()
+        for amount, topic in (("incidents", incidents), ("creatures", creatures)):
+            records = topics.to_envelopes(batch, KEY, amount)
+            records.write.mode("overwrite").parquet(f"{topic}/id={batch_id}")
+        batch.unpersist()
+
+    return _each_batch(totals.grouped(clean), publish, checkpoint)
+
+
 def rank_years(
     clean: DataFrame, counts: UpsertLog, ranking: UpsertLog, checkpoint: str, n: int = TOP_N
 ) -> DataStreamWriter:
