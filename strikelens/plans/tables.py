@@ -10,6 +10,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A file scan dealt out over the cores when it has fewer splits than the session has cores.
+
+    One row group, or a gzip file of any size, would otherwise keep a single
+    core busy with all later work. Rows are dealt by their place in the scan,
+    so no value can be too frequent. A scan with enough splits is not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, F.monotonically_increasing_id())
+
+
 def table_stream(spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
     """The same table as a stream: every file of it is a piece of one unbounded input."""
     reader = spark.readStream.schema(table(spark, folder, name).schema)
@@ -24,53 +37,40 @@ def incident_details(lineitem: DataFrame, part: DataFrame, supplier: DataFrame,
 
     Which dimension is broadcast is left to its size.
     """
-    col, when, lit = F.col, F.when, F.lit
     joined = (
-        lineitem.join(part, col("p_partkey") == col("l_partkey"))
-        .join(supplier, col("s_suppkey") == col("l_suppkey"))
-        .join(nation, col("n_nationkey") == col("s_nationkey"))
-    )
-    part_key = F.concat(lit("S"), col("p_partkey").cast("string"))
-    supplier_key = col("s_suppkey").cast("string")
-    quantity = (
-        when(col("l_quantity") >= 49, "")
-        .when(col("l_quantity") >= 45, "Over 100")
-        .when(col("l_quantity") >= 11, "11-100")
-        .when(col("l_quantity") >= 2, "2-10")
-        .otherwise("1")
+        lineitem.join(part, F.expr("p_partkey = l_partkey"))
+        .join(supplier, F.expr("s_suppkey = l_suppkey"))
+        .join(nation, F.expr("n_nationkey = s_nationkey"))
     )
-    return joined.select(
-        (col("l_orderkey") * 10 + col("l_linenumber")).alias("record_id"),
-        F.year("l_shipdate").alias("year"),
-        F.month("l_shipdate").alias("month"),
-        F.day("l_shipdate").alias("day"),
-        when(col("p_size") <= 2, "UNKNOWN").otherwise(col("p_type")).alias("aircraft"),
-        when(col("l_discount") >= 0.01, col("p_size")).cast("float").alias("aircraft_mass"),
-        when(col("l_linenumber") < 7, col("l_linenumber")).alias("engines"),
-        when(col("s_suppkey") % 20 == 0, supplier_key).otherwise(F.concat(lit("K"), supplier_key)).alias("airport_id"),
-        col("n_name").alias("airport_name"),
-        col("p_brand").alias("state"),
-        F.concat(lit("R"), col("n_regionkey").cast("string")).alias("faa_region"),
-        when(col("l_linestatus") != "O", col("l_tax") > 0.04).alias("warning_issued"),
-        when(col("l_linestatus") == "O", "").otherwise("CLIMB").alias("flight_phase"),
-        when(col("p_name") == "red plate", "100000000000")
-        .when(col("p_name") == "small widget", "UNKBS")
-        .otherwise(part_key)
-        .alias("species_id"),
-        when(col("p_name") == "red plate", "UNKNOWN")
-        .when(col("p_name") == "small widget", "UNKNOWN BIRD - SMALL")
-        .otherwise(col("p_name"))
-        .alias("species_name"),
-        quantity.alias("species_quantity"),
-        when(col("l_discount") < 0.04, 0).alias("fatalities"),
-        when(col("l_tax") >= 0.05, 1).alias("injuries"),
-        (col("l_returnflag") == "R").alias("aircraft_damage"),
+    return joined.selectExpr(
+        "l_orderkey * 10 + l_linenumber AS record_id",
+        "year(l_shipdate) AS year",
+        "month(l_shipdate) AS month",
+        "day(l_shipdate) AS day",
+        "CASE WHEN p_size <= 2 THEN 'UNKNOWN' ELSE p_type END AS aircraft",
+        "CAST(CASE WHEN l_discount >= 0.01D THEN p_size END AS float) AS aircraft_mass",
+        "CASE WHEN l_linenumber < 7 THEN l_linenumber END AS engines",
+        "CASE WHEN s_suppkey % 20 = 0 THEN string(s_suppkey) ELSE concat('K', s_suppkey) END AS airport_id",
+        "n_name AS airport_name",
+        "p_brand AS state",
+        "concat('R', n_regionkey) AS faa_region",
+        "CASE WHEN l_linestatus <> 'O' THEN l_tax > 0.04D END AS warning_issued",
+        "CASE WHEN l_linestatus = 'O' THEN '' ELSE 'CLIMB' END AS flight_phase",
+        "CASE p_name WHEN 'red plate' THEN '100000000000' WHEN 'small widget' THEN 'UNKBS' "
+        "ELSE concat('S', p_partkey) END AS species_id",
+        "CASE p_name WHEN 'red plate' THEN 'UNKNOWN' WHEN 'small widget' THEN 'UNKNOWN BIRD - SMALL' "
+        "ELSE p_name END AS species_name",
+        "CASE WHEN l_quantity >= 49 THEN '' WHEN l_quantity >= 45 THEN 'Over 100' WHEN l_quantity >= 11 THEN '11-100' "
+        "WHEN l_quantity >= 2 THEN '2-10' ELSE '1' END AS species_quantity",
+        "CASE WHEN l_discount < 0.04D THEN 0 END AS fatalities",
+        "CASE WHEN l_tax >= 0.05D THEN 1 END AS injuries",
+        "l_returnflag = 'R' AS aircraft_damage",
     )
 
 
 def details_of(spark: SparkSession, folder: str, lineitem: DataFrame | None = None) -> DataFrame:
     if lineitem is None:
-        lineitem = table(spark, folder, "lineitem")
+        lineitem = spread(table(spark, folder, "lineitem"))
     dimensions = [table(spark, folder, name) for name in ("part", "supplier", "nation")]
     return incident_details(lineitem, *dimensions)
 

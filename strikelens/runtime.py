@@ -22,7 +22,11 @@ def build_session(app: str = "strikelens", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.ui.enabled": "false",
+        # streaming state of many keys lives on disk and is saved as changes
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         **conf,
     }
     builder = SparkSession.builder.appName(app)

@@ -36,7 +36,7 @@ def kinds(result: pa.Table) -> dict[str, str]:
 
 
 def expected_of(connection: duckdb.DuckDBPyConnection, sql: str) -> pa.Table:
-    return connection.execute(sql).to_arrow_table()
+    return connection.sql(sql).to_arrow_table()
 
 
 def differences(actual: pa.Table, expected: pa.Table) -> str:
@@ -56,7 +56,8 @@ def main() -> None:
     from strikelens.runtime import build_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false"}
+    spark = build_session(master="local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     connection, sql = connect(folder), contract.oracle_sql()
     chosen = sys.argv[2:] or list(contract.queries())
