@@ -52,11 +52,6 @@ def code_pairs(rows: DataFrame) -> DataFrame:
     return known_pairs(code_counts(rows))
 
 
-def _canonical(member: str) -> Column:
-    """The longest member, the smallest of several longest ones."""
-    return F.min_by(member, F.struct(-F.length(member), F.col(member)))
-
-
 def id_name_map(pairs: DataFrame, kind: str) -> DataFrame:
     """id -> name of one kind, or no row at all when any id has two names."""
     by_id = pairs.filter(F.col("kind") == kind).groupBy("id").agg(
@@ -146,77 +141,50 @@ def mapping_orientation(pairs: DataFrame) -> DataFrame:
     )
 
 
-def swapped_codes(pairs: DataFrame) -> DataFrame:
-    """Ids of an ambiguous name that are names themselves: (kind, name, id, true_id).
-
-    ``true_id`` is the canonical id found when the misplaced text is looked up as a name.
-    """
-    by_name = pairs.groupBy("kind", "name").agg(
-        F.count(F.lit(1)).alias("members"), _canonical("id").alias("canonical")
-    )
-    ambiguous = by_name.filter("members > 1").select("kind", "name")
-    lookup = by_name.select("kind", F.col("name").alias("id"), F.col("canonical").alias("true_id"))
-    return pairs.join(ambiguous, ["kind", "name"], "left_semi").join(lookup, ["kind", "id"]).select(
-        "kind", "name", "id", "true_id"
-    )
+def code_repairs(pairs: DataFrame, member: str = "id", key: str = "name") -> DataFrame:
+    """What to look up to repair a row: (kind, lookup, code, replacement).
 
+    A ``member`` of an ambiguous key that is itself a key stands in the wrong
+    column: rows with that member get the member found under it instead.
+    Every other ambiguous key replaces its members by the canonical one,
+    unless one of them stood in the wrong column. By default names repair
+    ids; exchange ``member`` and ``key`` to repair names by id.
 
-def pair_repairs(pairs: DataFrame) -> DataFrame:
-    """The pairs to rewrite, as (kind, id, name, new_id, new_name); every other pair is right as it is.
-
-    First a misplaced name is moved from the id to the name column and gets
-    its own id; then every ambiguous name takes its canonical id, unless one
-    of its ids was a misplaced name.
+    One row per ambiguous key or misplaced member, however many pairs they have.
     """
-    swapped = swapped_codes(pairs)
-    moves = swapped.select("kind", "id", "true_id").distinct()
-    blocked = swapped.select("kind", "name").distinct()
-    canonical = (
-        pairs.groupBy("kind", "name")
-        .agg(F.count(F.lit(1)).alias("members"), _canonical("id").alias("canonical"))
-        .filter("members > 1")
-        .join(blocked, ["kind", "name"], "left_anti")
-        .select("kind", "name", "canonical")
-    )
-    rewritten = (
-        pairs.join(moves, ["kind", "id"], "left")
-        .join(canonical, ["kind", "name"], "left")
-        .select(
-            *PAIR,
-            F.coalesce("true_id", "canonical", "id").alias("new_id"),
-            F.when(F.col("true_id").isNotNull(), F.col("id")).otherwise(F.col("name")).alias("new_name"),
-        )
+    by_key = pairs.groupBy("kind", key).agg(
+        F.count(F.lit(1)).alias("members"),
+        # the longest member, the smallest of several longest ones
+        F.min_by(member, F.struct(-F.length(member), F.col(member))).alias("canonical"),
     )
-    return rewritten.filter("new_id <> id OR new_name <> name")
-
-
-def name_repairs(pairs: DataFrame) -> DataFrame:
-    """``pair_repairs`` with the roles of id and name exchanged: names are repaired by id."""
-    exchanged = pairs.select("kind", F.col("name").alias("id"), F.col("id").alias("name"))
-    return pair_repairs(exchanged).select(
-        "kind",
-        F.col("name").alias("id"),
-        F.col("id").alias("name"),
-        F.col("new_name").alias("new_id"),
-        F.col("new_id").alias("new_name"),
+    ambiguous = by_key.filter("members > 1")
+    lookup = by_key.select("kind", F.col(key).alias(member), "canonical")
+    misplaced = pairs.join(ambiguous, ["kind", key], "left_semi").join(lookup, ["kind", member])
+    moves = misplaced.select("kind", F.lit(member).alias("lookup"), F.col(member).alias("code"), "canonical").distinct()
+    syncs = ambiguous.join(misplaced, ["kind", key], "left_anti").select(
+        "kind", F.lit(key).alias("lookup"), F.col(key).alias("code"), "canonical"
     )
+    return moves.unionByName(syncs).withColumnRenamed("canonical", "replacement")
 
 
-def apply_repairs(rows: DataFrame, repairs: DataFrame) -> DataFrame:
+def apply_repairs(rows: DataFrame, repairs: DataFrame, member: str = "id", key: str = "name") -> DataFrame:
     """Rewrite the codes of every row; batch and streaming rows alike.
 
-    One equi-join per kind on (id, name). ``repairs`` should be a staged
-    table: Spark then broadcasts it only while its files are small, and
-    otherwise runs a sort-merge join whose hot keys adaptive execution splits.
+    Equi-joins on one code each. ``repairs`` should be a staged table: Spark
+    then broadcasts it only while its files are small, and otherwise runs a
+    sort-merge join whose hot keys adaptive execution splits.
     """
     columns = rows.columns
-    for kind, (id_column, name_column) in CODE_COLUMNS.items():
-        of_kind = repairs.filter(F.col("kind") == kind).select(
-            F.col("id").alias(id_column), F.col("name").alias(name_column), "new_id", "new_name"
-        )
-        rows = (
-            rows.join(of_kind, [id_column, name_column], "left")
-            .withColumns({id_column: F.coalesce("new_id", id_column), name_column: F.coalesce("new_name", name_column)})
-            .select(columns)
-        )
+    for kind, names in CODE_COLUMNS.items():
+        column = dict(zip(("id", "name"), names))
+        for lookup, found in ((member, "_moved"), (key, "_synced")):
+            wanted = repairs.filter((F.col("kind") == kind) & (F.col("lookup") == lookup))
+            found_by_code = wanted.select(F.col("code").alias(column[lookup]), F.col("replacement").alias(found))
+            rows = rows.join(found_by_code, column[lookup], "left")
+        old_member, old_key = F.col(column[member]), F.col(column[key])
+        repaired = {
+            column[member]: F.when(old_member.isNotNull(), F.coalesce("_moved", "_synced", old_member)),
+            column[key]: F.when(F.col("_moved").isNotNull(), old_member).otherwise(old_key),
+        }
+        rows = rows.withColumns(repaired).select(columns)
     return rows

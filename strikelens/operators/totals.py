@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,13 +65,14 @@ def running_count(
     offsets = (
         slotted.groupBy(*slot_key)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*slot_key, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        .select(*[F.col(k).alias(f"_of_{k}") for k in slot_key], F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
     position = F.row_number().over(Window.partitionBy(*slot_key).orderBy(ts, *order))
-    return (
-        slotted.withColumn("_position", position)
-        .join(offsets, slot_key)
-        .select(*rows.columns, (F.col("_before") + F.col("_position")).alias("running_count"))
+    numbered = slotted.withColumn("_position", position)
+    # null keys are keys, too
+    same_slot = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in slot_key])
+    return numbered.join(offsets, same_slot).select(
+        *[numbered[c] for c in rows.columns], (F.col("_before") + F.col("_position")).alias("running_count")
     )
 
 

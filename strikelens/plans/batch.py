@@ -54,7 +54,7 @@ def prepare(
     pairs = codes.known_pairs(scanned)
     return Preparation(
         pairs=pairs,
-        repairs=stage(codes.pair_repairs(pairs), "repairs"),
+        repairs=stage(codes.code_repairs(pairs), "repairs"),
         profile=profiled,
         rules=validate.select_rules(profiled, threshold, rules, keep_zero_failure),
     )

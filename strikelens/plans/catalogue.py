@@ -145,7 +145,7 @@ def _swapped_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def swapped_codes(spark: SparkSession, folder: str) -> DataFrame:
-    repairs = stage(codes.pair_repairs(_swapped_pairs(spark, folder)), "repairs")
+    repairs = stage(codes.code_repairs(_swapped_pairs(spark, folder)), "repairs")
     return codes.apply_repairs(_swapped_details(spark, folder).select(CODES), repairs)
 
 

@@ -14,13 +14,14 @@ def spread(scan: DataFrame) -> DataFrame:
     """A file scan dealt out over the cores when it has fewer splits than the session has cores.
 
     One row group, or a gzip file of any size, would otherwise keep a single
-    core busy with all later work. Rows are dealt by their place in the scan,
-    so no value can be too frequent. A scan with enough splits is not shuffled.
+    core busy with all later work. Rows are dealt in turn, so no value can be too
+    frequent, and filters still reach the scan. A scan with enough splits is
+    not shuffled.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     if scan.rdd.getNumPartitions() >= cores:
         return scan
-    return scan.repartition(cores, F.monotonically_increasing_id())
+    return scan.repartition(cores)
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = None) -> DataFrame:

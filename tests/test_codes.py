@@ -17,8 +17,14 @@ def species(spark, *pairs):
     return spark.createDataFrame([("KATL", "ATLANTA", i, n) for i, n in pairs], COLUMNS)
 
 
-def repaired(frame):
-    return codes.apply_repairs(frame, codes.pair_repairs(codes.code_pairs(frame)))
+def repaired(frame, *roles):
+    return codes.apply_repairs(frame, codes.code_repairs(codes.code_pairs(frame), *roles), *roles)
+
+
+def test_repairs_grow_with_ambiguous_names_not_with_pairs(spark):
+    frame = airports(spark, *[(f"K{i:03d}", "X") for i in range(200)], ("KA", "Y"))
+    repairs = codes.code_repairs(codes.code_pairs(frame))
+    assert rows(repairs) == [("airports", "name", "X", "K000")]
 
 
 def airport_pairs(frame):
@@ -57,15 +63,13 @@ def test_kinds_do_not_mix(spark):
 
 def test_repairs_names_by_id_when_mirrored(spark):
     frame = airports(spark, ("KFSM", "FORT SMITH"), ("KFSM", "FORT SMITH RGNL"))
-    repairs = codes.name_repairs(codes.code_pairs(frame))
-    assert airport_pairs(codes.apply_repairs(frame, repairs)) == [("KFSM", "FORT SMITH RGNL")] * 2
+    assert airport_pairs(repaired(frame, "name", "id")) == [("KFSM", "FORT SMITH RGNL")] * 2
 
 
 def test_misplaced_id_when_mirrored(spark):
     # KATL stands in the name column of an id with two names
     frame = airports(spark, ("KATL", "ATLANTA"), ("KHFD", "KATL"), ("KHFD", "HARTSFIELD"))
-    repairs = codes.name_repairs(codes.code_pairs(frame))
-    fixed = airport_pairs(codes.apply_repairs(frame, repairs))
+    fixed = airport_pairs(repaired(frame, "name", "id"))
     assert fixed == [("KATL", "ATLANTA"), ("KATL", "ATLANTA"), ("KHFD", "HARTSFIELD")]
 
 
@@ -77,7 +81,7 @@ def test_null_codes_stay(spark):
 def test_repair_is_idempotent_and_keeps_every_row(spark):
     view = details_of(spark, SMALL)
     once = batch.repaired_summary(view, batch.prepare(view))
-    again = codes.apply_repairs(once, codes.pair_repairs(codes.code_pairs(once)))
+    again = codes.apply_repairs(once, codes.code_repairs(codes.code_pairs(once)))
     assert once.count() == view.count()
     assert once.exceptAll(again).isEmpty() and again.exceptAll(once).isEmpty()
     assert codes.ambiguous_codes(codes.code_pairs(once)).filter("direction = 'name_to_ids'").isEmpty()

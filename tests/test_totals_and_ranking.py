@@ -39,6 +39,11 @@ def test_running_count_of_a_hot_key(spark):
     assert rows(counted.select("k", "n", "running_count")) == sorted(expected, key=repr)
 
 
+def test_running_count_keeps_null_keys(spark):
+    counted = totals.running_count(changes(spark, (None, 1, 1), (None, 2, 90), ("a", 3, 5)), ["k"], "ts")
+    assert rows(counted.select("k", "n", "running_count")) == [("a", 3, 1), (None, 1, 1), (None, 2, 2)]
+
+
 def test_windowed_running_count_equals_last_of_running_count(spark):
     events = events_of(spark, SMALL)
     keys = ["user_id", "event_type"]
