@@ -167,24 +167,36 @@ def code_repairs(pairs: DataFrame, member: str = "id", key: str = "name") -> Dat
     return moves.unionByName(syncs).withColumnRenamed("canonical", "replacement")
 
 
-def apply_repairs(rows: DataFrame, repairs: DataFrame, member: str = "id", key: str = "name") -> DataFrame:
+def needed_lookups(repairs: DataFrame) -> set[tuple[str, str]]:
+    """The (kind, lookup) combinations that occur; at most two per kind."""
+    return {(r.kind, r.lookup) for r in repairs.select("kind", "lookup").distinct().collect()}
+
+
+def apply_repairs(
+    rows: DataFrame, repairs: DataFrame, needed: set[tuple[str, str]], member: str = "id", key: str = "name"
+) -> DataFrame:
     """Rewrite the codes of every row; batch and streaming rows alike.
 
-    Equi-joins on one code each. ``repairs`` should be a staged table: Spark
+    Equi-joins on one code each, and only the ``needed`` ones: rows are not
+    shuffled to look up nothing. ``repairs`` should be a staged table: Spark
     then broadcasts it only while its files are small, and otherwise runs a
     sort-merge join whose hot keys adaptive execution splits.
     """
     columns = rows.columns
     for kind, names in CODE_COLUMNS.items():
         column = dict(zip(("id", "name"), names))
-        for lookup, found in ((member, "_moved"), (key, "_synced")):
-            wanted = repairs.filter((F.col("kind") == kind) & (F.col("lookup") == lookup))
-            found_by_code = wanted.select(F.col("code").alias(column[lookup]), F.col("replacement").alias(found))
-            rows = rows.join(found_by_code, column[lookup], "left")
+        found = {}
+        for lookup, result in ((member, "_moved"), (key, "_synced")):
+            found[lookup] = F.lit(None)
+            if (kind, lookup) in needed:
+                wanted = repairs.filter((F.col("kind") == kind) & (F.col("lookup") == lookup))
+                by_code = wanted.select(F.col("code").alias(column[lookup]), F.col("replacement").alias(result))
+                rows = rows.join(by_code, column[lookup], "left")
+                found[lookup] = F.col(result)
         old_member, old_key = F.col(column[member]), F.col(column[key])
         repaired = {
-            column[member]: F.when(old_member.isNotNull(), F.coalesce("_moved", "_synced", old_member)),
-            column[key]: F.when(F.col("_moved").isNotNull(), old_member).otherwise(old_key),
+            column[member]: F.when(old_member.isNotNull(), F.coalesce(found[member], found[key], old_member)),
+            column[key]: F.when(found[member].isNotNull(), old_member).otherwise(old_key),
         }
         rows = rows.withColumns(repaired).select(columns)
     return rows

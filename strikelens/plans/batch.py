@@ -32,6 +32,7 @@ class Preparation:
 
     pairs: DataFrame
     repairs: DataFrame
+    lookups: set[tuple[str, str]]
     profile: DataFrame
     rules: RuleSet
 
@@ -52,16 +53,18 @@ def prepare(
         *[F.coalesce(F.sum(column), F.lit(0)).alias(name) for name, column in sums.items()]
     )
     pairs = codes.known_pairs(scanned)
+    repairs = stage(codes.code_repairs(pairs), "repairs")
     return Preparation(
         pairs=pairs,
-        repairs=stage(codes.code_repairs(pairs), "repairs"),
+        repairs=repairs,
+        lookups=codes.needed_lookups(repairs),
         profile=profiled,
         rules=validate.select_rules(profiled, threshold, rules, keep_zero_failure),
     )
 
 
 def repaired_summary(details: DataFrame, prepared: Preparation) -> DataFrame:
-    return codes.apply_repairs(to_summary(details), prepared.repairs)
+    return codes.apply_repairs(to_summary(details), prepared.repairs, prepared.lookups)
 
 
 def validated(details: DataFrame, prepared: Preparation) -> DataFrame:

@@ -146,7 +146,8 @@ def _swapped_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 def swapped_codes(spark: SparkSession, folder: str) -> DataFrame:
     repairs = stage(codes.code_repairs(_swapped_pairs(spark, folder)), "repairs")
-    return codes.apply_repairs(_swapped_details(spark, folder).select(CODES), repairs)
+    needed = codes.needed_lookups(repairs)
+    return codes.apply_repairs(_swapped_details(spark, folder).select(CODES), repairs, needed)
 
 
 # --- aggregates and ranking

@@ -1,6 +1,7 @@
 import random
 
 from conftest import SMALL, rows
+from pyspark.sql import functions as F
 
 from strikelens.operators import codes
 from strikelens.plans import batch
@@ -18,7 +19,8 @@ def species(spark, *pairs):
 
 
 def repaired(frame, *roles):
-    return codes.apply_repairs(frame, codes.code_repairs(codes.code_pairs(frame), *roles), *roles)
+    repairs = codes.code_repairs(codes.code_pairs(frame), *roles)
+    return codes.apply_repairs(frame, repairs, codes.needed_lookups(repairs), *roles)
 
 
 def test_repairs_grow_with_ambiguous_names_not_with_pairs(spark):
@@ -81,7 +83,7 @@ def test_null_codes_stay(spark):
 def test_repair_is_idempotent_and_keeps_every_row(spark):
     view = details_of(spark, SMALL)
     once = batch.repaired_summary(view, batch.prepare(view))
-    again = codes.apply_repairs(once, codes.code_repairs(codes.code_pairs(once)))
+    again = repaired(once)
     assert once.count() == view.count()
     assert once.exceptAll(again).isEmpty() and again.exceptAll(once).isEmpty()
     assert codes.ambiguous_codes(codes.code_pairs(once)).filter("direction = 'name_to_ids'").isEmpty()
@@ -114,15 +116,42 @@ def test_repair_against_brute_force(spark):
         assert airport_pairs(repaired(airports(spark, *pairs))) == brute_force(pairs)
 
 
-def test_hot_pair_under_sort_merge_join(spark):
-    # one pair holds most rows and the repairs are too large to be broadcast
-    frame = airports(spark, *[("FSM", "FORT SMITH")] * 5000, ("KFSM", "FORT SMITH"), *[(f"K{i}", f"N{i}") for i in range(500)])
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+NO_BROADCAST_SMALL_SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+    "spark.sql.shuffle.partitions": "8",
+}
+
+
+def test_hot_name_with_repairs_too_large_to_broadcast(spark):
+    # a third of all rows has one ambiguous name: its partition must be split over several tasks
+    made = spark.range(0, 300_000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN concat('K', id % 5000) WHEN id = 0 THEN 'KFSM' ELSE 'FSM' END AS airport_id",
+        "CASE WHEN id % 3 > 0 THEN concat('N', id % 2500) ELSE 'FORT SMITH' END AS airport_name",
+        "'S1' AS species_id",
+        "concat('GULL', id % 7) AS species_name",
+        "sha2(string(id), 512) AS rest",
+    )
+    before = {name: spark.conf.get(name, None) for name in NO_BROADCAST_SMALL_SKEW}
+    for name, value in NO_BROADCAST_SMALL_SKEW.items():
+        spark.conf.set(name, value)
     try:
-        fixed = repaired(frame)
-        assert fixed.filter("airport_id = 'KFSM'").count() == 5001 and fixed.count() == 5501
+        counted = repaired(made).groupBy("airport_id").agg(F.count("rest").alias("n"), F.max("rest"))
+        by_id = {r.airport_id: r.n for r in counted.collect()}
+        assert by_id["KFSM"] == 100_000 and "FSM" not in by_id and sum(by_id.values()) == 300_000
+        assert "SortMergeJoin(skew=true)" in counted._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_no_lookup_without_need(spark):
+    frame = airports(spark, ("KATL", "ATLANTA"), ("KHFD", "HARTSFIELD"))
+    plan = repaired(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
 
 
 def test_ambiguous_codes_in_both_directions(spark):
