@@ -15,7 +15,6 @@ from strikelens.plans.catalogue import QUERIES
 from strikelens.runtime import build_session
 
 HEADLINES = [
-    "topn_per_year",
     "grouped_incidents",
     "yearly_totals",
     "rule_profile",
@@ -29,6 +28,7 @@ HEADLINES = [
     "windowed_last_sum",
     "json_roundtrip",
     "stream_grouped",
+    "topn_per_year",
 ]
 REPEATS = 2
 

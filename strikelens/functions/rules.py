@@ -45,7 +45,8 @@ def not_matching(pattern: str) -> Rule:
 
 
 def all_valid(name: str, rules: Sequence[Rule]) -> Column:
-    return reduce(and_, [rule(F.col(name)) for rule in rules])
+    """Whether a field passes all its rules; a rule that answers null, as one of the user may, is not passed."""
+    return _definite(reduce(and_, [rule(F.col(name)) for rule in rules]))
 
 
 # The rules of each field of a raw record.

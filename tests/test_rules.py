@@ -114,6 +114,16 @@ def test_no_rules_no_topics(spark):
     assert route.with_topics(summary_like(spark, {}), {}).first().topics == []
 
 
+def test_rule_of_the_user(spark):
+    own = {"height": [lambda c: c < 1000]}
+    frame = details(spark, VALID, {**VALID, "height": 10.0}, {**VALID, "height": None})
+    assert validate.profile(frame, own).first()["height"] == 2
+    assert validate.failing_rows(frame, "height", own).count() == 2
+    topics = [r.topics for r in route.with_topics(frame, own).collect()]
+    assert topics == [["other"], [], ["other"]]
+    assert set(validate.select_rules(validate.profile(frame, own), 0.7, own)) == {"height"}
+
+
 def test_topic_class():
     assert [validate.topic_class(f) for f in ("species_quantity_min", "speciesQuantity", "species_id", "airport_id")] == [
         "quantity", "quantity", "species", "other",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strikelens.operators import rank, route, totals
 from strikelens.plans import batch
-from strikelens.plans.tables import details_of, events_of
+from strikelens.plans.tables import details_of, events_of, table, table_stream
 from strikelens.sources import csv_files, topics
 from strikelens.streaming import jobs
 from strikelens.streaming.run import drain, paced
@@ -110,6 +110,16 @@ def test_routing_with_frozen_rules(spark, incidents, folder):
     ]
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_table_of_any_number_of_files_as_stream(spark, folder, files):
+    tables, target = folder(), folder()
+    written = table(spark, SMALL, "events").repartition(files)
+    written.write.parquet(f"{tables}/events.parquet")
+    query = drain(jobs.append_rows(table_stream(spark, tables, "events", files_per_trigger=1), target, folder()))
+    assert query.lastProgress["batchId"] == files - 1
+    assert rows(spark.read.parquet(target)) == rows(table(spark, SMALL, "events"))
+
+
 def test_paced_replay(spark, incidents, folder):
     clean, path, _ = incidents
     target = folder()
