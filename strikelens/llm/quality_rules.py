@@ -33,9 +33,9 @@ LEAST_WORDS = 20
 MOST_REPEATED = 30  # percent of the words
 
 ITERATIONS = 25
-#: Every rule starts at this accuracy and is held within the bounds, better than a coin, so that "good" keeps its meaning.
-START_ACCURACY = 0.8
-BOUNDS = (0.55, 0.995)
+#: Where every rule starts: the chance of each vote for a good and for a bad document. Votes keep their direction, so "good" keeps its meaning.
+START = {1: (0.85, 0.45), 0: (0.1, 0.2), -1: (0.05, 0.35)}
+PRIOR = 20.0
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -67,7 +67,8 @@ def counts(docs: DataFrame) -> DataFrame:
         F.size("hashes") >= WINDOW,
         F.transform(F.sequence(F.lit(1), F.size("hashes") - WINDOW + 1), lambda i: F.xxhash64(*[at(i, k) for k in range(WINDOW)])),
     )
-    windowed = measured.withColumn("windows", windows).drop("hashes")
+    echoes = F.size(F.filter("hashes", lambda h, i: (i > 0) & (F.get("hashes", F.greatest(i - 1, F.lit(0))) == h)))
+    windowed = measured.withColumns({"windows": windows, "n_echoes": echoes}).drop("hashes")
     # only texts with a repeated window sort theirs with their places
     repeated = F.size(F.array_distinct("windows")) < F.size("windows")
     placed = F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -105,42 +106,65 @@ def votes() -> dict[str, Column]:
         "capitals": below(capitals, 0.15, 0.3),
         "letters": F.when(per_char("n_letters") >= 0.85, 1).when(per_char("n_letters") < 0.7, -1).otherwise(0),
         "lines": below(F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)), 0.1, 0.3),
+        "echoes": below(per_word("n_echoes"), 0.1, 0.3),
         "repeats": below(per_word("n_repeat_words"), 0.1, MOST_REPEATED / 100),
     }
 
 
-def _posterior(accuracies: dict[str, float], good_share: float) -> Column:
+def start(names: list[str]) -> dict[str, dict[int, tuple[float, float]]]:
+    """Per rule and vote, the probability of the vote for a good and for a bad document."""
+    return {x: dict(START) for x in names}
+
+
+def _posterior(chances: dict[str, dict[int, tuple[float, float]]], good_share: float) -> Column:
     """Probability of good, given the votes; rules are independent given the truth."""
     evidence = F.lit(math.log(good_share / (1 - good_share)))
-    for name, accuracy in accuracies.items():
-        evidence = evidence + F.col(name) * F.lit(math.log(accuracy / (1 - accuracy)))
+    for name, by_vote in chances.items():
+        ratio = {vote: math.log(good / bad) for vote, (good, bad) in by_vote.items()}
+        evidence = evidence + F.when(F.col(name) == 1, ratio[1]).when(F.col(name) == -1, ratio[-1]).otherwise(ratio[0])
     return 1 / (1 + F.exp(-evidence))
 
 
-def fit(patterns: DataFrame, names: list[str], iterations: int = ITERATIONS) -> tuple[dict[str, float], float]:
-    """Accuracies of the rules and the share of good documents, from (votes..., n)."""
-    accuracies, share = dict.fromkeys(names, START_ACCURACY), 0.5
-    low, high = BOUNDS
+def accuracies(chances: dict[str, dict[int, tuple[float, float]]], good_share: float) -> dict[str, float]:
+    """How often a rule is right when it votes."""
+    found = {}
+    for name, by_vote in chances.items():
+        right = good_share * by_vote[1][0] + (1 - good_share) * by_vote[-1][1]
+        wrong = good_share * by_vote[-1][0] + (1 - good_share) * by_vote[1][1]
+        found[name] = right / (right + wrong)
+    return found
+
+
+def fit(patterns: DataFrame, names: list[str], iterations: int = ITERATIONS) -> tuple[dict, float]:
+    """Chances of the votes and the share of good documents, from (votes..., n)."""
+    chances, share = start(names), 0.8
     for _ in range(iterations):
-        weighted = patterns.withColumn("p", _posterior(accuracies, share))
-        right = [
-            F.sum(F.col("n") * F.when(F.col(x) == 1, F.col("p")).when(F.col(x) == -1, 1 - F.col("p")).otherwise(0)).alias(f"right_{x}")
+        weighted = patterns.withColumn("p", _posterior(chances, share))
+        of_vote = [
+            F.sum(F.when(F.col(x) == vote, F.col("n") * side).otherwise(0)).alias(f"{x} {vote} {k}")
             for x in names
+            for vote in (1, 0, -1)
+            for k, side in enumerate((F.col("p"), 1 - F.col("p")))
         ]
-        voted = [F.sum(F.col("n") * F.abs(x)).alias(f"voted_{x}") for x in names]
-        total = [F.sum("n").alias("total"), F.sum(F.col("n") * F.col("p")).alias("good")]
-        row = weighted.agg(*right, *voted, *total).first()
+        row = weighted.agg(*of_vote, F.sum("n").alias("total"), F.sum(F.col("n") * F.col("p")).alias("good")).first()
         if not row["total"]:
             break
-        # one imagined right and wrong vote in ten keep a rule that never votes where it started
-        updated = {x: (row[f"right_{x}"] + 8) / (row[f"voted_{x}"] + 10) for x in names}
-        updated = {x: min(high, max(low, a)) for x, a in updated.items()}
+        sides = (row["good"], row["total"] - row["good"])
+        updated = {}
+        for x in names:
+            # imagined documents, PRIOR of each side, keep rare votes from becoming proofs
+            seen = {
+                vote: [(row[f"{x} {vote} {k}"] + PRIOR * START[vote][k]) / (sides[k] + PRIOR) for k in (0, 1)] for vote in START
+            }
+            # a vote for good never speaks for bad, nor the other way round
+            (g1, b1), (g0, b0), (g2, b2) = seen[1], seen[0], seen[-1]
+            updated[x] = {1: (max(g1, b1), min(g1, b1)), 0: (g0, g0) if g1 < b1 or b2 < g2 else (g0, b0), -1: (min(g2, b2), max(g2, b2))}
         new_share = min(0.99, max(0.01, (row["good"] + 1) / (row["total"] + 2)))
-        moved = max(abs(new_share - share), *(abs(updated[x] - accuracies[x]) for x in names))
-        accuracies, share = updated, new_share
-        if moved < 1e-6:
+        moved = abs(new_share - share)
+        chances, share = updated, new_share
+        if moved < 1e-7:
             break
-    return accuracies, share
+    return chances, share
 
 
 def judge(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
