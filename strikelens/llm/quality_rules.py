@@ -34,8 +34,11 @@ MOST_REPEATED = 30  # percent of the words
 
 ITERATIONS = 25
 #: Where every rule starts: the chance of each vote for a good and for a bad document. Votes keep their direction, so "good" keeps its meaning.
-START = {1: (0.85, 0.45), 0: (0.1, 0.2), -1: (0.05, 0.35)}
+#: A bad document is caught by few of the rules, as each looks for its own fault.
+START = {1: (0.9, 0.7), 0: (0.09, 0.1), -1: (0.01, 0.2)}
 PRIOR = 20.0
+#: No rule calls more than this share of the good documents bad; what exceeds it is evidence of bad documents.
+MOST_WRONG = 0.02
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -58,6 +61,7 @@ def counts(docs: DataFrame) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size("lines").alias("n_lines"),
         size_without("!").alias("n_shouts"),
+        size_without("|").alias("n_bars"),
         F.char_length(F.regexp_replace("plain", r"\P{L}+", "")).alias("n_letters"),
         F.char_length(F.regexp_replace("plain", r"\P{Lu}+", "")).alias("n_capitals"),
         F.transform("words", lambda word: F.xxhash64(word)).alias("hashes"),
@@ -102,6 +106,7 @@ def votes() -> dict[str, Column]:
         "length": F.when(F.col("n_words") >= 50, 1).when(F.col("n_words") < LEAST_WORDS, -1).otherwise(0),
         "word_length": F.when(length.between(3, 10), 1).when((length < 2) | (length > 14), -1).otherwise(0),
         "symbols": below(per_word("n_symbols"), 0.05, 0.3),
+        "tables": below(per_word("n_bars"), 0.02, 0.15),
         "shouting": below(per_word("n_shouts"), 0.05, 0.3),
         "capitals": below(capitals, 0.15, 0.3),
         "letters": F.when(per_char("n_letters") >= 0.85, 1).when(per_char("n_letters") < 0.7, -1).otherwise(0),
@@ -158,7 +163,7 @@ def fit(patterns: DataFrame, names: list[str], iterations: int = ITERATIONS) ->
             }
             # a vote for good never speaks for bad, nor the other way round
             (g1, b1), (g0, b0), (g2, b2) = seen[1], seen[0], seen[-1]
-            updated[x] = {1: (max(g1, b1), min(g1, b1)), 0: (g0, g0) if g1 < b1 or b2 < g2 else (g0, b0), -1: (min(g2, b2), max(g2, b2))}
+            updated[x] = {1: (max(g1, b1), min(g1, b1)), 0: (g0, g0) if g1 < b1 or b2 < g2 else (g0, b0), -1: (min(g2, b2, MOST_WRONG), max(g2, b2))}
         new_share = min(0.99, max(0.01, (row["good"] + 1) / (row["total"] + 2)))
         moved = abs(new_share - share)
         chances, share = updated, new_share
