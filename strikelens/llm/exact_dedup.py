@@ -30,7 +30,11 @@ from pyspark.sql import functions as F
 from strikelens.llm.common import SPACE, whole_text
 from strikelens.runtime import new_folder, stage
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; space is not reserved ahead, since there are many stores and each may be small.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 SALTS = 16
 
 
@@ -63,8 +67,9 @@ class SeenTexts:
         prints = self.fingerprints(docs)
         prints.write.mode("append").parquet(inbox)
         stored = self.spark.read.schema(prints.schema).parquet(inbox)
-        before = conf.get("spark.sql.streaming.stateStore.providerClass", None)
-        conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        before = {key: conf.get(key, None) for key in STATE_CONF}
+        for key, value in STATE_CONF.items():
+            conf.set(key, value)
         try:
             best = F.max(F.struct("n_points", (-F.col("doc_id")).alias("minus_id"), "place")).alias("best")
             state = (
@@ -82,10 +87,8 @@ class SeenTexts:
             )
             query.awaitTermination()
         finally:
-            if before is None:
-                conf.unset("spark.sql.streaming.stateStore.providerClass")
-            else:
-                conf.set("spark.sql.streaming.stateStore.providerClass", before)
+            for key, value in before.items():
+                conf.unset(key) if value is None else conf.set(key, value)
         return stored
 
     def _write(self, changed: DataFrame, batch: int) -> None:
