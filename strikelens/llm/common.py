@@ -27,3 +27,10 @@ def unit_hash(*parts: Column) -> Column:
     """A number in [0, 1) that depends on ``parts`` alone: the first 52 bits of an MD5."""
     text = F.concat_ws(":", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
+
+
+def vocabulary(name: str) -> str:
+    """Where the installed package of public vocabularies has a file; every machine of a cluster has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -7,8 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikelens.llm import exact_dedup, mixing, quality_rules
-from strikelens.llm.common import table
+from strikelens.llm import exact_dedup, mixing, packing, quality_rules, token_files
+from strikelens.llm.common import table, vocabulary
+from strikelens.runtime import new_folder
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +22,12 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"))
+    return token_files.digests(spark, folder)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
@@ -28,5 +39,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_mix_sources, op7_exact_dedup, op10_quality_rules)
+    f.__name__: f for f in (op2_best_fit_packing, op5_mix_sources, op6_token_files, op7_exact_dedup, op10_quality_rules)
 }
