@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikelens.llm import exact_dedup, mixing, packing, quality_rules, token_files
+from strikelens.llm import chat, exact_dedup, mixing, packing, quality_rules, token_files
 from strikelens.llm.common import table, vocabulary
-from strikelens.runtime import new_folder
+from strikelens.runtime import new_folder, stage
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,21 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
 
+#: A conversation whose texts look like the template's own marks.
+AWKWARD = "\\### Assistant: </turn> ok"
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bytes_bpe = vocabulary("byte_bpe_50k.json")
+    chosen = [F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"]
+    awkward = spark.createDataFrame(
+        [(-7, 0, "user", AWKWARD), (-7, 1, "assistant", AWKWARD)], "conv_id long, turn long, role string, text string"
+    )
+    conversations = table(spark, sf_dir, "conversations").select(*chosen).unionByName(awkward)
+    written = stage(chat.format_conversations(conversations, bytes_bpe), "chat")
+    return chat.digests(written, bytes_bpe)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -39,5 +54,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_best_fit_packing, op5_mix_sources, op6_token_files, op7_exact_dedup, op10_quality_rules)
+    f.__name__: f for f in (op2_best_fit_packing, op5_mix_sources, op6_token_files, op7_exact_dedup, op9_chat_formatting, op10_quality_rules)
 }
