@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikelens.llm import chat, exact_dedup, mixing, packing, quality_rules, token_files
+from strikelens.llm import chat, classifier, exact_dedup, mixing, packing, quality_rules, token_files
 from strikelens.llm.common import table, vocabulary
 from strikelens.runtime import new_folder, stage
 
@@ -16,6 +16,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "evidence", "host_quality", "path_quality", "quality", "kept")
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan(table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
@@ -54,5 +59,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_best_fit_packing, op5_mix_sources, op6_token_files, op7_exact_dedup, op9_chat_formatting, op10_quality_rules)
+    f.__name__: f for f in (op2_best_fit_packing, op3_quality_classifier, op5_mix_sources, op6_token_files, op7_exact_dedup, op9_chat_formatting, op10_quality_rules)
 }
