@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikelens.llm import chat, classifier, exact_dedup, mixing, packing, quality_rules, token_files
+from strikelens.llm import chat, classifier, exact_dedup, jaccard_join, mixing, packing, quality_rules, token_files
 from strikelens.llm.common import table, vocabulary
 from strikelens.runtime import new_folder, stage
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
 
@@ -59,5 +63,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_best_fit_packing, op3_quality_classifier, op5_mix_sources, op6_token_files, op7_exact_dedup, op9_chat_formatting, op10_quality_rules)
+    f.__name__: f for f in (op1_jaccard_join, op2_best_fit_packing, op3_quality_classifier, op5_mix_sources, op6_token_files, op7_exact_dedup, op9_chat_formatting, op10_quality_rules)
 }
