@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikelens.llm import chat, classifier, exact_dedup, jaccard_join, mixing, packing, quality_rules, token_files
+from strikelens.llm import chat, classifier, exact_dedup, jaccard_join, mixing, packing, quality_rules, surrogates, token_files
 from strikelens.llm.common import table, vocabulary
 from strikelens.runtime import new_folder, stage
 
@@ -41,6 +41,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
 
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 #: A conversation whose texts look like the template's own marks.
 AWKWARD = "\\### Assistant: </turn> ok"
 
@@ -63,5 +67,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_jaccard_join, op2_best_fit_packing, op3_quality_classifier, op5_mix_sources, op6_token_files, op7_exact_dedup, op9_chat_formatting, op10_quality_rules)
+    f.__name__: f for f in (op1_jaccard_join, op2_best_fit_packing, op3_quality_classifier, op5_mix_sources, op6_token_files, op7_exact_dedup, op8_surrogates, op9_chat_formatting, op10_quality_rules)
 }
