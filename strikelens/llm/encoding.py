@@ -18,7 +18,7 @@ from itertools import chain
 import numpy as np
 
 #: Pieces a worker remembers, in two generations; longer ones are not remembered. Both affect time only.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 LONGEST = 48
 #: Marks that may end a piece; none of them can begin a contraction.
 MARKS = ".,!?;:*#$%&|)"
@@ -26,6 +26,13 @@ MARKS = ".,!?;:*#$%&|)"
 RUNS = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\v", "\f", "\0")
 
 
+def _ends_with_letter(piece: str | bytes) -> bool:
+    if isinstance(piece, str):
+        return piece[-1].isalpha()
+    last = piece[-1:]
+    return last.isalpha() if last < b"\x80" else piece.decode()[-1].isalpha()
+
+
 class Encoder:
     """Ids of texts as numpy arrays; control strings in a text are ordinary text."""
 
@@ -41,15 +48,16 @@ class Encoder:
         # a mark that is a pretoken and an id of its own wherever it stands between pieces
         self.mark, self.between = ("\n", "\n") if self.keeps_space else ("7", " 7 ")
         self.mark_id = self.whole(self.mark)[0]
-        self.known: dict = {}
-        self.former: dict = {}
+        # ids as the bytes of an array
+        self.known: dict[str | bytes, bytes] = {}
+        self.former: dict[str | bytes, bytes] = {}
 
-    def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _pieces(self, text: str) -> list | None:
         if not self.keeps_space:
-            return text.encode().split()
+            return text.encode().lower().split()
         if text[0].isspace() or text[-1].isspace() or any(run in text for run in RUNS):
             return None
         return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
@@ -66,26 +74,26 @@ class Encoder:
                 known[piece] = ids
                 continue
             base = piece.rstrip(marks)
-            if len(base) < len(piece) and as_text(base[-4:] if self.keeps_space else base)[-1:].isalpha():
+            if len(base) < len(piece) and base and _ends_with_letter(base):
                 tail = piece[len(base) :]
                 parts[piece] = base, tail
-                if base not in known:
-                    missing[base] = None
-                if tail not in known:
-                    missing[tail] = None
+                for x in (base, tail):
+                    if x not in known:
+                        missing[x] = None
             else:
                 missing[piece] = None
         mark = self.mark if self.keeps_space else self.mark.encode()
         plain = [x for x in missing if mark not in x]
         # one call for all, cut at the mark: a result object for each piece costs more than its encoding
         ids = self.whole(self.between.join(map(as_text, plain)))
-        ends = [-1, *[i for i, x in enumerate(ids) if x == self.mark_id], len(ids)]
+        ends = [-1, *np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
         if len(ends) == len(plain) + 1:
+            joined = ids.tobytes()
             for x, start, end in zip(plain, ends, ends[1:]):
-                known[x] = ids[start + 1 : end]
+                known[x] = joined[4 * start + 4 : 4 * end]
         for x in missing:
             if x not in known:
-                known[x] = self.whole(as_text(x))
+                known[x] = self.whole(as_text(x)).tobytes()
         for piece, (base, tail) in parts.items():
             known[piece] = known[base] + known[tail]
 
@@ -95,13 +103,13 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.former, self.known = self.known, {}
         known = self.known
-        fresh = {piece for pieces in cut if pieces for piece in pieces if piece not in known}
+        fresh = set(chain.from_iterable(pieces for pieces in cut if pieces)).difference(known)
         if fresh:
             self._learn(fresh)
-        out = []
-        for text, pieces in zip(texts, cut):
-            ids = self.whole(text) if pieces is None else list(chain.from_iterable(map(known.__getitem__, pieces)))
-            out.append(np.array(ids, dtype=np.uint32))
+        out = [
+            self.whole(text) if pieces is None else np.frombuffer(b"".join(map(known.__getitem__, pieces)), np.uint32)
+            for text, pieces in zip(texts, cut)
+        ]
         for piece in fresh:
             if len(piece) > LONGEST:
                 known.pop(piece, None)
