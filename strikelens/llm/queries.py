@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikelens.llm import chat, classifier, exact_dedup, jaccard_join, mixing, packing, quality_rules, surrogates, token_files
+from strikelens.llm import chat, classifier, exact_dedup, jaccard_join, mixing, packing, quality_rules, suffix_dedup, surrogates, token_files
 from strikelens.llm.common import table, vocabulary
 from strikelens.runtime import new_folder, stage
 
@@ -25,6 +25,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "evidence", "host_quality", "path_quality", "quality", "kept")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan(table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
@@ -67,5 +71,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_jaccard_join, op2_best_fit_packing, op3_quality_classifier, op5_mix_sources, op6_token_files, op7_exact_dedup, op8_surrogates, op9_chat_formatting, op10_quality_rules)
+    f.__name__: f for f in (op1_jaccard_join, op2_best_fit_packing, op3_quality_classifier, op4_suffix_dedup, op5_mix_sources, op6_token_files, op7_exact_dedup, op8_surrogates, op9_chat_formatting, op10_quality_rules)
 }
