@@ -4,23 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strikelens.llm import exact_dedup, mixing
-from strikelens.llm.common import table
+from strikelens.llm import classifier, exact_dedup, jaccard_join, mixing, packing
+from strikelens.llm.common import table, vocabulary
 from strikelens.runtime import stage
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts, learned from the labels beside them."""
+    return classifier.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each content."""
     return exact_dedup.deduplicate(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that links of similarity join."""
+    return jaccard_join.deduplicate(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mix(docs)
 
 
-STAGES = [("exact dedup", drop_copies), ("mixing sources", mix_sources)]
-#: Training, packing and tokenisation are beyond SQL.
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in the training sequences."""
+    return packing.pack(packing.pieces(docs, vocabulary("byte_bpe_50k.json")))
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing sources", mix_sources),
+    ("best-fit packing", pack_sequences),
+]
+#: Training, components of links and tokenisation are beyond SQL.
 ORACLE_SQL = None
 
 
