@@ -432,7 +432,11 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, part: int = PART, b
     count = shared.agg(F.sum(F.size("places"))).first()[0] or 0
     parts = max(8, count // part)
     run_schema = "part int, shared binary, rests binary, before binary, lengths binary, ids binary, places binary"
-    runs = named.select("id", "text").join(shared, "id").mapInArrow(lambda rows: _runs(rows, parts), run_schema)
+    texts = named.select("id", "text").join(shared, "id")
+    if prints.count() > copies.count():
+        # a row that is there twice does not come before itself
+        texts = texts.dropDuplicates(["id"])
+    runs = texts.mapInArrow(lambda rows: _runs(rows, parts), run_schema)
     runs = runs.repartition("part").sortWithinPartitions("part")
     gone = runs.mapInArrow(_removals, "id long, start long, end long")
     spans = gone.groupBy("id").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
