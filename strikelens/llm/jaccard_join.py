@@ -44,6 +44,8 @@ OFTEN = 16
 #: Rests of a region up to this size are compared directly; larger ones get this many pivots a round.
 LEAF = 32
 PIVOTS = 16
+#: First shingles in a bucket, about.
+BUCKET = 200_000
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
@@ -102,43 +104,119 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.Re
         yield batch, [shingler.set(x.as_py()) for x in batch.column("text")]
 
 
-def common_shingles(docs: DataFrame, words: int = WORDS, most: int = COMMON, often: int = OFTEN) -> np.ndarray:
-    """The shingles found most often, at most ``most``, sorted. Tasks offer what they met ``often`` times at least."""
+def _prefix_length(n: int, similar: int) -> int:
+    """A set of ``n`` and a similar one share one of so many first shingles of each."""
+    return n - -(-similar * n // 100) + 1 if n else 0
+
+
+def common_shingles(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, most: int = COMMON, often: int = OFTEN) -> tuple[np.ndarray, int]:
+    """The shingles found most often, at most ``most``, sorted; and the number of first shingles of all documents.
+
+    Tasks offer shingles that they met ``often`` times at least.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _sets(batches, words):
             shingles, n = np.unique(np.concatenate(sets), return_counts=True)
             keep = n >= often
-            yield pa.RecordBatch.from_arrays([pa.array(shingles[keep]), pa.array(n[keep])], names=["shingle", "n"])
+            firsts = sum(_prefix_length(len(s), similar) for s in sets)
+            found = pa.array([None, *shingles[keep].tolist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([found, pa.array([firsts, *n[keep].tolist()], pa.int64())], names=["shingle", "n"])
 
     counted = _binary(docs).mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "shingle").limit(most).select("shingle").collect()
-    return np.sort(np.array([row[0] for row in rows], np.int64))
+    counted = stage(counted, "counted")
+    total = counted.filter("shingle IS NULL").first()
+    rows = counted.filter("shingle IS NOT NULL").orderBy(F.desc("n"), "shingle").limit(most).select("shingle").collect()
+    return np.sort(np.array([row[0] for row in rows], np.int64)), total["n"] if total else 0
+
 
+def first_shingles(docs: DataFrame, common: np.ndarray, buckets: int, words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
+    """Two kinds of rows. Bucket -1: doc_id, n_shingles and class (a hash of the set) of a document.
 
-def prefixes(docs: DataFrame, common: np.ndarray, words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
-    """doc_id, n_shingles, class (a hash of the set), prefix: the shingles of which a similar set has one in its own."""
+    Others: the first shingles of a batch's documents that belong to a bucket, with class and size of the set they are from, as bytes
+    of arrays; of equal sets in a batch only one is there.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _sets(batches, words):
             sizes = np.array([len(s) for s in sets], np.int64)
             classes = np.array([class_of(s) for s in sets], np.int64)
+            n = len(sets)
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            names = ["bucket", "doc_id", "n_shingles", "class", "shingles", "classes", "sizes"]
+            nothing = [pa.nulls(n, pa.binary())] * 3
+            rows = [pa.array(np.full(n, -1, np.int32)), batch.column("doc_id"), pa.array(sizes), pa.array(classes), *nothing]
+            yield pa.RecordBatch.from_arrays(rows, names=names)
+            chosen = np.unique(classes, return_index=True)[1]
             firsts = []
-            for s in sets:
-                n = len(s)
-                length = n - -(-similar * n // 100) + 1 if n else 0
+            for k in chosen:
+                s = sets[k]
                 if len(common):
                     at = np.minimum(np.searchsorted(common, s), len(common) - 1)
                     is_common = common[at] == s
                     s = np.concatenate([s[~is_common], s[is_common]])
-                firsts.append(s[:length])
-            columns = [batch.column("doc_id"), pa.array(sizes), pa.array(classes), pa.array(firsts, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "class", "prefix"])
-
-    schema = "doc_id long, n_shingles long, class long, prefix array<long>"
+                firsts.append(s[: _prefix_length(len(s), similar)])
+            counts = [len(f) for f in firsts]
+            shingles = np.concatenate(firsts)
+            of_class, of_size = np.repeat(classes[chosen], counts), np.repeat(sizes[chosen], counts).astype(np.int32)
+            bucket = (shingles.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            columns: list[list] = [[] for _ in names]
+            for b in np.flatnonzero(np.diff(ends)):
+                part = order[ends[b] : ends[b + 1]]
+                packed = (x[part].tobytes() for x in (shingles, of_class, of_size))
+                for column, value in zip(columns, (int(b), None, None, None, *packed)):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    schema = "bucket int, doc_id long, n_shingles long, class long, shingles binary, classes binary, sizes binary"
     return _binary(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(cut, schema)
 
 
+def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(region, a, n_a, b, n_b, members) for every class b of each region of two and more, a being its pivot.
+
+    A region is named by a hash of its classes: shingles that the same classes have make one region.
+    """
+    for rows in _by_bucket(batches):
+        shingles, classes, sizes = (np.concatenate([np.frombuffer(r[c], k) for r in rows]) for c, k in _PACKED)
+        order = np.lexsort([classes, shingles])
+        shingles, classes, sizes = shingles[order], classes[order], sizes[order]
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (shingles[1:] != shingles[:-1]) | (classes[1:] != classes[:-1])
+        shingles, classes, sizes = shingles[fresh], classes[fresh], sizes[fresh]
+        starts = np.flatnonzero(np.concatenate(([True], shingles[1:] != shingles[:-1])))
+        members = np.diff(np.append(starts, len(shingles)))
+        mixed = classes.view(np.uint64) * _PRIME
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * _MIX[0]
+        names = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), starts).view(np.int64)
+        first = np.unique(names, return_index=True)[1]
+        kept = np.zeros(len(starts), bool)
+        kept[first] = True
+        kept &= members > 1
+        rows_kept = np.repeat(kept, members)
+        of = np.repeat(np.arange(len(starts)), members)[rows_kept]
+        columns = [names[of], classes[starts[of]], sizes[starts[of]], classes[rows_kept], sizes[rows_kept], members[of]]
+        arrays = [pa.array(c.astype(np.int64)) for c in columns]
+        yield pa.RecordBatch.from_arrays(arrays, names=["region", "a", "n_a", "b", "n_b", "members"])
+
+
+_PACKED = (("shingles", np.int64), ("classes", np.int64), ("sizes", np.int32))
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    held: list[dict] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and row["bucket"] != held[-1]["bucket"]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
 def sets_of(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """class, shingles of documents that come with their class."""
 
@@ -192,26 +270,25 @@ class _Rounds:
         return self.rooted(self.rooted(pairs, "a", "root_a"), "b", "root_b").filter("root_a <> root_b").drop("root_a", "root_b")
 
 
-def class_links(docs: DataFrame, documents: DataFrame, words: int = WORDS, similar: int = SIMILAR, leaf: int = LEAF) -> DataFrame | None:
-    """node, root of the components of classes with links; ``documents`` is what ``prefixes`` made, written."""
-    first = F.min(F.struct("doc_id", "prefix")).alias("first")
-    classes = documents.filter("n_shingles > 0").groupBy("class", "n_shingles").agg(first)
-    classes = classes.select("class", "n_shingles", "first.doc_id", "first.prefix")
-    placed = classes.select(F.explode("prefix").alias("region"), F.col("class").alias("b"), F.col("n_shingles").alias("n_b"))
-    pivot = F.min(F.struct(F.col("b").alias("a"), F.col("n_b").alias("n_a"))).alias("pivot")
-    regions = placed.groupBy("region").agg(pivot, F.count("*").alias("members")).filter("members > 1")
-    regions = regions.select("region", "pivot.a", "pivot.n_a", "members")
-    members = stage(placed.join(regions, "region"), "members")
+def class_links(docs: DataFrame, found: DataFrame, similar: int = SIMILAR, leaf: int = LEAF, words: int = WORDS) -> DataFrame | None:
+    """node, root of the components of classes with links; ``found`` is what ``first_shingles`` made, written."""
+    packed = found.filter("bucket >= 0").select("bucket", *[c for c, _ in _PACKED])
+    dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
+    members = dealt.mapInArrow(_regions, "region long, a long, n_a long, b long, n_b long, members long")
+    members = stage(members.dropDuplicates(["region", "b"]), "members")
     near = _comparable("n_a", "n_b", similar)
     stars = stage(members.filter((F.col("a") != F.col("b")) & near).select("a", "b").distinct(), "stars")
     if stars.isEmpty() and members.filter("members > 2").isEmpty():
         return None
+    classes = found.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     # whole sets are made of one document of each class that has company
     wanted = members.select(F.col("b").alias("class")).distinct()
     chosen = classes.select("class", F.col("doc_id").alias("_id")).join(wanted, "class", "left_semi")
     text = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
     source = text.alias("t").join(chosen.alias("c"), F.expr("t._id <=> c._id")).select("c.class", "t.text")
-    sets = sets_of(source, words).dropDuplicates(["class"])
+    sets = sets_of(source, words)
+    if not found.filter("bucket = -1").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        sets = sets.dropDuplicates(["class"])
     rounds = _Rounds(stage(sets, "sets"), similar)
     # a class and the first of its pivots, its cell; then the other pivots of classes that are still apart
     cells = stars.groupBy("b").agg(F.min("a").alias("a"))
@@ -264,10 +341,10 @@ def _first(rest: DataFrame, pivots: int, leaf: int) -> DataFrame:
 
 def join(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, common: int = COMMON, often: int = OFTEN, leaf: int = LEAF) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest identifier that links reach."""
-    often_found = common_shingles(docs, words, common, often)
-    documents = stage(prefixes(docs, often_found, words, similar), "prefixes")
-    roots = class_links(docs, documents, words, similar, leaf)
-    rows = documents.select("doc_id", "n_shingles", "class")
+    often_found, firsts = common_shingles(docs, words, similar, common, often)
+    found = stage(first_shingles(docs, often_found, max(16, firsts // BUCKET), words, similar), "first-shingles")
+    roots = class_links(docs, found, similar, leaf, words)
+    rows = found.filter("bucket = -1").select("doc_id", "n_shingles", "class")
     some = rows.filter("n_shingles > 0")
     classes = some.groupBy("class").agg(F.min("doc_id").alias("component_id"))
     if roots is not None:
