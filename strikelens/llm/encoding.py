@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from functools import lru_cache
 from itertools import chain
 
@@ -22,15 +23,30 @@ REMEMBERED = 400_000
 LONGEST = 48
 #: Marks that may end a piece; none of them can begin a contraction.
 MARKS = ".,!?;:*#$%&|)"
-#: White space in runs, or beside a line break.
+#: White space in runs, beside a line break, or of any other kind.
 RUNS = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\v", "\f", "\0")
+OTHER_SPACE = tuple(chr(c) for c in range(128, 0x3001) if chr(c).isspace())
+
+
+def _alphabet() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it shows, else one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+_ALPHABET = _alphabet()
 
 
 def _ends_with_letter(piece: str | bytes) -> bool:
+    """Whether the last character is a letter, and for bytes, which get small letters, one that stays a single letter."""
     if isinstance(piece, str):
         return piece[-1].isalpha()
     last = piece[-1:]
-    return last.isalpha() if last < b"\x80" else piece.decode()[-1].isalpha()
+    if last < b"\x80":
+        return last.isalpha()
+    last = piece.decode()[-1]
+    return last.isalpha() and last < "\u0250" and len(last.lower()) == 1
 
 
 class Encoder:
@@ -55,11 +71,19 @@ class Encoder:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
+    def _is_pretoken(self, piece: str) -> bool:
+        if self.keeps_space:
+            return (piece[1:] if piece[:1] == " " else piece).isalpha()
+        # below this character, small letters are their own normal form
+        return piece.isalpha() and piece.islower() and max(piece) < "\u0250"
+
     def _pieces(self, text: str) -> list | None:
         if not self.keeps_space:
             return text.encode().lower().split()
         if text[0].isspace() or text[-1].isspace() or any(run in text for run in RUNS):
             return None
+        if not text.isascii() and any(space in text for space in OTHER_SPACE):
+            return None
         return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
     def _learn(self, fresh: set) -> None:
@@ -83,7 +107,15 @@ class Encoder:
             else:
                 missing[piece] = None
         mark = self.mark if self.keeps_space else self.mark.encode()
-        plain = [x for x in missing if mark not in x]
+        plain = []
+        tokenize = self.tokenizer.model.tokenize
+        for x in missing:
+            if self._is_pretoken(as_text(x)):
+                # letters alone are one pretoken as they are, and go to the merges directly
+                raw = x.encode() if self.keeps_space else x
+                known[x] = array("I", [t.id for t in tokenize(raw.decode("latin-1").translate(_ALPHABET))]).tobytes()
+            elif mark not in x:
+                plain.append(x)
         # one call for all, cut at the mark: a result object for each piece costs more than its encoding
         ids = self.whole(self.between.join(map(as_text, plain)))
         ends = [-1, *np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
