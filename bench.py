@@ -41,6 +41,8 @@ def main() -> None:
         f"local[{cpus}]",
         **{
             "spark.sql.shuffle.partitions": cpus,
+            # the tables have one row group each
+            "strikelens.scan.partitions": cpus,
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.python.sql.dataFrameDebugging.enabled": "false",

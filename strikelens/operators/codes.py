@@ -145,23 +145,30 @@ def code_repairs(pairs: DataFrame, member: str = "id", key: str = "name") -> Dat
     """What to look up to repair a row: (kind, lookup, code, replacement).
 
     A ``member`` of an ambiguous key that is itself a key stands in the wrong
-    column: rows with that member get the member found under it instead.
+    column: rows with that member get the canonical member found under it instead.
     Every other ambiguous key replaces its members by the canonical one,
-    unless one of them stood in the wrong column. By default names repair
+    unless one of them stood in the wrong column. Canonical is the longest
+    member, the smallest of several, among those that are not keys themselves; rows whose
+    key has no such member stay. By default names repair
     ids; exchange ``member`` and ``key`` to repair names by id.
 
     One row per ambiguous key or misplaced member, however many pairs they have.
     """
-    by_key = pairs.groupBy("kind", key).agg(
+    keys = pairs.select("kind", F.col(key).alias(member), F.lit(True).alias("is_key")).distinct()
+    known = pairs.join(keys, ["kind", member], "left")
+    proper = F.col("is_key").isNull() & F.col(member).isNotNull()
+    by_key = known.groupBy("kind", key).agg(
         F.count(F.lit(1)).alias("members"),
-        # the longest member, the smallest of several longest ones
-        F.min_by(member, F.struct(-F.length(member), F.col(member))).alias("canonical"),
+        F.bool_or(F.col("is_key").isNotNull()).alias("has_misplaced"),
+        F.min_by(member, F.when(proper, F.struct(-F.length(member), F.col(member)))).alias("canonical"),
     )
     ambiguous = by_key.filter("members > 1")
-    lookup = by_key.select("kind", F.col(key).alias(member), "canonical")
-    misplaced = pairs.join(ambiguous, ["kind", key], "left_semi").join(lookup, ["kind", member])
-    moves = misplaced.select("kind", F.lit(member).alias("lookup"), F.col(member).alias("code"), "canonical").distinct()
-    syncs = ambiguous.join(misplaced, ["kind", key], "left_anti").select(
+    lookup = by_key.filter("canonical IS NOT NULL").select("kind", F.col(key).alias(member), "canonical")
+    misplaced = known.filter("is_key").join(ambiguous, ["kind", key], "left_semi").select("kind", member).distinct()
+    moves = misplaced.join(lookup, ["kind", member]).select(
+        "kind", F.lit(member).alias("lookup"), F.col(member).alias("code"), "canonical"
+    )
+    syncs = ambiguous.filter("NOT has_misplaced AND canonical IS NOT NULL").select(
         "kind", F.lit(key).alias("lookup"), F.col(key).alias("code"), "canonical"
     )
     return moves.unionByName(syncs).withColumnRenamed("canonical", "replacement")

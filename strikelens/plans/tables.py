@@ -5,25 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SCAN_PARTITIONS = "strikelens.scan.partitions"
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A file scan dealt out over the cores when it has fewer splits than the session has cores.
-
-    One row group, or a gzip file of any size, would otherwise keep a single
-    core busy with all later work. Rows are dealt in turn, so no value can be too
-    frequent, and filters still reach the scan. A scan with enough splits is
-    not shuffled.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores)
-
-
 def table_stream(spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
     """The same table as a stream: every file of it is a piece of one unbounded input."""
     reader = spark.readStream.schema(table(spark, folder, name).schema)
@@ -70,8 +58,15 @@ def incident_details(lineitem: DataFrame, part: DataFrame, supplier: DataFrame,
 
 
 def details_of(spark: SparkSession, folder: str, lineitem: DataFrame | None = None) -> DataFrame:
+    """The incident view; the session's ``strikelens.scan.partitions``, if set, deals the scanned rows out to so many tasks.
+
+    That is for few large files that cannot be split; it costs a shuffle of the columns in use.
+    """
     if lineitem is None:
-        lineitem = spread(table(spark, folder, "lineitem"))
+        lineitem = table(spark, folder, "lineitem")
+        partitions = spark.conf.get(SCAN_PARTITIONS, None)
+        if partitions:
+            lineitem = lineitem.repartition(int(partitions))
     dimensions = [table(spark, folder, name) for name in ("part", "supplier", "nation")]
     return incident_details(lineitem, *dimensions)
 

@@ -16,20 +16,18 @@ _NUMBERS = ("int", "bigint", "float")
 def read_details(
     spark: SparkSession,
     path: str,
-    multiline: bool | None = None,
+    multiline: bool = True,
     partitions: int | None = None,
     fail_on_malformed: bool = False,
 ) -> DataFrame:
     """Typed scan of raw records; columns are found by header, in any order, and absent ones are null.
 
     Empty texts stay empty, empty numbers and flags are null, species ids are
-    put in upper case. A gzip file is one split whatever its size, so line
-    breaks inside quotes cost nothing there and are accepted; for plain files
-    ``multiline`` would give up splitting and is off. ``partitions`` spreads
-    the rows of few large gzip files over the cluster.
+    put in upper case. Line breaks inside quotes are part of a text, in a file,
+    a folder and a pattern alike. ``multiline=False`` lets plain files be split
+    and is right only for files without such breaks. ``partitions`` spreads
+    the rows of few large files over the cluster.
     """
-    if multiline is None:
-        multiline = path.endswith(".gz")
     reader = spark.read.options(header=True, multiLine=multiline, enforceSchema=False, **_QUOTING)
     headers = reader.csv(path).columns
     header_of = {header.strip().lower(): header for header in headers}
@@ -60,9 +58,21 @@ def write_details(details: DataFrame, path: str, compression: str = "gzip") -> N
 
 
 def read_untyped(spark: SparkSession, path: str) -> DataFrame:
-    """Every line of every file as an array of texts in ``fields``, header lines included."""
-    raw = spark.read.options(header=False, **_QUOTING).csv(path)
-    return raw.select(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in raw.columns]).alias("fields"))
+    """Every record of every file as an array of texts in ``fields``, header lines included.
+
+    Records have as many fields as they have: the scan knows two columns, and
+    a record of any other width comes as the whole text, which is cut here.
+    """
+    schema = "first string, second string, whole string"
+    reader = spark.read.options(header=False, multiLine=True, columnPruning=False, columnNameOfCorruptRecord="whole", **_QUOTING)
+    raw = reader.schema(schema).csv(path)
+    # a comma before each field, so that empty ones are found too
+    text = F.concat(F.lit(","), F.regexp_replace("whole", r"\r?\n$", ""))
+    found = F.regexp_extract_all(text, F.lit(',("(?:[^"]|"")*"|[^,]*)'), 1)
+    plain = lambda x: F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
+    cut = F.transform(found, lambda x: F.when(x.startswith('"'), plain(x)).otherwise(x))
+    pair = F.array(*[F.coalesce(c, F.lit("")) for c in ("first", "second")])
+    return raw.select(F.when(F.col("whole").isNull(), pair).otherwise(cut).alias("fields"))
 
 
 def write_ranked(ranked: DataFrame, path: str) -> None:

@@ -94,20 +94,29 @@ def brute_force(pairs):
     ids_of = {}
     for i, n in pairs:
         ids_of.setdefault(n, set()).add(i)
-    canonical = {n: min(ids, key=lambda i: (-len(i), i)) for n, ids in ids_of.items()}
+    # a proper id is no name
+    proper = {n: [i for i in ids if i not in ids_of] for n, ids in ids_of.items()}
+    canonical = {n: min(ids, key=lambda i: (-len(i), i)) for n, ids in proper.items() if ids}
     ambiguous = {n for n, ids in ids_of.items() if len(ids) > 1}
     misplaced = {i for n in ambiguous for i in ids_of[n] if i in ids_of}
     result = []
     for i, n in pairs:
-        if i in misplaced:
+        if i in misplaced and i in canonical:
             result.append((canonical[i], i))
-        elif n in ambiguous and not ids_of[n] & misplaced:
+        elif n in ambiguous and n in canonical and not ids_of[n] & misplaced:
             result.append((canonical[n], n))
         else:
             result.append((i, n))
     return sorted(result)
 
 
+def test_moved_names_get_ids_that_are_no_names(spark):
+    pairs = [("KATL", "ATLANTA"), ("ATLANTA", "HARTS"), ("KHFD", "HARTS"), ("HARTS", "ATLANTA")]
+    once = repaired(airports(spark, *pairs))
+    assert airport_pairs(once) == [("KATL", "ATLANTA"), ("KATL", "ATLANTA"), ("KHFD", "HARTS"), ("KHFD", "HARTS")]
+    assert airport_pairs(repaired(once)) == airport_pairs(once)
+
+
 def test_repair_against_brute_force(spark):
     texts = [f"T{i}" for i in range(30)] + [f"TT{i}" for i in range(10)]
     draw = random.Random(7)

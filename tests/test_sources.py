@@ -82,6 +82,23 @@ def test_untyped_scan_returns_the_header_as_data(spark, tmp_path):
     assert [r.fields for r in csv_files.read_untyped(spark, path).collect()] == [["a", "b"], ["1", ""], ["x, y", "2"]]
 
 
+def test_untyped_records_keep_their_own_width(spark, tmp_path):
+    text = 'a,b\n1,2,3,4\n5\n"x\ny","say ""hi""",,\n,\n'
+    expected = [["a", "b"], ["1", "2", "3", "4"], ["5"], ["x\ny", 'say "hi"', "", ""], ["", ""]]
+    path = write(str(tmp_path / "raw.csv"), text)
+    assert [r.fields for r in csv_files.read_untyped(spark, path).collect()] == expected
+
+
+def test_details_are_the_same_from_file_folder_and_pattern(spark, folder):
+    path = folder()
+    frame = details(spark, VALID, UNKNOWN).withColumn("operator", F.lit('one\ntwo, "three"'))
+    csv_files.write_details(frame.coalesce(1), path)
+    (file,) = glob.glob(f"{path}/*.csv.gz")
+    expected = rows(csv_files.read_details(spark, file))
+    assert len(expected) == 2 and all('one\ntwo, "three"' in r for r in expected)
+    assert rows(csv_files.read_details(spark, path)) == expected == rows(csv_files.read_details(spark, f"{path}/*.csv.g[z]"))
+
+
 def ranked(spark, *values):
     return spark.createDataFrame(values, RANKED)
 
