@@ -11,7 +11,8 @@ Later rounds measure only where classes of one region are not in one component y
 pivots, and then, in regions that still hold several components, pivots
 of what is left, recursively. By the triangle inequality a class within the radius of the pivot can only be linked to
 those within twice the radius of it, so others leave with the pivot, and classes on the boundary go on with both sides.
-Small rests are compared directly. A region is done when all its classes are in one component or its pairs are measured; no
+Small rests are compared directly. Before sets are compared,
+sketches that bound what they can share sort out most pairs. A region is done when all its classes are in one component or its pairs are measured; no
 pairs within a group of near copies are made beyond that.
 
 Shingles that are very common in a task's documents are gathered in a table of bounded size; it decides the order only, never the
@@ -24,6 +25,7 @@ are read; ``deduplicate`` passes all columns through.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strikelens.llm.components import components
-from strikelens.runtime import stage
+from strikelens.runtime import new_folder, stage
 
 WORDS = 5
 #: Similarity in percent.
@@ -44,6 +46,8 @@ OFTEN = 16
 #: Rests of a region up to this size are compared directly; larger ones get this many pivots a round.
 LEAF = 32
 PIVOTS = 16
+#: Counts in a sketch.
+SKETCH = 128
 #: First shingles in a bucket, about.
 BUCKET = 200_000
 
@@ -131,7 +135,8 @@ def common_shingles(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR,
 
 
 def first_shingles(docs: DataFrame, common: np.ndarray, buckets: int, words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
-    """Two kinds of rows. Bucket -1: doc_id, n_shingles and class (a hash of the set) of a document.
+    """Two kinds of rows. Bucket -1: doc_id, n_shingles, class (a hash of the set) and sketch of a document: how many shingles
+    have each of some last bits, which bounds what two sets share.
 
     Others: the first shingles of a batch's documents that belong to a bucket, with class and size of the set they are from, as bytes
     of arrays; of equal sets in a batch only one is there.
@@ -142,10 +147,12 @@ def first_shingles(docs: DataFrame, common: np.ndarray, buckets: int, words: int
             sizes = np.array([len(s) for s in sets], np.int64)
             classes = np.array([class_of(s) for s in sets], np.int64)
             n = len(sets)
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-            names = ["bucket", "doc_id", "n_shingles", "class", "shingles", "classes", "sizes"]
+            counts_of = pa.list_(pa.int32())
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), counts_of, pa.binary(), pa.binary(), pa.binary())
+            names = ["bucket", "doc_id", "n_shingles", "class", "sketch", "shingles", "classes", "sizes"]
             nothing = [pa.nulls(n, pa.binary())] * 3
-            rows = [pa.array(np.full(n, -1, np.int32)), batch.column("doc_id"), pa.array(sizes), pa.array(classes), *nothing]
+            sketches = pa.array([np.bincount(s & (SKETCH - 1), minlength=SKETCH).astype(np.int32) for s in sets], counts_of)
+            rows = [pa.array(np.full(n, -1, np.int32)), batch.column("doc_id"), pa.array(sizes), pa.array(classes), sketches, *nothing]
             yield pa.RecordBatch.from_arrays(rows, names=names)
             chosen = np.unique(classes, return_index=True)[1]
             firsts = []
@@ -166,11 +173,11 @@ def first_shingles(docs: DataFrame, common: np.ndarray, buckets: int, words: int
             for b in np.flatnonzero(np.diff(ends)):
                 part = order[ends[b] : ends[b + 1]]
                 packed = (x[part].tobytes() for x in (shingles, of_class, of_size))
-                for column, value in zip(columns, (int(b), None, None, None, *packed)):
+                for column, value in zip(columns, (int(b), None, None, None, None, *packed)):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    schema = "bucket int, doc_id long, n_shingles long, class long, shingles binary, classes binary, sizes binary"
+    schema = "bucket int, doc_id long, n_shingles long, class long, sketch array<int>, shingles binary, classes binary, sizes binary"
     return _binary(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(cut, schema)
 
 
@@ -239,16 +246,31 @@ def _comparable(n_a: str, n_b: str, similar: int) -> Column:
 class _Rounds:
     """Links and components known so far, and the measuring of further pairs."""
 
-    def __init__(self, sets: DataFrame, similar: int):
-        self.sets, self.similar = sets, similar
+    def __init__(self, sketches: DataFrame, similar: int):
+        self.sketches, self.similar = sketches, similar
+        self.sets: DataFrame | None = None
         self.links: DataFrame | None = None
         self.roots: DataFrame | None = None
 
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` (a, b) whose sketches allow the similarity; written. No pair that has it is lost."""
+        rows = pairs
+        for end in ("a", "b"):
+            named = self.sketches.select(F.col("class").alias(end), F.col("n_shingles").alias(f"size_{end}"), F.col("sketch").alias(f"of_{end}"))
+            rows = rows.join(named, end)
+        most = F.aggregate(F.zip_with("of_a", "of_b", lambda x, y: F.least(x, y)), F.lit(0), lambda total, n: total + n)
+        rows = rows.withColumn("most", most).filter(100 * F.col("most") >= self.similar * (F.col("size_a") + F.col("size_b") - F.col("most")))
+        return stage(rows.select("a", "b"), "possible")
+
     def measure(self, pairs: DataFrame) -> DataFrame:
-        """``pairs`` (a, b) with the size of intersection and union; written."""
-        left = self.sets.select(F.col("class").alias("b"), F.col("shingles").alias("of_b"))
-        right = self.sets.select(F.col("class").alias("a"), F.col("shingles").alias("of_a"))
-        both = pairs.select("a", "b").join(left, "b").join(right, "a")
+        """``pairs`` (a, b), chosen by ``possible``, with the size of intersection and union; written.
+
+        The sets lie in buckets by class and are not shuffled; what travels is a set for each pair and one for each first end.
+        """
+        of = lambda end: self.sets.select(F.col("class").alias(end), F.col("shingles").alias(f"of_{end}"))
+        with_b = pairs.select("a", "b").join(of("b"), "b")
+        firsts = pairs.select("a").distinct().join(of("a"), "a")
+        both = with_b.join(firsts, "a")
         shared = both.select(
             "a", "b", F.size(F.array_intersect("of_a", "of_b")).alias("shared"), (F.size("of_a") + F.size("of_b")).alias("total")
         )
@@ -281,21 +303,31 @@ def class_links(docs: DataFrame, found: DataFrame, similar: int = SIMILAR, leaf:
     if stars.isEmpty() and members.filter("members > 2").isEmpty():
         return None
     classes = found.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    # whole sets are made of one document of each class that has company
-    wanted = members.select(F.col("b").alias("class")).distinct()
-    chosen = classes.select("class", F.col("doc_id").alias("_id")).join(wanted, "class", "left_semi")
+    sketched = found.filter("n_shingles > 0").groupBy("class", "n_shingles").agg(F.min("sketch").alias("sketch"))
+    rounds = _Rounds(stage(sketched, "sketches"), similar)
+    stars = rounds.possible(stars)
+    # whole sets are made of one document of each class that may be linked
+    ends = stars.select(F.col("a").alias("class")).union(stars.select("b")).union(members.filter("members > 2").select("b"))
+    chosen = classes.select("class", F.col("doc_id").alias("_id")).join(ends.distinct(), "class", "left_semi")
     text = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
     source = text.alias("t").join(chosen.alias("c"), F.expr("t._id <=> c._id")).select("c.class", "t.text")
     sets = sets_of(source, words)
     if not found.filter("bucket = -1").groupBy("doc_id").count().filter("count > 1").isEmpty():
         sets = sets.dropDuplicates(["class"])
-    rounds = _Rounds(stage(sets, "sets"), similar)
-    # a class and the first of its pivots, its cell; then the other pivots of classes that are still apart
-    cells = stars.groupBy("b").agg(F.min("a").alias("a"))
-    measured = rounds.measure(cells)
-    others = rounds.apart(stars.join(measured.select("a", "b"), ["a", "b"], "left_anti"))
-    measured = measured.unionByName(rounds.measure(others))
-    return _recurse(rounds, members.filter("members > 2"), measured, similar, leaf)
+    table = f"jaccard_sets_{uuid.uuid4().hex}"
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = sets.repartition(buckets, "class").write.bucketBy(buckets, "class").sortBy("class")
+    dealt.option("path", new_folder(docs.sparkSession, "sets")).saveAsTable(table)
+    rounds.sets = docs.sparkSession.table(table)
+    try:
+        # a class and the first of its pivots, its cell; then the other pivots of classes that are still apart
+        measured = rounds.measure(stars.groupBy("b").agg(F.min("a").alias("a")))
+        others = stage(rounds.apart(stars.join(measured.select("a", "b"), ["a", "b"], "left_anti")), "others")
+        if not others.isEmpty():
+            measured = measured.unionByName(rounds.measure(others))
+        return _recurse(rounds, members.filter("members > 2"), measured, similar, leaf)
+    finally:
+        docs.sparkSession.sql(f"DROP TABLE {table}")
 
 
 def _recurse(rounds: _Rounds, members: DataFrame, measured: DataFrame, similar: int, leaf: int) -> DataFrame:
@@ -326,7 +358,9 @@ def _recurse(rounds: _Rounds, members: DataFrame, measured: DataFrame, similar:
         pairs = rest.join(pivots, "region").filter((F.col("a") != F.col("class")) & (F.col("root_a") != F.col("root")) & _comparable("n_a", "n", similar))
         pairs = pairs.select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b")).distinct()
         done = pivots.select("region", F.col("a").alias("class"))
-        rounds.measure(pairs)
+        pairs = rounds.possible(pairs)
+        if not pairs.isEmpty():
+            rounds.measure(pairs)
         rest = rest.join(done, ["region", "class"], "left_anti").select("region", "class", "n")
         rest = stage(rounds.rooted(rest, "class", "root"), "rest")
 

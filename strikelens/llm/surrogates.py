@@ -18,6 +18,9 @@ through by ``replace``, except ``n_entities`` and ``n_by_kind``, which it sets.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,20 +32,24 @@ FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Mme", "Sra", "Señora", "Doña")
 MALE = ("Mr", "Herr", "Sr", "Señor", "Don", "Monsieur")
 
 _TITLE = f"(?:{'|'.join((*FEMALE, *MALE))})"
-#: What each kind looks like; at one place the first that fits counts.
-KINDS = {
-    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)+",
+#: What each kind looks like; at one place the first that fits counts. The first ones begin where no letter or digit is before.
+WORDS = {
+    "email": r"(?<![._%+\-])[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)+",
+    "iban": r"[A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}|(?: [0-9A-Z]{4}){3,7}(?: [0-9A-Z]{1,3})?)(?![\p{L}\p{N}])",
+    "hex": r"[0-9a-f]{32,128}(?![\p{L}\p{N}])",
+    "secret": r"(?<!_)(?:AKIA[0-9A-Z]{16}|gh[oprsu]_[0-9A-Za-z]{30,}|sk-[0-9A-Za-z]{20,})"
+    r"|(?<=(?:token|secret|key|password)[\"']? ?[=:] ?[\"'])[0-9A-Za-z_+/\-]{12,}(?=[\"'])",
+    "name": rf"{_TITLE}\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?",
+}
+#: These begin with a digit or one of two marks.
+NUMBERS = {
     "phone": r"\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .\-]?[0-9]{2,4}){2,4}(?![0-9])"
     r"|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}(?![0-9])|(?<![0-9.\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9.\-])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "national": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}|(?: [0-9A-Z]{4}){3,7}(?: [0-9A-Z]{1,3})?)(?![\p{L}\p{N}])",
-    "hex": r"(?<![\p{L}\p{N}])[0-9a-f]{32,128}(?![\p{L}\p{N}])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){3}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9])",
-    "secret": r"(?<![\p{L}\p{N}_])(?:AKIA[0-9A-Z]{16}|gh[a-z]_[0-9A-Za-z]{30,}|sk-[0-9A-Za-z]{20,})"
-    r"|(?<=(?:token|secret|key|password)[\"']? ?[=:] ?[\"'])[0-9A-Za-z_+/\-]{12,}(?=[\"'])",
-    "name": rf"(?<![\p{{L}}\p{{N}}]){_TITLE}\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?",
 }
+KINDS = (*WORDS, *NUMBERS)
 #: Letters by script and case, and the hexadecimal digits.
 LETTERS = {
     "0-9": "0123456789",
@@ -65,7 +72,9 @@ SYLLABLES = (
 )
 ENDINGS = {"female": ("na", "на", "να"), "male": ("ron", "рон", "ρος")}
 
-_ANY = "|".join(f"(?:{x})" for x in KINDS.values())
+_ANY = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(WORDS.values())})|(?=[+(0-9])(?:{'|'.join(NUMBERS.values())})"
+#: A text with none of these, which is quickly seen, has no entity.
+_SIGNS = (*"0123456789@", "AKIA", "gho_", "ghp_", "ghs_", "ghu_", "ghr_", "sk-", "token", "secret", "key", "password", *FEMALE, *MALE)
 
 
 def kind_of(entity: Column) -> Column:
@@ -167,11 +176,21 @@ def surrogate(entity: Column, kind: Column, canon: Column, draw: Column, key: st
     return F.when(kind == "ip", _machine(stream)).when(kind == "name", person).otherwise(_in_format(entity, kind, stream))
 
 
-def entities(docs: DataFrame) -> DataFrame:
-    """kind, canon of every entity found, once."""
-    found = docs.select(F.explode(F.regexp_extract_all("text", F.lit(_ANY), 0)).alias("entity"))
-    named = found.withColumn("kind", kind_of(F.col("entity"))).withColumn("canon", canonical(F.col("entity"), F.col("kind")))
-    return named.groupBy("kind", "canon").agg(F.min("entity").alias("entity"))
+def _found() -> Column:
+    """The entities in ``text``, in order."""
+    some = reduce(or_, [F.col("text").contains(sign) for sign in _SIGNS])
+    return F.when(some, F.regexp_extract_all("text", F.lit(_ANY), 0))
+
+
+def occurrences(docs: DataFrame) -> DataFrame:
+    """doc_id, print (a hash of the text), entity, kind, canon: the entities of each text, each once."""
+    found = docs.select("doc_id", F.xxhash64("text").alias("print"), F.explode(F.array_distinct(_found())).alias("entity"))
+    return found.withColumn("kind", kind_of(F.col("entity"))).withColumn("canon", canonical(F.col("entity"), F.col("kind")))
+
+
+def entities(found: DataFrame) -> DataFrame:
+    """kind, canon of every entity of ``occurrences``, once."""
+    return found.groupBy("kind", "canon").agg(F.min("entity").alias("entity"))
 
 
 def draws(found: DataFrame, key: str = KEY) -> DataFrame:
@@ -198,18 +217,16 @@ def draws(found: DataFrame, key: str = KEY) -> DataFrame:
 
 def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with surrogates in ``text``, and n_entities and n_by_kind, a map."""
-    found = stage(entities(docs), "entities")
-    later = stage(draws(found, key).filter("draw > 0").select("kind", "canon", "draw"), "later-draws")
-    cut = docs.withColumns(
-        {"_s_found": F.regexp_extract_all("text", F.lit(_ANY), 0), "_s_parts": F.split("text", _ANY, -1)}
-    ).withColumn(
+    own = stage(occurrences(docs), "occurrences")
+    later = stage(draws(stage(entities(own), "entities"), key).filter("draw > 0").select("kind", "canon", "draw"), "later-draws")
+    # the parts between entities, of texts that have some
+    cut = docs.withColumn("_s_found", _found())
+    cut = cut.withColumn("_s_parts", F.when(F.size("_s_found") > 0, F.split("text", _ANY, -1)))
+    cut = cut.withColumn(
         "_s_named",
         F.transform("_s_found", lambda e: F.struct(e.alias("entity"), kind_of(e).alias("kind"), canonical(e, kind_of(e)).alias("canon"))),
     )
     # the documents whose entities needed a later draw, with those draws
-    own = docs.select("doc_id", F.xxhash64("text").alias("print"), F.regexp_extract_all("text", F.lit(_ANY), 0).alias("found"))
-    own = own.filter(F.size("found") > 0).select("doc_id", "print", F.explode(F.array_distinct("found")).alias("entity"))
-    own = own.withColumn("kind", kind_of(F.col("entity"))).withColumn("canon", canonical(F.col("entity"), F.col("kind")))
     hit = own.join(later, ["kind", "canon"]).select("doc_id", "print", F.struct(F.concat_ws("|", "kind", "canon"), "draw").alias("hit"))
     by_doc = stage(hit.groupBy("doc_id", "print").agg(F.map_from_entries(F.collect_set("hit")).alias("_s_draws")), "document-draws")
     by_doc = by_doc.select(F.col("doc_id").alias("_s_id"), F.col("print").alias("_s_print"), "_s_draws")
