@@ -60,10 +60,12 @@ def publish_counts(clean: DataFrame, incidents: str, creatures: str, checkpoint:
     def publish(batch: DataFrame, batch_id: int) -> None:
         # evaluated once for both topics, and by the stateful plan only once
         batch.persist()
-        for amount, topic in (("incidents", incidents), ("creatures", creatures)):
-            records = topics.to_envelopes(batch, KEY, amount)
-            records.write.mode("overwrite").parquet(f"{topic}/id={batch_id}")
-        batch.unpersist()
+        try:
+            for amount, topic in (("incidents", incidents), ("creatures", creatures)):
+                records = topics.to_envelopes(batch, KEY, amount)
+                records.write.mode("overwrite").parquet(f"{topic}/id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return _each_batch(totals.grouped(clean), publish, checkpoint)
 

@@ -14,7 +14,8 @@ class UpsertLog:
     A batch that runs again overwrites its own folder, so replays change
     nothing. Every ``fold_every`` batches the latest values are written out as
     a new base, and readers start from there: what they read is bounded by the
-    number of keys and not by the age of the stream.
+    number of keys and not by the age of the stream. What a base replaces is deleted
+    when the next one is complete, so that running readers have a whole generation to end.
     """
 
     def __init__(self, path: str, keys: Sequence[str], values: Sequence[str], fold_every: int = 20):
@@ -29,6 +30,17 @@ class UpsertLog:
         if (batch_id + 1) % self.fold_every == 0:
             latest = self.latest(batch.sparkSession, batch_id)
             latest.write.mode("overwrite").parquet(self._base(batch_id))
+            self._forget(batch.sparkSession, batch_id)
+
+    def _forget(self, spark: SparkSession, batch_id: int) -> None:
+        """Deletes what the base before that of ``batch_id`` has replaced."""
+        bases = _written(spark, f"{self.path}/bases")
+        former = max((b for b in bases if b < batch_id), default=-1)
+        old = [self._base(b) for b in bases if b < former]
+        old += [self._batch(b) for b in _written(spark, f"{self.path}/batches") if b <= former]
+        for folder in old:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return spark.read.parquet(self._batch(batch_id))

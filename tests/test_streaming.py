@@ -1,3 +1,4 @@
+import glob
 import os
 
 import pytest
@@ -178,3 +179,14 @@ def test_windows_emit_once_and_drop_late_rows(spark, folder):
     assert closed.groupBy("window_start", "event_type").count().filter("count > 1").isEmpty()
     start = events.select(F.unix_micros("ts").alias("m")).approxQuantile("m", [0.5], 0.0)[0]
     assert closed.filter(F.unix_micros("window_end") <= start).isEmpty()
+
+
+def test_log_keeps_a_constant_number_of_folders(spark, folder):
+    path = folder()
+    log = UpsertLog(path, ["k"], ["n"], fold_every=5)
+    counts = []
+    for batch in range(30):
+        log.write(spark.createDataFrame([(batch % 3, batch)], "k int, n int"), batch)
+        counts.append(sum(len(glob.glob(f"{path}/{kind}/id=*")) for kind in ("batches", "bases")))
+    assert rows(log.latest(spark)) == [(0, 27), (1, 28), (2, 29)]
+    assert max(counts[10:]) == max(counts[20:]) <= 12
