@@ -23,6 +23,7 @@ import math
 import zlib
 from collections.abc import Iterator
 from itertools import groupby
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,8 @@ from strikelens.runtime import stage
 #: Labelled documents to learn from, at most.
 SAMPLE = 10_000
 DIMENSIONS = 1 << 14
-#: How much the shares of words weigh against the three numbers; steps, their size and the penalty of the fit.
+WHOLE = 5
+#: How much the shares of words weigh against the numbers of the whole; steps, their size and the penalty of the fit.
 SCALE = 10.0
 STEPS = 150
 RATE = 0.1
@@ -49,7 +51,7 @@ MOST_FROM_SITE = 2.0
 
 
 class Features:
-    """Features of texts: shares of hashed words and of hashed word shapes, and three numbers of the whole."""
+    """Features of texts: shares of hashed words and of hashed word shapes, and numbers of the whole."""
 
     def __init__(self):
         self.known: dict[bytes, tuple[int, int]] = {}
@@ -69,10 +71,10 @@ class Features:
 
     @staticmethod
     def whole(text: bytes, words: list[bytes]) -> list[float]:
-        """Length, share of different words, share of different lines, and 1."""
+        """Length, share of different words, of different lines and of words like the one before, and 1."""
         lines = [line for line in text.split(b"\n") if line]
         n, m = max(1, len(words)), max(1, len(lines))
-        return [math.log1p(len(words)) / 5, len(set(words)) / n, len(set(lines)) / m, 1.0]
+        return [math.log1p(len(words)) / 5, len(set(words)) / n, len(set(lines)) / m, 5 * sum(map(eq, words, words[1:])) / n, 1.0]
 
     def vector(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Places and values that are not zero."""
@@ -80,7 +82,7 @@ class Features:
         counted = np.array([p for w in words for p in self.places(w)], np.int64)
         places, counts = np.unique(counted, return_counts=True)
         values = [*(SCALE * counts / max(1, len(words))), *self.whole(text, words)]
-        return np.concatenate([places, 2 * DIMENSIONS + np.arange(4)]), np.array(values)
+        return np.concatenate([places, 2 * DIMENSIONS + np.arange(WHOLE)]), np.array(values)
 
 
 class Scorer:
@@ -108,7 +110,7 @@ def fit(places: np.ndarray, values: np.ndarray, owner: np.ndarray, labels: np.nd
 
     ``values`` stand at ``places`` of the vectors of the texts ``owner``.
     """
-    size = 2 * DIMENSIONS + 4
+    size = 2 * DIMENSIONS + WHOLE
     weights, first, second = np.zeros(size), np.zeros(size), np.zeros(size)
     for step in range(1, STEPS + 1):
         odds = np.bincount(owner, values * weights[places], len(labels))
