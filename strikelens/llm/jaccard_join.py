@@ -292,12 +292,18 @@ class _Rounds:
         return self.rooted(self.rooted(pairs, "a", "root_a"), "b", "root_b").filter("root_a <> root_b").drop("root_a", "root_b")
 
 
-def class_links(docs: DataFrame, found: DataFrame, similar: int = SIMILAR, leaf: int = LEAF, words: int = WORDS) -> DataFrame | None:
-    """node, root of the components of classes with links; ``found`` is what ``first_shingles`` made, written."""
+def region_members(found: DataFrame) -> DataFrame:
+    """The classes of all regions, from what ``first_shingles`` made."""
     packed = found.filter("bucket >= 0").select("bucket", *[c for c, _ in _PACKED])
     dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
     members = dealt.mapInArrow(_regions, "region long, a long, n_a long, b long, n_b long, members long")
-    members = stage(members.dropDuplicates(["region", "b"]), "members")
+    return members.dropDuplicates(["region", "b"])
+
+
+def class_links(
+    docs: DataFrame, found: DataFrame, members: DataFrame, similar: int = SIMILAR, leaf: int = LEAF, words: int = WORDS
+) -> DataFrame | None:
+    """node, root of the components of classes with links, from documents' rows and regions' members, both written."""
     near = _comparable("n_a", "n_b", similar)
     stars = stage(members.filter((F.col("a") != F.col("b")) & near).select("a", "b").distinct(), "stars")
     if stars.isEmpty() and members.filter("members > 2").isEmpty():
@@ -311,12 +317,13 @@ def class_links(docs: DataFrame, found: DataFrame, similar: int = SIMILAR, leaf:
     chosen = classes.select("class", F.col("doc_id").alias("_id")).join(ends.distinct(), "class", "left_semi")
     text = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
     source = text.alias("t").join(chosen.alias("c"), F.expr("t._id <=> c._id")).select("c.class", "t.text")
-    sets = sets_of(source, words)
-    if not found.filter("bucket = -1").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        sets = sets.dropDuplicates(["class"])
     table = f"jaccard_sets_{uuid.uuid4().hex}"
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = sets.repartition(buckets, "class").write.bucketBy(buckets, "class").sortBy("class")
+    # texts travel to the buckets, not their sets, which are larger
+    sets = sets_of(source.repartition(buckets, "class"), words)
+    if not found.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        sets = sets.dropDuplicates(["class"]).repartition(buckets, "class")
+    dealt = sets.write.bucketBy(buckets, "class").sortBy("class")
     dealt.option("path", new_folder(docs.sparkSession, "sets")).saveAsTable(table)
     rounds.sets = docs.sparkSession.table(table)
     try:
@@ -376,9 +383,17 @@ def _first(rest: DataFrame, pivots: int, leaf: int) -> DataFrame:
 def join(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, common: int = COMMON, often: int = OFTEN, leaf: int = LEAF) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest identifier that links reach."""
     often_found, firsts = common_shingles(docs, words, similar, common, often)
-    found = stage(first_shingles(docs, often_found, max(16, firsts // BUCKET), words, similar), "first-shingles")
-    roots = class_links(docs, found, similar, leaf, words)
-    rows = found.filter("bucket = -1").select("doc_id", "n_shingles", "class")
+    spark = docs.sparkSession
+    path = new_folder(spark, "first-shingles")
+    first_shingles(docs, often_found, max(16, firsts // BUCKET), words, similar).write.parquet(path)
+    written = spark.read.parquet(path)
+    found = stage(written.filter("bucket = -1").select("doc_id", "n_shingles", "class", "sketch"), "sets-of-documents")
+    members = stage(region_members(written), "members")
+    # what is larger than all that follows is not needed any more
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    roots = class_links(docs, found, members, similar, leaf, words)
+    rows = found.select("doc_id", "n_shingles", "class")
     some = rows.filter("n_shingles > 0")
     classes = some.groupBy("class").agg(F.min("doc_id").alias("component_id"))
     if roots is not None:
