@@ -44,8 +44,8 @@ SIMILAR = 80
 COMMON = 65_536
 OFTEN = 16
 #: Rests of a region up to this size are compared directly; larger ones get this many pivots a round.
-LEAF = 32
-PIVOTS = 16
+LEAF = 64
+PIVOTS = 64
 #: Counts in a sketch.
 SKETCH = 128
 #: First shingles in a bucket, about.
