@@ -34,3 +34,9 @@ def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the work folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

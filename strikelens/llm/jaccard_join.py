@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strikelens.llm.common import discard
 from strikelens.llm.components import components
 from strikelens.runtime import new_folder, stage
 
@@ -324,7 +325,8 @@ def class_links(
     if not found.groupBy("doc_id").count().filter("count > 1").isEmpty():
         sets = sets.dropDuplicates(["class"]).repartition(buckets, "class")
     dealt = sets.write.bucketBy(buckets, "class").sortBy("class")
-    dealt.option("path", new_folder(docs.sparkSession, "sets")).saveAsTable(table)
+    path = new_folder(docs.sparkSession, "sets")
+    dealt.option("path", path).saveAsTable(table)
     rounds.sets = docs.sparkSession.table(table)
     try:
         # a class and the first of its pivots, its cell; then the other pivots of classes that are still apart
@@ -335,6 +337,7 @@ def class_links(
         return _recurse(rounds, members.filter("members > 2"), measured, similar, leaf)
     finally:
         docs.sparkSession.sql(f"DROP TABLE {table}")
+        discard(docs.sparkSession, path)
 
 
 def _recurse(rounds: _Rounds, members: DataFrame, measured: DataFrame, similar: int, leaf: int) -> DataFrame:
@@ -390,8 +393,7 @@ def join(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, common: in
     found = stage(written.filter("bucket = -1").select("doc_id", "n_shingles", "class", "sketch"), "sets-of-documents")
     members = stage(region_members(written), "members")
     # what is larger than all that follows is not needed any more
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    discard(spark, path)
     roots = class_links(docs, found, members, similar, leaf, words)
     rows = found.select("doc_id", "n_shingles", "class")
     some = rows.filter("n_shingles > 0")
