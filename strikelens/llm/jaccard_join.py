@@ -226,16 +226,17 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
 
 
 def sets_of(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """class, shingles of documents that come with their class."""
+    """class, sorted shingles, and how many of them are in the lowest quarter of all hashes, of documents that come with their class."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _sets(batches, words):
             # identifiers may repeat with another text
             own = [(c, s) for c, s in zip(batch.column("class").to_pylist(), sets) if c == class_of(s)]
             columns = [pa.array([c for c, _ in own], pa.int64()), pa.array([s for _, s in own], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["class", "shingles"])
+            low = pa.array([int(np.searchsorted(s, -(1 << 62))) for _, s in own], pa.int32())
+            yield pa.RecordBatch.from_arrays([*columns, low], names=["class", "shingles", "low"])
 
-    return _binary(docs, "class").mapInArrow(make, "class long, shingles array<long>")
+    return _binary(docs, "class").mapInArrow(make, "class long, shingles array<long>, low int")
 
 
 def _comparable(n_a: str, n_b: str, similar: int) -> Column:
@@ -263,18 +264,33 @@ class _Rounds:
         rows = rows.withColumn("most", most).filter(100 * F.col("most") >= self.similar * (F.col("size_a") + F.col("size_b") - F.col("most")))
         return stage(rows.select("a", "b"), "possible")
 
-    def measure(self, pairs: DataFrame) -> DataFrame:
-        """``pairs`` (a, b), chosen by ``possible``, with the size of intersection and union; written.
+    def _shared(self, pairs: DataFrame, whole: bool) -> DataFrame:
+        """a, b, size_a, size_b and what the sets share: of the ``whole``, or of the lowest quarter of all hashes, with what lies above it.
 
         The sets lie in buckets by class and are not shuffled; what travels is a set for each pair and one for each first end.
         """
-        of = lambda end: self.sets.select(F.col("class").alias(end), F.col("shingles").alias(f"of_{end}"))
+
+        def of(end: str) -> DataFrame:
+            size = F.size("shingles")
+            chosen = F.col("shingles") if whole else F.slice("shingles", F.lit(1), F.col("low"))
+            above = (size - F.when(F.lit(whole), size).otherwise(F.col("low"))).alias(f"above_{end}")
+            return self.sets.select(F.col("class").alias(end), chosen.alias(f"of_{end}"), size.alias(f"size_{end}"), above)
+
         with_b = pairs.select("a", "b").join(of("b"), "b")
         firsts = pairs.select("a").distinct().join(of("a"), "a")
         both = with_b.join(firsts, "a")
-        shared = both.select(
-            "a", "b", F.size(F.array_intersect("of_a", "of_b")).alias("shared"), (F.size("of_a") + F.size("of_b")).alias("total")
-        )
+        common = F.size(F.array_intersect("of_a", "of_b")).alias("shared")
+        return both.select("a", "b", "size_a", "size_b", "above_a", "above_b", common)
+
+    def measure(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` (a, b), chosen by ``possible``, with the size of intersection and union; written.
+
+        Sets that share too little in a quarter of the hashes to make up for it in the rest are not compared further.
+        """
+        most = F.col("shared") + F.least("above_a", "above_b")
+        enough = 100 * most >= self.similar * (F.col("size_a") + F.col("size_b") - most)
+        pairs = stage(self._shared(pairs, whole=False).filter(enough).select("a", "b"), "enough")
+        shared = self._shared(pairs, whole=True).select("a", "b", "shared", (F.col("size_a") + F.col("size_b")).alias("total"))
         measured = shared.withColumn("joined", F.col("total") - F.col("shared")).drop("total")
         measured = measured.withColumn("linked", 100 * F.col("shared") >= self.similar * F.col("joined"))
         measured = stage(measured, "measured")
