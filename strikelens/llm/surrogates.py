@@ -8,7 +8,9 @@ title's gender in their script.
 
 Distinctness is checked over the whole corpus: no two entities share a surrogate and no surrogate is
 an entity that occurs. Of entities that collide the first stays and the others draw again, until
-none is left. Only canonical forms are shuffled for that, combined in each task first; a document needs no more than
+none is left. What can be drawn grows with the number of the draw, so there is always an end: an invented name gets one more
+syllable each time, anything else that keeps its format one more letter or digit after ``GROWS_AFTER`` draws, which only formats
+that are nearly used up reach. Addresses of machines alone do not grow; there are 3.7 billion of them. Only canonical forms are shuffled for that, combined in each task first; a document needs no more than
 the numbers of draws that are not the first, which are few.
 
 Null text stays null; empty texts and texts without entities stay as they are. Repeated rows get equal
@@ -18,6 +20,7 @@ through by ``replace``, except ``n_entities`` and ``n_by_kind``, which it sets.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -50,17 +53,19 @@ NUMBERS = {
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){3}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9])",
 }
 KINDS = (*WORDS, *NUMBERS)
+#: After so many draws what keeps its format gets longer.
+GROWS_AFTER = 6
 #: Letters by script and case, and the hexadecimal digits.
 LETTERS = {
     "0-9": "0123456789",
     "a-z": "abcdefghijklmnopqrstuvwxyz",
     "A-Z": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-    "à-öø-ÿ": "àáâäçèéêëìíîïñòóôöùúûü",
+    "à-öø-þ": "àáâäçèéêëìíîïñòóôöùúûü",
     "À-ÖØ-Þ": "ÀÁÂÄÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜ",
-    "а-я": "абвгдежзийклмнопрстуфхцчшщыэюя",
-    "А-Я": "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЫЭЮЯ",
-    "α-ω": "αβγδεζηθικλμνξοπρστυφχψω",
-    "Α-Ω": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
+    "а-яё": "абвгдежзийклмнопрстуфхцчшщыэюя",
+    "А-ЯЁ": "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЫЭЮЯ",
+    "ά-ώ": "αβγδεζηθικλμνξοπρστυφχψω",
+    "ΆΈ-ΊΌΎΏΑ-Ϋ": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
 }
 HEXADECIMAL = "0123456789abcdef"
 #: Syllables and endings of invented names, by script: Latin, Cyrillic, Greek.
@@ -128,8 +133,21 @@ def _pick(stream: Column, k: Column, letters: str) -> Column:
     return F.substr(F.lit(letters), _number(stream, k, len(letters)) + 1, F.lit(1))
 
 
-def _in_format(entity: Column, kind: Column, stream: Column) -> Column:
-    """Every letter and digit anew, by its place among letters and digits, so that marks between them change nothing."""
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _repeated(n: Column, one: Callable[[Column], Column]) -> Column:
+    """``one`` of 1 to ``n``, joined; empty if ``n`` is less than 1."""
+    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), n), one), "")).otherwise("")
+
+
+def _in_format(entity: Column, kind: Column, stream: Column, draw: Column) -> Column:
+    """Every letter and digit anew, by its place among letters and digits, so that marks between them change nothing.
+
+    Late draws add letters or digits at the end, or before the @.
+    """
     top = F.length(F.regexp_extract(entity, r"\.[^.]*$", 0))
     fixed_end = F.when(kind == "email", F.length(entity) - top).otherwise(F.length(entity))
     keeps_first = (kind == "card") | ((kind == "phone") & entity.startswith("+"))
@@ -141,9 +159,23 @@ def _in_format(entity: Column, kind: Column, stream: Column) -> Column:
         for characters, letters in LETTERS.items():
             new = new.when(own.rlike(f"^[{characters}]$"), _pick(stream, k, letters))
         stays = (i > fixed_end) | (keeps_first & (k == 0)) | ~own.rlike(r"^[\p{L}\p{N}]$")
-        return F.when(stays, own).otherwise(F.coalesce(new, own))
+        # letters and digits of other scripts become Latin ones
+        other = (
+            F.when(own.rlike(r"^\p{N}$"), _pick(stream, k, LETTERS["0-9"]))
+            .when(own.rlike(r"^\p{Lu}$"), _pick(stream, k, LETTERS["A-Z"]))
+            .otherwise(_pick(stream, k, LETTERS["a-z"]))
+        )
+        return F.when(stays, own).otherwise(F.coalesce(new, other))
+
+    def more(j: Column) -> Column:
+        k = F.lit(63) - j
+        digit = _pick(stream, k, LETTERS["0-9"])
+        return F.when(kind.isin("email", "secret"), _pick(stream, k, LETTERS["a-z"])).otherwise(digit)
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(entity)), letter), "")
+    made = F.array_join(F.transform(F.sequence(F.lit(1), F.length(entity)), letter), "")
+    cut = F.when(kind == "email", F.instr(entity, "@") - 1).otherwise(F.length(entity))
+    grown = F.concat(F.substr(made, F.lit(1), cut), _repeated(draw - GROWS_AFTER, more), F.substr(made, cut + 1))
+    return F.when(draw > GROWS_AFTER, grown).otherwise(made)
 
 
 def _machine(stream: Column) -> Column:
@@ -151,8 +183,8 @@ def _machine(stream: Column) -> Column:
     return F.concat_ws(".", first, *[_number(stream, F.lit(k), 256) for k in (1, 2, 3)])
 
 
-def _invented(stream: Column, words: Column, female: Column, script: Column) -> Column:
-    """As many names as ``words``: of the gender first, then of no gender."""
+def _invented(stream: Column, words: Column, female: Column, script: Column, draw: Column) -> Column:
+    """As many names as ``words``: of the gender first, with a syllable more for each draw, then of no gender."""
 
     def one(i: Column) -> Column:
         made = []
@@ -160,20 +192,24 @@ def _invented(stream: Column, words: Column, female: Column, script: Column) ->
             all_of = F.split(F.lit(syllables), " ")
             part = lambda k: F.get(all_of, _number(stream, i * 3 + k, len(syllables.split())))  # noqa: B023, E731
             ending = F.when(female, ENDINGS["female"][s]).otherwise(ENDINGS["male"][s])
-            made.append(F.concat(part(0), part(1), F.when(i == 0, ending).otherwise(part(2))))
+            more = _repeated(draw, lambda j: F.get(all_of, _number(stream, F.lit(63) - j, len(syllables.split()))))  # noqa: B023
+            made.append(F.concat(part(0), part(1), F.when(i == 0, F.concat(more, ending)).otherwise(part(2))))
         return F.initcap(F.when(script == 1, made[1]).when(script == 2, made[2]).otherwise(made[0]))
 
     return F.array_join(F.transform(F.sequence(F.lit(0), words - 1), one), " ")
 
 
 def surrogate(entity: Column, kind: Column, canon: Column, draw: Column, key: str = KEY) -> Column:
-    stream = _stream(kind, canon, draw, key)
+    return _bound(_stream(kind, canon, draw, key), lambda stream: _drawn(entity, kind, stream, draw))
+
+
+def _drawn(entity: Column, kind: Column, stream: Column, draw: Column) -> Column:
     name = F.regexp_replace(entity, rf"^{_TITLE}\.? ", "")
     title = F.substr(entity, F.lit(1), F.length(entity) - F.length(name))
     words = F.size(F.split(name, " "))
     script = F.when(name.rlike("[А-Яа-я]"), 1).when(name.rlike("[Α-Ωα-ω]"), 2).otherwise(0)
-    person = F.concat(title, _invented(stream, words, _is_female(entity), script))
-    return F.when(kind == "ip", _machine(stream)).when(kind == "name", person).otherwise(_in_format(entity, kind, stream))
+    person = F.concat(title, _invented(stream, words, _is_female(entity), script, draw))
+    return F.when(kind == "ip", _machine(stream)).when(kind == "name", person).otherwise(_in_format(entity, kind, stream, draw))
 
 
 def _found() -> Column:
@@ -199,7 +235,7 @@ def draws(found: DataFrame, key: str = KEY) -> DataFrame:
 
     def drawn(rows: DataFrame) -> DataFrame:
         new = surrogate(F.col("entity"), kind, canon, F.col("draw"), key)
-        return stage(rows.withColumn("new", canonical(new, kind)), "draws")
+        return stage(rows.withColumn("new", _bound(new, lambda n: canonical(n, kind))), "draws")
 
     settled = drawn(found.withColumn("draw", F.lit(0)))
     taken = found.select("kind", F.col("canon").alias("new"), F.lit(True).alias("real"))
@@ -224,7 +260,7 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     cut = cut.withColumn("_s_parts", F.when(F.size("_s_found") > 0, F.split("text", _ANY, -1)))
     cut = cut.withColumn(
         "_s_named",
-        F.transform("_s_found", lambda e: F.struct(e.alias("entity"), kind_of(e).alias("kind"), canonical(e, kind_of(e)).alias("canon"))),
+        F.transform("_s_found", lambda e: _bound(kind_of(e), lambda k: F.struct(e.alias("entity"), k.alias("kind"), canonical(e, k).alias("canon")))),
     )
     # the documents whose entities needed a later draw, with those draws
     hit = own.join(later, ["kind", "canon"]).select("doc_id", "print", F.struct(F.concat_ws("|", "kind", "canon"), "draw").alias("hit"))

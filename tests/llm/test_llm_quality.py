@@ -193,3 +193,20 @@ def test_surrogates_stay_distinct(spark):
     assert not real & {(r.kind, r.new) for r in found}
     texts = [r.text for r in surrogates.replace(docs).collect()]
     assert len(set(texts)) == len(texts)
+
+
+def test_small_spaces_of_surrogates_grow(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "GROWS_AFTER", 2)
+    # more names of a gender and script than two syllables make, and formats in which everything or nothing can be drawn
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = ["".join(letters[n // 26**k % 26] for k in range(4)).capitalize() for n in range(10_000)]
+    greek = ["".join("αβγδεζηθικλμνξοπ"[n // 16**k % 16] for k in range(4)).capitalize() for n in range(1500)]
+    texts = [f"Mr {n} came" for n in names] + [f"Frau {n} kam" for n in greek]
+    texts += [f"{a}@{b}.de" for a in letters for b in letters] + ["用户@例子.公司", 'key = "------------"', "ł@ł.pl"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = surrogates.draws(surrogates.entities(surrogates.occurrences(docs))).collect()
+    assert len({(r.kind, r.new) for r in found}) == len(found) == len(texts)
+    assert not {(r.kind, r.canon) for r in found} & {(r.kind, r.new) for r in found}
+    assert all(re.fullmatch("m [a-z]+ron|f [α-ω]+να", r.new) for r in found if r.kind == "name")
+    new = [r.text for r in surrogates.replace(docs).collect()]
+    assert len(set(new)) == len(new) and not set(new) & set(texts)
