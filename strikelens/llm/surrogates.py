@@ -4,7 +4,12 @@ Entities are found by one pattern, and each gets a replacement drawn by a keyed
 canonical form: the same entity gets the same surrogate in every document and in every way of writing it,
 and nobody without the key can tell which it was. Digits become digits, letters become letters of the same script
 and case, marks stay; addresses of machines have valid numbers; names after a title get a name of that
-title's gender in their script.
+title's gender in their script, of no gender after a degree alone. Case counts for nothing
+in names, e-mails and hexadecimal strings, and 00 before a country is +.
+
+Not found: names without one of the titles listed, inflected titles, initials, particles and hyphenated or apostrophised parts of
+names; secrets that are neither quoted after one of four English keywords nor of a known prefix; telephone numbers as plain digits
+without + or in other groups than ``_PLAIN_PHONE``; IBANs in small letters; addresses of machines with colons; postal addresses.
 
 Distinctness is checked over the whole corpus: no two entities share a surrogate and no surrogate is
 an entity that occurs. Of entities that collide the first stays and the others draw again, until
@@ -30,27 +35,57 @@ from pyspark.sql import functions as F
 from strikelens.runtime import stage
 
 KEY = "surrogates-1"
-#: Titles by gender.
-FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Mme", "Sra", "Señora", "Doña")
-MALE = ("Mr", "Herr", "Sr", "Señor", "Don", "Monsieur")
+#: Titles by gender, and degrees, which tell none and may follow a title. They are found in capitals as well, and in
+#: small letters but for ``CAPITALISED``.
+FEMALE = (
+    *("Mrs", "Ms", "Miss", "Frau", "Mme", "Madame", "Mlle", "Sra", "Srta", "Señora", "Señorita", "Doña", "Signora", "Dra", "Professorin"),
+    *("Госпожа", "Г-жа", "Пани", "Κυρία", "Κα", "Καθηγήτρια"),
+)
+MALE = (
+    *("Mr", "Herr", "Herrn", "Sr", "Señor", "Don", "Monsieur", "Signor"),
+    *("Господин", "Г-н", "Пан", "Κύριος", "Κύριο", "Κος", "Καθηγητής"),
+)
+DEGREES = (
+    *("Dr", "Prof", "Professor", "Doctor", "Doktor", "Docteur", "Professeur", "Profesor"),
+    *("Доктор", "Д-р", "Проф", "Профессор", "Академик", "Δρ", "Καθ", "Κ"),
+)
+#: In small letters these are other words.
+CAPITALISED = ("Miss", "Ms", "Don", "Пан")
+
+
+def _any_of(titles: tuple[str, ...]) -> str:
+    """A pattern of ``titles`` in the cases in which they are found."""
+    small = [t.lower() for t in titles if t not in CAPITALISED]
+    return f"(?:{'|'.join(sorted({*titles, *small, *(t.upper() for t in titles)}))})"
+
 
-_TITLE = f"(?:{'|'.join((*FEMALE, *MALE))})"
+#: A title, with the degrees after it; what follows is not a degree.
+_HEAD = rf"{_any_of((*FEMALE, *MALE, *DEGREES))}\.? (?:{_any_of(DEGREES)}\.? )*+(?!{_any_of(DEGREES)}(?!\p{{L}}))"
 #: What each kind looks like; at one place the first that fits counts. The first ones begin where no letter or digit is before.
 WORDS = {
     "email": r"(?<![._%+\-])[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)+",
     "iban": r"[A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}|(?: [0-9A-Z]{4}){3,7}(?: [0-9A-Z]{1,3})?)(?![\p{L}\p{N}])",
-    "hex": r"[0-9a-f]{32,128}(?![\p{L}\p{N}])",
-    "secret": r"(?<!_)(?:AKIA[0-9A-Z]{16}|gh[oprsu]_[0-9A-Za-z]{30,}|sk-[0-9A-Za-z]{20,})"
-    r"|(?<=(?:token|secret|key|password)[\"']? ?[=:] ?[\"'])[0-9A-Za-z_+/\-]{12,}(?=[\"'])",
-    "name": rf"{_TITLE}\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?",
+    "hex": r"[0-9a-fA-F]{32,128}(?![\p{L}\p{N}])",
+    "secret": r"(?<!_)(?i:AKIA[0-9A-Z]{16}(?![0-9A-Z])|gh[oprsu]_[0-9A-Z]{30,}|sk-[0-9A-Z]{20,})"
+    r"|(?<=(?i:token|secret|key|password)[\"']? ?[=:] ?[\"'])[0-9A-Za-z_+/\-]{12,}(?=[\"'])",
+    "name": rf"{_HEAD}\p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?",
 }
+#: Telephone numbers without + or brackets: three, three and four digits, perhaps after a 1; 00 and a country; 0 and an area.
+_PLAIN_PHONE = (
+    r"(?:(?:1[ .\-])?[0-9]{3}[ .\-][0-9]{3}[ .\-][0-9]{4}|1[ .\-]?\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}"
+    r"|00[1-9][0-9]{0,2} (?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ \-][0-9]{2,8}){1,4}"
+    r"|0[1-9](?: [0-9]{2}){4}|0[1-9][0-9]{1,3} [0-9]{3,4} [0-9]{3,4}|0[1-9][0-9]{1,3}[ /][0-9]{5,8})"
+)
+_CARD = r"[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){3}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5}"
 #: These begin with a digit or one of two marks.
 NUMBERS = {
     "phone": r"\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .\-]?[0-9]{2,4}){2,4}(?![0-9])"
-    r"|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}(?![0-9])|(?<![0-9.\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9.\-])",
+    r"|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}(?![0-9])"
+    r"|(?<![0-9.\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9.\-])"
+    rf"|(?<![0-9.\-/])(?<![0-9] ){_PLAIN_PHONE}(?![0-9\-]|[ .,][0-9])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "national": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
-    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){3}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9])",
+    "card": rf"(?<![0-9])(?:{_CARD})(?![0-9])",
 }
 KINDS = (*WORDS, *NUMBERS)
 #: After so many draws what keeps its format gets longer.
@@ -75,25 +110,29 @@ SYLLABLES = (
     "ба бе би бо ва ве ви га го да де до жа за ка ки ла ле ли ма ми на не ни но па ра ре ри ро са се та те ти фа хо",
     "βα βε γα γε δα δε δι ζα θε κα κε λα λε λι μα με μι να νε νι πα πε ρα ρε ρι σα σε τα τε τι φα φι",
 )
-ENDINGS = {"female": ("na", "на", "να"), "male": ("ron", "рон", "ρος")}
+ENDINGS = {"female": ("na", "на", "να"), "male": ("ron", "рон", "ρος"), "neither": ("lin", "лин", "λιν")}
 
 _ANY = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(WORDS.values())})|(?=[+(0-9])(?:{'|'.join(NUMBERS.values())})"
 #: A text with none of these, which is quickly seen, has no entity.
-_SIGNS = (*"0123456789@", "AKIA", "gho_", "ghp_", "ghs_", "ghu_", "ghr_", "sk-", "token", "secret", "key", "password", *FEMALE, *MALE)
+_SIGNS = tuple("0123456789@")
+#: Words that may stand before an entity or begin one, told by their first letter where it can be.
+_WORD_SIGNS = (
+    rf"(?=[{''.join(sorted({c for t in (*FEMALE, *MALE, *DEGREES) for c in t[0] + t[0].lower()}))}])(?<![\p{{L}}\p{{N}}])"
+    rf"{_any_of((*FEMALE, *MALE, *DEGREES))}\.? \p{{Lu}}|(?=[AGSTKPagstkp])(?i:akia|gh[oprsu]_|sk-|(?:token|secret|key|password)[\"']? ?[=:])"
+)
 
 
 def kind_of(entity: Column) -> Column:
     """The kind of a found entity. Only marks tell, since what stood around it is gone."""
     chosen = F.lit("secret")
-    digits = F.regexp_replace(entity, "[^0-9]", "")
     tests = {
-        "card": entity.rlike(r"^[0-9][0-9 \-]*$"),
-        "hex": entity.rlike("^[0-9a-f]{32,128}$"),
+        "hex": entity.rlike("^[0-9a-fA-F]{32,128}$"),
+        "card": entity.rlike(rf"^(?:{_CARD})$"),
         "iban": entity.rlike("^[A-Z]{2}[0-9]{2}[0-9A-Z ]{11,}$"),
         "national": entity.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"),
-        "phone": entity.rlike(r"^[+(]") | (entity.rlike(r"^[0-9]{3}[.\-][0-9]{3}[.\-]") & (F.length(digits) == 10)),
+        "phone": entity.rlike(rf"^(?:[+(]|{_PLAIN_PHONE}$)"),
         "ip": entity.rlike(r"^(?:[0-9]{1,3}\.){3}[0-9]{1,3}$"),
-        "name": entity.rlike(rf"^{_TITLE}\.? "),
+        "name": entity.rlike(rf"^{_HEAD}"),
         "email": entity.contains("@"),
     }
     for kind, test in tests.items():
@@ -103,19 +142,26 @@ def kind_of(entity: Column) -> Column:
 
 def canonical(entity: Column, kind: Column) -> Column:
     """What all ways of writing an entity have in common."""
-    name = F.regexp_replace(entity, rf"^{_TITLE}\.? ", "")
-    woman = F.when(_is_female(entity), "f ").otherwise("m ")
+    name = F.regexp_replace(entity, rf"^{_HEAD}", "")
+    gender = F.when(_has_title(entity, FEMALE), "f ").when(_has_title(entity, MALE), "m ").otherwise("n ")
+    digits = F.regexp_replace(entity, "[^0-9]", "")
     return (
-        F.when(kind == "email", F.lower(entity))
-        .when(kind.isin("phone", "card", "national"), F.regexp_replace(entity, "[^0-9]", ""))
+        F.when(kind.isin("email", "hex"), F.lower(entity))
+        .when((kind == "phone") & _is_abroad(entity), F.concat(F.lit("+"), F.regexp_replace(digits, "^00", "")))
+        .when(kind.isin("phone", "card", "national"), digits)
         .when(kind == "iban", F.regexp_replace(entity, " ", ""))
-        .when(kind == "name", F.concat(woman, F.lower(name)))
+        .when(kind == "name", F.concat(gender, F.lower(name)))
         .otherwise(entity)
     )
 
 
-def _is_female(entity: Column) -> Column:
-    return entity.rlike(rf"^(?:{'|'.join(FEMALE)})\.? ")
+def _has_title(entity: Column, titles: tuple[str, ...]) -> Column:
+    return entity.rlike(rf"^{_any_of(titles)}\.? ")
+
+
+def _is_abroad(entity: Column) -> Column:
+    """Whether a telephone number begins with the country: after +, after 00, or 1 before ten digits."""
+    return entity.rlike(r"^(?:\+|00|1[^0-9]*(?:[0-9][^0-9]*){10}$)")
 
 
 def _stream(kind: Column, canon: Column, draw: Column, key: str) -> Column:
@@ -150,15 +196,19 @@ def _in_format(entity: Column, kind: Column, stream: Column, draw: Column) -> Co
     """
     top = F.length(F.regexp_extract(entity, r"\.[^.]*$", 0))
     fixed_end = F.when(kind == "email", F.length(entity) - top).otherwise(F.length(entity))
-    keeps_first = (kind == "card") | ((kind == "phone") & entity.startswith("+"))
+    keeps_first = (kind == "card") | ((kind == "phone") & (_is_abroad(entity) | entity.startswith("0")))
+    # 00 stands for +
+    before = F.when((kind == "phone") & entity.startswith("00"), 2).otherwise(0)
+    shouted = entity.rlike("[A-F]") & ~entity.rlike("[a-f]")
 
     def letter(i: Column) -> Column:
         own = F.substr(entity, i, F.lit(1))
-        k = F.length(F.regexp_replace(F.substr(entity, F.lit(1), i), r"[^\p{L}\p{N}]", "")) - 1
-        new = F.when(kind == "hex", _pick(stream, k, HEXADECIMAL))
+        k = F.length(F.regexp_replace(F.substr(entity, F.lit(1), i), r"[^\p{L}\p{N}]", "")) - 1 - before
+        hexadecimal = _pick(stream, k, HEXADECIMAL)
+        new = F.when(kind == "hex", F.when(shouted | own.rlike("[A-F]"), F.upper(hexadecimal)).otherwise(hexadecimal))
         for characters, letters in LETTERS.items():
             new = new.when(own.rlike(f"^[{characters}]$"), _pick(stream, k, letters))
-        stays = (i > fixed_end) | (keeps_first & (k == 0)) | ~own.rlike(r"^[\p{L}\p{N}]$")
+        stays = (i > fixed_end) | (keeps_first & (k <= 0)) | ~own.rlike(r"^[\p{L}\p{N}]$")
         # letters and digits of other scripts become Latin ones
         other = (
             F.when(own.rlike(r"^\p{N}$"), _pick(stream, k, LETTERS["0-9"]))
@@ -183,7 +233,7 @@ def _machine(stream: Column) -> Column:
     return F.concat_ws(".", first, *[_number(stream, F.lit(k), 256) for k in (1, 2, 3)])
 
 
-def _invented(stream: Column, words: Column, female: Column, script: Column, draw: Column) -> Column:
+def _invented(stream: Column, words: Column, female: Column, male: Column, script: Column, draw: Column) -> Column:
     """As many names as ``words``: of the gender first, with a syllable more for each draw, then of no gender."""
 
     def one(i: Column) -> Column:
@@ -191,7 +241,7 @@ def _invented(stream: Column, words: Column, female: Column, script: Column, dra
         for s, syllables in enumerate(SYLLABLES):
             all_of = F.split(F.lit(syllables), " ")
             part = lambda k: F.get(all_of, _number(stream, i * 3 + k, len(syllables.split())))  # noqa: B023, E731
-            ending = F.when(female, ENDINGS["female"][s]).otherwise(ENDINGS["male"][s])
+            ending = F.when(female, ENDINGS["female"][s]).when(male, ENDINGS["male"][s]).otherwise(ENDINGS["neither"][s])
             more = _repeated(draw, lambda j: F.get(all_of, _number(stream, F.lit(63) - j, len(syllables.split()))))  # noqa: B023
             made.append(F.concat(part(0), part(1), F.when(i == 0, F.concat(more, ending)).otherwise(part(2))))
         return F.initcap(F.when(script == 1, made[1]).when(script == 2, made[2]).otherwise(made[0]))
@@ -204,17 +254,18 @@ def surrogate(entity: Column, kind: Column, canon: Column, draw: Column, key: st
 
 
 def _drawn(entity: Column, kind: Column, stream: Column, draw: Column) -> Column:
-    name = F.regexp_replace(entity, rf"^{_TITLE}\.? ", "")
+    name = F.regexp_replace(entity, rf"^{_HEAD}", "")
     title = F.substr(entity, F.lit(1), F.length(entity) - F.length(name))
     words = F.size(F.split(name, " "))
     script = F.when(name.rlike("[А-Яа-я]"), 1).when(name.rlike("[Α-Ωα-ω]"), 2).otherwise(0)
-    person = F.concat(title, _invented(stream, words, _is_female(entity), script, draw))
+    invented = _invented(stream, words, _has_title(entity, FEMALE), _has_title(entity, MALE), script, draw)
+    person = F.concat(title, F.when(name == F.upper(name), F.upper(invented)).otherwise(invented))
     return F.when(kind == "ip", _machine(stream)).when(kind == "name", person).otherwise(_in_format(entity, kind, stream, draw))
 
 
 def _found() -> Column:
     """The entities in ``text``, in order."""
-    some = reduce(or_, [F.col("text").contains(sign) for sign in _SIGNS])
+    some = reduce(or_, [F.col("text").contains(sign) for sign in _SIGNS]) | F.col("text").rlike(_WORD_SIGNS)
     return F.when(some, F.regexp_extract_all("text", F.lit(_ANY), 0))
 
 

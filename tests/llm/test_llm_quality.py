@@ -210,3 +210,38 @@ def test_small_spaces_of_surrogates_grow(spark, monkeypatch):
     assert all(re.fullmatch("m [a-z]+ron|f [α-ω]+να", r.new) for r in found if r.kind == "name")
     new = [r.text for r in surrogates.replace(docs).collect()]
     assert len(set(new)) == len(new) and not set(new) & set(texts)
+
+
+FOUND = [
+    # what is found, and how its surrogate looks
+    ('TOKEN = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"', 'TOKEN = "[0-9A-F]{40}"'),
+    ('token = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"', 'token = "[0-9a-f]{40}"'),
+    ('PASSWORD: "Correct_Horse_Staple"', 'PASSWORD: "[A-Z][a-z]{6}_[A-Z][a-z]{4}_[A-Z][a-z]{5}"'),
+    ("Dr. Meier kam", r"Dr\. [A-Z][a-z]+lin kam"),
+    ("DR. MEIER KAM", r"DR\. [A-Z]+LIN [A-Z]+"),
+    ("Frau Prof. Dr. Weber kam", r"Frau Prof\. Dr\. [A-Z][a-z]+na kam"),
+    ("тут г-н Иванов сказал", "тут г-н [А-Я][а-я]+рон сказал"),
+    ("Госпожа Петрова", "Госпожа [А-Я][а-я]+на"),
+    ("η κυρία Παππά ήρθε", "η κυρία [Α-Ω][α-ω]+να ήρθε"),
+    ("Δρ. Παππάς ήρθε", r"Δρ\. [Α-Ω][α-ω]+λιν ήρθε"),
+    ("call 212 555 0199 now", r"call \d{3} \d{3} \d{4} now"),
+    ("call 1-800-555-0199 now", r"call 1-\d{3}-\d{3}-\d{4} now"),
+    ("ruf 030 1234567 an", r"ruf 0\d\d \d{7} an"),
+    ("appelle 06 12 34 56 78.", r"appelle 0\d(?: \d\d){4}\."),
+    ("ring 020 7946 0958, please", r"ring 0\d\d \d{4} \d{4}, please"),
+    ("ruf 0049 30 1234567 an", r"ruf 004\d \d\d \d{7} an"),
+    ("ruf +49 30 1234567 an", r"ruf \+4\d \d\d \d{7} an"),
+]
+CLEAN = ["Prof. Dr. h.c. kam", "I miss Paris", "on 05-02-2024 or 2024 05 02", "100 200 3000 400", "the keys: none", "0.5 0.25 012 345", "Drink Drachme"]
+
+
+def test_forms_that_surrogates_find(spark):
+    texts = [text for text, _ in FOUND] + CLEAN
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.text for r in surrogates.replace(docs).collect()}
+    for i, (text, form) in enumerate(FOUND):
+        assert re.fullmatch(form, found[i]) and found[i] != text, (text, found[i])
+    assert [found[len(FOUND) + i] for i in range(len(CLEAN))] == CLEAN
+    # the same entity in another way of writing
+    assert found[0].lower() == found[1]
+    assert re.sub(r"\D", "", found[15])[2:] == re.sub(r"\D", "", found[16])
