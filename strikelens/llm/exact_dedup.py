@@ -171,5 +171,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.sha2(content(), 256).alias("_digest")
     )
     same = F.col("_id").eqNullSafe(F.col("_keep_id")) & (F.col("_digest") == F.col("_keep_digest"))
-    longest = F.max_by("_row", F.char_length("_row.text")).alias("_row")
+    # a null text has length 0; of equal lengths a text goes before null, then its hash decides
+    order = F.struct(
+        F.char_length(F.coalesce("_row.text", F.lit(""))), F.col("_row.text").isNotNull(), F.xxhash64("_row.text")
+    )
+    longest = F.max_by("_row", order).alias("_row")
     return rows.join(keepers, same).groupBy("_id", "_digest").agg(longest).select("_row.*")

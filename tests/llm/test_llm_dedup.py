@@ -48,6 +48,14 @@ def test_exact_dedup_keeps_one_row_of_each_content(spark):
     assert exact_dedup.decisions(samples.empty(spark)).count() == 0
 
 
+def test_exact_dedup_keeps_rows_of_null_text(spark):
+    rows = [(7, None, "a"), (9, None, "b"), (3, "x y", "c"), (None, None, "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert sorted(map(tuple, exact_dedup.deduplicate(docs).collect())) == [(3, "x y", "c"), (7, None, "a")]
+    repeated = spark.createDataFrame([(7, None, "a"), (7, "", "a")], docs.schema)
+    assert [tuple(r) for r in exact_dedup.deduplicate(repeated).collect()] == [(7, "", "a")]
+
+
 def test_state_goes_on_with_further_tables(spark, folder):
     seen = exact_dedup.SeenTexts(spark, folder())
     for part in ([(1, "a b"), (2, "c")], [(3, "ab"), (4, "a  b")]):
