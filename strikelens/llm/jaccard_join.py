@@ -6,10 +6,10 @@ last), so a region is all classes with such a shingle, and no link crosses regio
 at distance 1 from any pivot, which is why regions start from shingles and not from a few pivots for all.
 
 A region's pivot is its smallest class. Over all regions a class meets several pivots, and the first
-round measures it against one of them, its cell; it is linked, beyond the radius, or undecided.
+round measures it against the smallest of them, which need not be the nearest; it is linked, beyond the radius, or undecided.
 Later rounds measure only where classes of one region are not in one component yet: the remaining
-pivots, and then, in regions that still hold several components, pivots
-of what is left, recursively. By the triangle inequality a class within the radius of the pivot can only be linked to
+pivots, and then, in regions that still hold several components, blocks of ``PIVOTS`` classes against
+all others in other components, without distances, until each has been in a block. Once before that, by the triangle inequality a class within the radius of the pivot can only be linked to
 those within twice the radius of it, so others leave with the pivot, and classes on the boundary go on with both sides.
 Small rests are compared directly. Before sets are compared,
 sketches that bound what they can share sort out most pairs. A region is done when all its classes are in one component or its pairs are measured; no
