@@ -68,7 +68,8 @@ def read_untyped(spark: SparkSession, path: str) -> DataFrame:
     raw = reader.schema(schema).csv(path)
     # a comma before each field, so that empty ones are found too
     text = F.concat(F.lit(","), F.regexp_replace("whole", r"\r?\n$", ""))
-    found = F.regexp_extract_all(text, F.lit(',("(?:[^"]|"")*"|[^,]*)'), 1)
+    # nothing is given back once matched, so that a long field takes no stack
+    found = F.regexp_extract_all(text, F.lit(',("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'), 1)
     plain = lambda x: F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
     cut = F.transform(found, lambda x: F.when(x.startswith('"'), plain(x)).otherwise(x))
     pair = F.array(*[F.coalesce(c, F.lit("")) for c in ("first", "second")])

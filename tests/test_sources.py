@@ -89,6 +89,14 @@ def test_untyped_records_keep_their_own_width(spark, tmp_path):
     assert [r.fields for r in csv_files.read_untyped(spark, path).collect()] == expected
 
 
+@pytest.mark.parametrize("length", [2_000, 100_000, 1_000_000])
+def test_untyped_records_with_long_fields(spark, tmp_path, length):
+    long, quotes = "ab\n," * (length // 4), '"' * (length // 2)
+    doubled = quotes.replace('"', '""')
+    path = write(str(tmp_path / "raw.csv"), f'1,"{long}",{"x" * length}\n"{doubled}",2,3,4\n')
+    assert [r.fields for r in csv_files.read_untyped(spark, path).collect()] == [["1", long, "x" * length], [quotes, "2", "3", "4"]]
+
+
 def test_details_are_the_same_from_file_folder_and_pattern(spark, folder):
     path = folder()
     frame = details(spark, VALID, UNKNOWN).withColumn("operator", F.lit('one\ntwo, "three"'))
