@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +45,45 @@ def discard(spark: SparkSession, path: str) -> None:
     """Deletes a folder of the work folder that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def row_key() -> Column:
+    """What tells rows apart: 16 bytes of identifier and whole text; rows that repeat both share it."""
+    identifier = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    return F.unhex(F.md5(F.concat(identifier, F.lit(":"), whole_text()))).alias("key")
+
+
+#: Bytes of text that Python works on at a time, and bytes and rows of a batch sent to it.
+SLICE = 4 << 20
+BATCH_BYTES = 8 << 20
+BATCH_ROWS = 4_000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, jobs send rows to Python in small batches, so that a worker's memory does not follow the length of texts."""
+    wanted = {
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices of about ``size`` bytes of ``column``; a longer one has a slice of its own."""
+    for batch in batches:
+        start = held = 0
+        for k, n in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
+            if k > start and held + (n or 0) > size:
+                yield batch.slice(start, k - start)
+                start, held = k, 0
+            held += n or 0
+        if batch.num_rows > start:
+            yield batch.slice(start)

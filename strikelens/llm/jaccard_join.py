@@ -19,8 +19,9 @@ Shingles that are very common in a task's documents are gathered in a table of b
 result. Shingles are 64-bit hashes of their words.
 
 Empty texts and null texts have an empty set and are linked to nothing; a null identifier is a row like others, and the smallest
-identifier of a component ignores it. Repeated rows are copies. An empty table gives an empty result. Only doc_id and text
-are read; ``deduplicate`` passes all columns through.
+identifier of a component ignores it. Rows that share an identifier with other texts are documents of their own. Repeated rows are
+copies. Python works on slices of a few megabytes of text at a time, so that memory follows the longest text and not a batch.
+An empty table gives an empty result. Only doc_id and text are read; ``deduplicate`` passes all columns through.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strikelens.llm.common import discard
+from strikelens.llm.common import WORD, discard, row_key, slices, small_batches
 from strikelens.llm.components import components
 from strikelens.runtime import new_folder, stage
 
@@ -54,8 +55,11 @@ BUCKET = 200_000
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
-#: Word hashes a worker remembers; affects time only.
-REMEMBERED = 500_000
+#: Word hashes a worker remembers, of words up to so many bytes; affects time only.
+REMEMBERED = 100_000
+SHORT = 32
+#: Offered shingles that a task holds before it combines them.
+OFFERED = 250_000
 
 
 class Shingler:
@@ -67,15 +71,15 @@ class Shingler:
     def _hashes(self, text: bytes) -> np.ndarray:
         words = text.lower().split()
         known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
         fresh = {w for w in words if w not in known}
-        if fresh:
-            if len(known) > REMEMBERED:
-                known.clear()
-                fresh = set(words)
-            digest = xxhash.xxh3_64_intdigest
-            for w in fresh:
-                known[w] = digest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        known.update((w, xxhash.xxh3_64_intdigest(w)) for w in fresh)
+        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        for w in fresh:
+            if len(w) > SHORT:
+                del known[w]
+        return hashes
 
     def set(self, text: bytes | None) -> np.ndarray:
         hashes = self._hashes(text or b"")
@@ -104,8 +108,9 @@ def _binary(docs: DataFrame, *keys: Column | str) -> DataFrame:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Slices of the batches and their sets; no more than a slice's sets are held."""
     shingler = Shingler(words)
-    for batch in batches:
+    for batch in slices(batches):
         yield batch, [shingler.set(x.as_py()) for x in batch.column("text")]
 
 
@@ -117,30 +122,46 @@ def _prefix_length(n: int, similar: int) -> int:
 def common_shingles(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, most: int = COMMON, often: int = OFTEN) -> tuple[np.ndarray, int]:
     """The shingles found most often, at most ``most``, sorted; and the number of first shingles of all documents.
 
-    Tasks offer shingles that they met ``often`` times at least.
+    Tasks offer shingles that they met ``often`` times at least among those that repeat in a slice of their texts.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        firsts = 0
+
+        def offer() -> pa.RecordBatch:
+            shingles, place = np.unique(np.concatenate([s for s, _ in held]), return_inverse=True)
+            n = np.bincount(place, np.concatenate([n for _, n in held]), len(shingles)).astype(np.int64)
+            keep = n >= often
+            columns = [pa.array(shingles[keep], pa.int64()), pa.array(n[keep])]
+            return pa.RecordBatch.from_arrays(columns, names=["shingle", "n"])
+
         for _, sets in _sets(batches, words):
             shingles, n = np.unique(np.concatenate(sets), return_counts=True)
-            keep = n >= often
-            firsts = sum(_prefix_length(len(s), similar) for s in sets)
-            found = pa.array([None, *shingles[keep].tolist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([found, pa.array([firsts, *n[keep].tolist()], pa.int64())], names=["shingle", "n"])
+            firsts += sum(_prefix_length(len(s), similar) for s in sets)
+            repeated = n > 1 if often > 1 else n > 0
+            held.append((shingles[repeated], n[repeated]))
+            if sum(len(s) for s, _ in held) > OFFERED:
+                yield offer()
+                held.clear()
+        if held:
+            yield offer()
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([firsts], pa.int64())], names=["shingle", "n"])
 
     counted = _binary(docs).mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    counted = stage(counted, "counted")
+    with small_batches(docs.sparkSession):
+        counted = stage(counted, "counted")
     total = counted.filter("shingle IS NULL").first()
     rows = counted.filter("shingle IS NOT NULL").orderBy(F.desc("n"), "shingle").limit(most).select("shingle").collect()
     return np.sort(np.array([row[0] for row in rows], np.int64)), total["n"] if total else 0
 
 
 def first_shingles(docs: DataFrame, common: np.ndarray, buckets: int, words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
-    """Two kinds of rows. Bucket -1: doc_id, n_shingles, class (a hash of the set) and sketch of a document: how many shingles
-    have each of some last bits, which bounds what two sets share.
+    """Two kinds of rows. Bucket -1: doc_id, key of the row, n_shingles, class (a hash of the set) and sketch of a document: how many
+    shingles have each of some last bits, which bounds what two sets share.
 
-    Others: the first shingles of a batch's documents that belong to a bucket, with class and size of the set they are from, as bytes
-    of arrays; of equal sets in a batch only one is there.
+    Others: the first shingles of a slice's documents that belong to a bucket, with class and size of the set they are from, as bytes
+    of arrays; of equal sets in a slice only one is there.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,11 +170,12 @@ def first_shingles(docs: DataFrame, common: np.ndarray, buckets: int, words: int
             classes = np.array([class_of(s) for s in sets], np.int64)
             n = len(sets)
             counts_of = pa.list_(pa.int32())
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), counts_of, pa.binary(), pa.binary(), pa.binary())
-            names = ["bucket", "doc_id", "n_shingles", "class", "sketch", "shingles", "classes", "sizes"]
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), counts_of, pa.binary(), pa.binary(), pa.binary())
+            names = ["bucket", "doc_id", "key", "n_shingles", "class", "sketch", "shingles", "classes", "sizes"]
             nothing = [pa.nulls(n, pa.binary())] * 3
             sketches = pa.array([np.bincount(s & (SKETCH - 1), minlength=SKETCH).astype(np.int32) for s in sets], counts_of)
-            rows = [pa.array(np.full(n, -1, np.int32)), batch.column("doc_id"), pa.array(sizes), pa.array(classes), sketches, *nothing]
+            own = [batch.column("doc_id"), batch.column("key"), pa.array(sizes), pa.array(classes), sketches]
+            rows = [pa.array(np.full(n, -1, np.int32)), *own, *nothing]
             yield pa.RecordBatch.from_arrays(rows, names=names)
             chosen = np.unique(classes, return_index=True)[1]
             firsts = []
@@ -174,12 +196,12 @@ def first_shingles(docs: DataFrame, common: np.ndarray, buckets: int, words: int
             for b in np.flatnonzero(np.diff(ends)):
                 part = order[ends[b] : ends[b + 1]]
                 packed = (x[part].tobytes() for x in (shingles, of_class, of_size))
-                for column, value in zip(columns, (int(b), None, None, None, None, *packed)):
+                for column, value in zip(columns, (int(b), None, None, None, None, None, *packed)):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    schema = "bucket int, doc_id long, n_shingles long, class long, sketch array<int>, shingles binary, classes binary, sizes binary"
-    return _binary(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(cut, schema)
+    kept = "bucket int, doc_id long, key binary, n_shingles long, class long, sketch array<int>"
+    return _binary(docs, F.col("doc_id").cast("long").alias("doc_id"), row_key()).mapInArrow(cut, f"{kept}, shingles binary, classes binary, sizes binary")
 
 
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,12 +248,18 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
 
 
 def sets_of(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """class, sorted shingles, and how many of them are in the lowest quarter of all hashes, of documents that come with their class."""
+    """class, sorted shingles, and how many of them are in the lowest quarter of all hashes, of documents that come with their class,
+    in its order; of repeated rows one counts.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch, sets in _sets(batches, words):
-            # identifiers may repeat with another text
-            own = [(c, s) for c, s in zip(batch.column("class").to_pylist(), sets) if c == class_of(s)]
+            own = []
+            for c, s in zip(batch.column("class").to_pylist(), sets):
+                if c != last:
+                    own.append((c, s))
+                last = c
             columns = [pa.array([c for c, _ in own], pa.int64()), pa.array([s for _, s in own], pa.list_(pa.int64()))]
             low = pa.array([int(np.searchsorted(s, -(1 << 62))) for _, s in own], pa.int32())
             yield pa.RecordBatch.from_arrays([*columns, low], names=["class", "shingles", "low"])
@@ -325,24 +353,22 @@ def class_links(
     stars = stage(members.filter((F.col("a") != F.col("b")) & near).select("a", "b").distinct(), "stars")
     if stars.isEmpty() and members.filter("members > 2").isEmpty():
         return None
-    classes = found.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
+    classes = found.filter("n_shingles > 0").groupBy("class").agg(F.min("key").alias("key"))
     sketched = found.filter("n_shingles > 0").groupBy("class", "n_shingles").agg(F.min("sketch").alias("sketch"))
     rounds = _Rounds(stage(sketched, "sketches"), similar)
     stars = rounds.possible(stars)
     # whole sets are made of one document of each class that may be linked
     ends = stars.select(F.col("a").alias("class")).union(stars.select("b")).union(members.filter("members > 2").select("b"))
-    chosen = classes.select("class", F.col("doc_id").alias("_id")).join(ends.distinct(), "class", "left_semi")
-    text = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
-    source = text.alias("t").join(chosen.alias("c"), F.expr("t._id <=> c._id")).select("c.class", "t.text")
+    chosen = classes.join(ends.distinct(), "class", "left_semi")
+    source = docs.select(row_key(), "text").join(chosen, "key").select("class", "text")
     table = f"jaccard_sets_{uuid.uuid4().hex}"
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # texts travel to the buckets, not their sets, which are larger
-    sets = sets_of(source.repartition(buckets, "class"), words)
-    if not found.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        sets = sets.dropDuplicates(["class"]).repartition(buckets, "class")
+    sets = sets_of(source.repartition(buckets, "class").sortWithinPartitions("class"), words)
     dealt = sets.write.bucketBy(buckets, "class").sortBy("class")
     path = new_folder(docs.sparkSession, "sets")
-    dealt.option("path", path).saveAsTable(table)
+    with small_batches(docs.sparkSession):
+        dealt.option("path", path).saveAsTable(table)
     rounds.sets = docs.sparkSession.table(table)
     try:
         # a class and the first of its pivots, its cell; then the other pivots of classes that are still apart
@@ -399,35 +425,51 @@ def _first(rest: DataFrame, pivots: int, leaf: int) -> DataFrame:
     return kept.select("region", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
 
 
-def join(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, common: int = COMMON, often: int = OFTEN, leaf: int = LEAF) -> DataFrame:
-    """doc_id, n_shingles, component_id: the smallest identifier that links reach."""
+def _joined(docs: DataFrame, words: int, similar: int, common: int, often: int, leaf: int) -> DataFrame:
+    """doc_id, key, n_shingles, component_id and root of every row: a root is one class of the component, null for an empty set."""
     often_found, firsts = common_shingles(docs, words, similar, common, often)
     spark = docs.sparkSession
     path = new_folder(spark, "first-shingles")
-    first_shingles(docs, often_found, max(16, firsts // BUCKET), words, similar).write.parquet(path)
+    with small_batches(spark):
+        first_shingles(docs, often_found, max(16, firsts // BUCKET), words, similar).write.parquet(path)
     written = spark.read.parquet(path)
-    found = stage(written.filter("bucket = -1").select("doc_id", "n_shingles", "class", "sketch"), "sets-of-documents")
+    found = stage(written.filter("bucket = -1").select("doc_id", "key", "n_shingles", "class", "sketch"), "sets-of-documents")
     members = stage(region_members(written), "members")
     # what is larger than all that follows is not needed any more
     discard(spark, path)
     roots = class_links(docs, found, members, similar, leaf, words)
-    rows = found.select("doc_id", "n_shingles", "class")
+    rows = found.select("doc_id", "key", "n_shingles", "class")
     some = rows.filter("n_shingles > 0")
     classes = some.groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    if roots is not None:
+    if roots is None:
+        classes = classes.withColumn("root", F.col("class"))
+    else:
         rooted = classes.join(roots.withColumnRenamed("node", "class"), "class", "left")
         rooted = stage(rooted.withColumn("root", F.coalesce("root", "class")), "rooted")
         lowest = rooted.groupBy("root").agg(F.min("component_id").alias("component_id"))
-        classes = rooted.select("class", "root").join(lowest, "root").select("class", "component_id")
-    none = rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return some.join(classes, "class").select("doc_id", "n_shingles", "component_id").unionByName(none)
+        classes = rooted.select("class", "root").join(lowest, "root")
+    columns = ["doc_id", "key", "n_shingles", "component_id", "root"]
+    none = rows.filter("n_shingles = 0").select(
+        "doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("root")
+    )
+    return some.join(classes, "class").select(columns).unionByName(none)
+
+
+def join(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, common: int = COMMON, often: int = OFTEN, leaf: int = LEAF) -> DataFrame:
+    """doc_id, n_shingles, component_id: the smallest identifier that links reach."""
+    return _joined(docs, words, similar, common, often, leaf).select("doc_id", "n_shingles", "component_id")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """One row of each component, that of its smallest identifier, with the columns of ``docs``; rows without identifier stay."""
-    kept = join(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.filter("doc_id IS NOT NULL").select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"))
-    rows = named.join(kept, F.col("_id") == F.col("_kept"))
-    # of rows that repeat an identifier one stays
-    single = rows.groupBy("_id").agg(F.max_by("_row", F.struct(F.length("_row.text"), F.xxhash64("_row.text"))).alias("_row"))
-    return single.select("_row.*").union(docs.filter("doc_id IS NULL"))
+    """One row of each component with the columns of ``docs``: that of its smallest identifier, or of none if no row has one.
+
+    Of rows of one component that share this identifier, and of rows that repeat it with its text, one stays. Documents
+    without words are linked with nothing and all stay.
+    """
+    joined = _joined(docs, WORDS, SIMILAR, COMMON, OFTEN, LEAF)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    linked = joined.filter("root IS NOT NULL").groupBy("root").agg(F.min_by("key", order).alias("_kept")).select("_kept")
+    rows = docs.select(F.struct("*").alias("_row"), row_key().alias("_key"))
+    chosen = rows.join(linked, F.col("_key") == F.col("_kept"))
+    single = chosen.groupBy("_key").agg(F.max_by("_row", F.xxhash64("_row")).alias("_row"))
+    return single.select("_row.*").union(docs.filter(~F.coalesce("text", F.lit("")).rlike(WORD)))

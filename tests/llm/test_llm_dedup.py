@@ -4,10 +4,11 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from llm import samples
 
-from strikelens.llm import components, exact_dedup, jaccard_join, suffix_dedup
+from strikelens.llm import common, components, exact_dedup, jaccard_join, suffix_dedup
 
 
 def plain_rows(docs):
@@ -117,7 +118,22 @@ def test_jaccard_join_of_nothing_and_rows_kept(spark):
     named = [row for row in plain_rows(docs) if row[0] is not None]
     expected = {i for i, c in expected_components(named).items() if c["component_id"] == i}
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(expected)
+    assert sorted({r.doc_id for r in kept.collect() if r.doc_id is not None}) == sorted(expected)
+
+
+def test_jaccard_rows_that_share_identifiers(spark):
+    a = samples.sentence(random.Random(3), 60)
+    near, nearer = a + " end", "begin " + a
+    rows = [(1, a), (1, "quite another text of some words here"), (2, near), (None, nearer), (None, nearer), (3, None), (3, ""), (None, "alone among all of these rows")]
+    kept = jaccard_join.deduplicate(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[0], rows[1], (3, None), (3, ""), rows[-1]], key=repr)
+
+
+def test_slices_of_batches():
+    texts = [b"a" * n for n in (3, 9, 0, 2, 30, 1, 1)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])
+    found = [s.column("text").to_pylist() for s in common.slices([batch, batch.slice(0, 0)], size=10)]
+    assert sum(found, []) == texts and [len(s) for s in found] == [1, 2, 1, 1, 3]
 
 
 def test_components_of_chains(spark):
