@@ -62,8 +62,9 @@ def _any_of(titles: tuple[str, ...]) -> str:
 #: A title, with the degrees after it; what follows is not a degree.
 _HEAD = rf"{_any_of((*FEMALE, *MALE, *DEGREES))}\.? (?:{_any_of(DEGREES)}\.? )*+(?!{_any_of(DEGREES)}(?!\p{{L}}))"
 #: What each kind looks like; at one place the first that fits counts. The first ones begin where no letter or digit is before.
+#: Groups without a bound are possessive: what gives back takes stack for each repetition.
 WORDS = {
-    "email": r"(?<![._%+\-])[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)+",
+    "email": r"(?<![._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)++",
     "iban": r"[A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}|(?: [0-9A-Z]{4}){3,7}(?: [0-9A-Z]{1,3})?)(?![\p{L}\p{N}])",
     "hex": r"[0-9a-fA-F]{32,128}(?![\p{L}\p{N}])",
     "secret": r"(?<!_)(?i:AKIA[0-9A-Z]{16}(?![0-9A-Z])|gh[oprsu]_[0-9A-Z]{30,}|sk-[0-9A-Z]{20,})"

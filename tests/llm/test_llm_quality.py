@@ -183,6 +183,16 @@ def test_surrogates(spark):
     assert surrogates.replace(samples.empty(spark)).count() == 0
 
 
+def test_surrogates_in_long_texts(spark):
+    many = 6_000
+    shapes = ["x a@" + "b." * many + "com y", "a." * many + "@b.org", "Mr. " + "Dr. " * many + "Smith", "Mrs. A" + "b" * many, "1." * many, "+1" + " 12" * many]
+    shapes += ["DE12" + " 1234" * many, 'token = "' + "a" * many + '"', "0" * many, "12-" * many, "(" * many, "@" * many, "A B" * many]
+    docs = spark.createDataFrame(list(enumerate(shapes)), "doc_id long, text string")
+    found = {r.doc_id: r.text for r in surrogates.replace(docs).collect()}
+    assert len(found) == len(shapes) and found[0] != shapes[0] and found[7] != shapes[7]
+    assert found[10] == shapes[10] and found[11] == shapes[11]
+
+
 def test_surrogates_stay_distinct(spark):
     # so many short numbers that first draws collide with each other and with those that occur
     rows = [(i, f"{i:03d}-{i % 7:02d}-{i:04d} and 10.0.{i // 200}.{i % 200}") for i in range(900)]
