@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikelens.llm import chat, classifier, exact_dedup, jaccard_join, mixing, packing, quality_rules, suffix_dedup, surrogates, token_files
+from strikelens.llm import (
+    chat, classifier, exact_dedup, filter_audit, jaccard_join, merkle, minhash, mixing, packing, quality_rules, suffix_dedup, surrogates, token_files,
+)
 from strikelens.llm.common import table, vocabulary
 from strikelens.runtime import new_folder, stage
 
@@ -70,6 +72,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept", "posterior")
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.join(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = filter_audit.answers(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.audit(filter_audit.set_sizes(filter_audit.postings(marked)))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(merkle.manifest(table(spark, sf_dir, "documents"), merkle.tampered()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_jaccard_join, op2_best_fit_packing, op3_quality_classifier, op4_suffix_dedup, op5_mix_sources, op6_token_files, op7_exact_dedup, op8_surrogates, op9_chat_formatting, op10_quality_rules)
+    f.__name__: f
+    for f in (
+        *(op1_jaccard_join, op2_best_fit_packing, op3_quality_classifier, op4_suffix_dedup, op5_mix_sources, op6_token_files, op7_exact_dedup),
+        *(op8_surrogates, op9_chat_formatting, op10_quality_rules, op11_minhash_dedup, op12_filter_audit, op13_merkle_manifest),
+    )
 }

@@ -68,15 +68,15 @@ def test_state_goes_on_with_further_tables(spark, folder):
 # ---- Jaccard join
 
 
-def shingles(text):
+def shingles(text, size=5):
     words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
-    if len(words) < 5:
+    if len(words) < size:
         return {tuple(words)} if words else set()
-    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+    return {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
 
 
-def expected_components(rows):
-    sets = {i: shingles(t) for i, t in rows}
+def expected_components(rows, size=5, similar=80):
+    sets = {i: shingles(t, size) for i, t in rows}
     parent = {i: i for i in sets}
 
     def root(x):
@@ -87,7 +87,7 @@ def expected_components(rows):
     ids = sorted(sets)
     for k, a in enumerate(ids):
         for b in ids[k + 1 :]:
-            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= similar * len(sets[a] | sets[b]):
                 x, y = root(a), root(b)
                 parent[max(x, y)] = min(x, y)
     return {i: {"n_shingles": len(s), "component_id": root(i)} for i, s in sets.items()}

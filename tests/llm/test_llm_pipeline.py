@@ -10,7 +10,7 @@ from strikelens.runtime import stage
 
 def test_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in contract.queries() if name.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in contract.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in contract.queries()
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
