@@ -5,8 +5,8 @@ that are similar enough share one of the first shingles of each (in an order tha
 last), so a region is all classes with such a shingle, and no link crosses regions. Random documents are all
 at distance 1 from any pivot, which is why regions start from shingles and not from a few pivots for all.
 
-A region's pivot is its smallest class. Over all regions a class meets several pivots, and the first
-round measures it against the smallest of them, which need not be the nearest; it is linked, beyond the radius, or undecided.
+A region's pivot is its smallest class. Over all regions a class meets several pivots, and belongs to the cell of the one with which it shares most
+first shingles. The first round measures it against that pivot alone; it is linked, beyond the radius, or undecided.
 Later rounds measure only where classes of one region are not in one component yet: the remaining
 pivots, and then, in regions that still hold several components, blocks of ``PIVOTS`` classes against
 all others in other components, without distances, until each has been in a block. Once before that, by the triangle inequality a class within the radius of the pivot can only be linked to
@@ -15,7 +15,7 @@ Small rests are compared directly. Before sets are compared,
 sketches that bound what they can share sort out most pairs. A region is done when all its classes are in one component or its pairs are measured; no
 pairs within a group of near copies are made beyond that.
 
-Shingles that are very common in a task's documents are gathered in a table of bounded size; it decides the order only, never the
+Shingles that are common in a task's documents are gathered in a table of bounded size; it decides the order only, never the
 result. Shingles are 64-bit hashes of their words.
 
 Empty texts and null texts have an empty set and are linked to nothing; a null identifier is a row like others, and the smallest
@@ -42,9 +42,9 @@ from strikelens.runtime import new_folder, stage
 WORDS = 5
 #: Similarity in percent.
 SIMILAR = 80
-#: Very common shingles, at most, and how often one must occur in a task to be offered.
-COMMON = 65_536
-OFTEN = 16
+#: Common shingles, at most, and how often one must be seen in a task to be offered.
+COMMON = 500_000
+OFTEN = 4
 #: Rests of a region up to this size are compared directly; larger ones get this many pivots a round.
 LEAF = 64
 PIVOTS = 64
@@ -58,8 +58,8 @@ _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 #: Word hashes a worker remembers, of words up to so many bytes; affects time only.
 REMEMBERED = 100_000
 SHORT = 32
-#: Offered shingles that a task holds before it combines them.
-OFFERED = 250_000
+#: Shingles that a task holds before it combines them and forgets those seen once.
+HELD = 500_000
 
 
 class Shingler:
@@ -122,38 +122,38 @@ def _prefix_length(n: int, similar: int) -> int:
 def common_shingles(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, most: int = COMMON, often: int = OFTEN) -> tuple[np.ndarray, int]:
     """The shingles found most often, at most ``most``, sorted; and the number of first shingles of all documents.
 
-    Tasks offer shingles that they met ``often`` times at least among those that repeat in a slice of their texts.
+    Tasks offer shingles that they saw ``often`` times at least since they last forgot them.
     """
 
+    def combined(held: list[tuple[np.ndarray, np.ndarray]], least: int) -> tuple[np.ndarray, np.ndarray]:
+        shingles, place = np.unique(np.concatenate([s for s, _ in held]), return_inverse=True)
+        n = np.bincount(place, np.concatenate([n for _, n in held]), len(shingles)).astype(np.int64)
+        return shingles[n >= least], n[n >= least]
+
+    def batch(held: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(held[0], pa.int64()), pa.array(held[1])], names=["shingle", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         firsts = 0
-
-        def offer() -> pa.RecordBatch:
-            shingles, place = np.unique(np.concatenate([s for s, _ in held]), return_inverse=True)
-            n = np.bincount(place, np.concatenate([n for _, n in held]), len(shingles)).astype(np.int64)
-            keep = n >= often
-            columns = [pa.array(shingles[keep], pa.int64()), pa.array(n[keep])]
-            return pa.RecordBatch.from_arrays(columns, names=["shingle", "n"])
-
         for _, sets in _sets(batches, words):
-            shingles, n = np.unique(np.concatenate(sets), return_counts=True)
             firsts += sum(_prefix_length(len(s), similar) for s in sets)
-            repeated = n > 1 if often > 1 else n > 0
-            held.append((shingles[repeated], n[repeated]))
-            if sum(len(s) for s, _ in held) > OFFERED:
-                yield offer()
-                held.clear()
+            held.append(np.unique(np.concatenate(sets), return_counts=True))
+            if sum(len(s) for s, _ in held) > HELD:
+                held = [combined(held, 2)]
+                if len(held[0][0]) > HELD // 2:
+                    yield batch(combined(held, often))
+                    held = []
         if held:
-            yield offer()
+            yield batch(combined(held, often))
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([firsts], pa.int64())], names=["shingle", "n"])
 
     counted = _binary(docs).mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     with small_batches(docs.sparkSession):
         counted = stage(counted, "counted")
     total = counted.filter("shingle IS NULL").first()
-    rows = counted.filter("shingle IS NOT NULL").orderBy(F.desc("n"), "shingle").limit(most).select("shingle").collect()
-    return np.sort(np.array([row[0] for row in rows], np.int64)), total["n"] if total else 0
+    rows = counted.filter("shingle IS NOT NULL").orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toArrow()
+    return np.sort(rows.column("shingle").to_numpy().astype(np.int64)), total["n"] if total else 0
 
 
 def first_shingles(docs: DataFrame, common: np.ndarray, buckets: int, words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
@@ -350,13 +350,14 @@ def class_links(
 ) -> DataFrame | None:
     """node, root of the components of classes with links, from documents' rows and regions' members, both written."""
     near = _comparable("n_a", "n_b", similar)
-    stars = stage(members.filter((F.col("a") != F.col("b")) & near).select("a", "b").distinct(), "stars")
+    # regions in which a class has a pivot are first shingles that both have: the more, the nearer
+    stars = members.filter((F.col("a") != F.col("b")) & near).groupBy("a", "b").agg(F.count("*").alias("shared"))
+    stars = stage(stars, "stars")
     if stars.isEmpty() and members.filter("members > 2").isEmpty():
         return None
     classes = found.filter("n_shingles > 0").groupBy("class").agg(F.min("key").alias("key"))
     sketched = found.filter("n_shingles > 0").groupBy("class", "n_shingles").agg(F.min("sketch").alias("sketch"))
     rounds = _Rounds(stage(sketched, "sketches"), similar)
-    stars = rounds.possible(stars)
     # whole sets are made of one document of each class that may be linked
     ends = stars.select(F.col("a").alias("class")).union(stars.select("b")).union(members.filter("members > 2").select("b"))
     chosen = classes.join(ends.distinct(), "class", "left_semi")
@@ -371,9 +372,10 @@ def class_links(
         dealt.option("path", path).saveAsTable(table)
     rounds.sets = docs.sparkSession.table(table)
     try:
-        # a class and the first of its pivots, its cell; then the other pivots of classes that are still apart
-        measured = rounds.measure(stars.groupBy("b").agg(F.min("a").alias("a")))
-        others = stage(rounds.apart(stars.join(measured.select("a", "b"), ["a", "b"], "left_anti")), "others")
+        # a class and the nearest of its pivots, its cell; then the other pivots of classes that are still apart
+        nearest = stage(stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")), "nearest")
+        measured = rounds.measure(rounds.possible(nearest))
+        others = rounds.possible(rounds.apart(stars.select("a", "b").join(nearest, ["a", "b"], "left_anti")))
         if not others.isEmpty():
             measured = measured.unionByName(rounds.measure(others))
         return _recurse(rounds, members.filter("members > 2"), measured, similar, leaf)
