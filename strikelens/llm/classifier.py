@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strikelens.llm.common import whole_text
+from strikelens.llm.common import small_batches, whole_text
 from strikelens.runtime import stage
 
 #: Labelled documents to learn from, at most.
@@ -44,12 +44,20 @@ STEPS = 150
 RATE = 0.1
 PENALTY = 1e-4
 #: Words a worker remembers; affects time only.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 #: Bounds of the strength of a prior, in documents, and of what a site may add to log odds.
 STRENGTHS = (2.0, 10_000.0)
 MOST_FROM_SITE = 2.0
 
 
+def places_of(word: bytes) -> tuple[int, int]:
+    """Where a word and its shape (runs of capitals, small letters and digits as one each) are counted."""
+    text = word.decode()
+    kinds = ("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in text)
+    shape = "".join(c for c, _ in groupby(kinds))
+    return zlib.crc32(text.lower().encode()) % DIMENSIONS, DIMENSIONS + zlib.crc32(shape.encode()) % DIMENSIONS
+
+
 class Features:
     """Features of texts: shares of hashed words and of hashed word shapes, and numbers of the whole."""
 
@@ -57,13 +65,9 @@ class Features:
         self.known: dict[bytes, tuple[int, int]] = {}
 
     def places(self, word: bytes) -> tuple[int, int]:
-        """Where a word and its shape (runs of capitals, small letters and digits as one each) are counted."""
         found = self.known.get(word)
         if found is None:
-            text = word.decode()
-            kinds = ("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in text)
-            shape = "".join(c for c, _ in groupby(kinds))
-            found = zlib.crc32(text.lower().encode()) % DIMENSIONS, DIMENSIONS + zlib.crc32(shape.encode()) % DIMENSIONS
+            found = places_of(word)
             if len(self.known) > REMEMBERED:
                 self.known.clear()
             self.known[word] = found
@@ -89,17 +93,15 @@ class Scorer:
     """Log odds of texts under weights; a word's weight is looked up once."""
 
     def __init__(self, weights: np.ndarray):
-        self.weights, self.features, self.known = weights, Features(), {}
+        self.weights, self.known = weights, {}
 
     def __call__(self, text: bytes) -> float:
         words = text.split()
         known, weights = self.known, self.weights
-        fresh = {w for w in words if w not in known}
         if len(known) > REMEMBERED:
             known.clear()
-            fresh = set(words)
-        for word in fresh:
-            a, b = self.features.places(word)
+        for word in {w for w in words if w not in known}:
+            a, b = places_of(word)
             known[word] = float(weights[a] + weights[b])
         total = sum(map(known.__getitem__, words)) * SCALE / max(1, len(words))
         return total + float(np.dot(weights[2 * DIMENSIONS :], Features.whole(text, words)))
@@ -137,7 +139,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
             columns = [pa.array([v[k] for v in vectors], kind) for k, kind in enumerate((pa.list_(pa.int64()), pa.list_(pa.float64())))]
             yield pa.RecordBatch.from_arrays([*columns, batch.column("label")], names=["places", "values", "label"])
 
-    found = text.mapInArrow(extract, "places array<long>, values array<double>, label double").toArrow()
+    with small_batches(docs.sparkSession):
+        found = text.mapInArrow(extract, "places array<long>, values array<double>, label double").toArrow()
     truth = found.column("label").to_numpy()
     if len(np.unique(truth)) < 2:
         return None
@@ -147,9 +150,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
 
 
 def evidence(docs: DataFrame, weights: np.ndarray | None, *kept: str) -> DataFrame:
-    """The columns ``kept`` and the log odds of good quality, ``evidence``, from each text alone."""
+    """The columns ``kept`` and the log odds of good quality, ``evidence``, from each text alone; written."""
     if weights is None:
-        return docs.select(*kept, F.lit(0.0).alias("evidence"))
+        return stage(docs.select(*kept, F.lit(0.0).alias("evidence")), "evidence")
     rows = docs.select(*kept, whole_text().cast("binary").alias("_q_text"))
     fields = [*rows.schema.fields[:-1], T.StructField("evidence", T.DoubleType())]
 
@@ -159,7 +162,8 @@ def evidence(docs: DataFrame, weights: np.ndarray | None, *kept: str) -> DataFra
             odds = pa.array([scorer(x.as_py()) for x in batch.column(len(kept))], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], odds], names=[*kept, "evidence"])
 
-    return rows.mapInArrow(score, T.StructType(fields))
+    with small_batches(docs.sparkSession):
+        return stage(rows.mapInArrow(score, T.StructType(fields)), "evidence")
 
 
 def _sigmoid(x: Column) -> Column:
@@ -223,7 +227,7 @@ def site_posteriors(scored: DataFrame, host: str = "source", path: str = "lang")
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", sample: int = SAMPLE) -> DataFrame:
     """doc_id, evidence, host_quality, path_quality, quality (the posterior probability) and kept of every row of ``docs``."""
     model = train(docs, labels, sample)
-    scored = stage(evidence(docs, model, "doc_id", host, path), "evidence")
+    scored = evidence(docs, model, "doc_id", host, path)
     return judge(scored, stage(site_posteriors(scored, host, path), "sites"), host, path)
 
 
@@ -238,9 +242,8 @@ def judge(scored: DataFrame, sites: DataFrame, host: str = "source", path: str =
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` that are kept, with the columns of ``docs``."""
-    weights = train(docs, labels, sample)
-    narrow = stage(evidence(docs, weights, "doc_id", host, path), "evidence")
-    sites = stage(site_posteriors(narrow, host, path), "sites")
-    rows = docs.select(F.struct("*").alias("_q_row"), "doc_id", host, path, "text")
-    return judge(evidence(rows, weights, "_q_row", host, path), sites, host, path).filter("kept").select("_q_row.*")
+    """The rows of ``docs`` that are kept, with the columns of ``docs``. Each is scored once and written with its score."""
+    rows = docs.select(F.struct("*").alias("_q_row"), host, path, "text")
+    scored = evidence(rows, train(docs, labels, sample), "_q_row", host, path)
+    sites = stage(site_posteriors(scored, host, path), "sites")
+    return judge(scored, sites, host, path).filter("kept").select("_q_row.*")
