@@ -7,6 +7,7 @@ every rule is true or false, not null.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -21,27 +22,62 @@ def _definite(valid: Column) -> Column:
     return F.coalesce(valid, F.lit(False))
 
 
+# What rules can be made of, by name. A rule of another kind is stored once its function is put here.
+KINDS: dict[str, Callable[..., Column]] = {
+    "not_null": lambda c: c.isNotNull(),
+    "not_empty": lambda c: _definite(c != ""),
+    "in_range": lambda c, low, high: F.coalesce(c.between(low, high), F.lit(True)),
+    "lacks": lambda c, text: _definite(~F.contains(c, F.lit(text))),
+    "not_matching": lambda c, pattern: _definite(~c.rlike(rf"\A(?:{pattern})\z")),
+}
+
+
+@dataclass(frozen=True)
+class StoredRule:
+    """A rule that is data: the name of its kind and the arguments."""
+
+    kind: str
+    arguments: tuple = ()
+
+    def __call__(self, column: Column) -> Column:
+        return KINDS[self.kind](column, *self.arguments)
+
+
 def not_null() -> Rule:
-    return lambda c: c.isNotNull()
+    return StoredRule("not_null")
 
 
 def not_empty() -> Rule:
-    return lambda c: _definite(c != "")
+    return StoredRule("not_empty")
 
 
 def in_range(low: int, high: int) -> Rule:
     """Inclusive at both ends. A null passes: ``not_null`` reports it, so that it counts once per field."""
-    return lambda c: F.coalesce(c.between(low, high), F.lit(True))
+    return StoredRule("in_range", (low, high))
 
 
 def lacks(text: str) -> Rule:
     """Invalid when the value contains ``text`` anywhere."""
-    return lambda c: _definite(~F.contains(c, F.lit(text)))
+    return StoredRule("lacks", (text,))
 
 
 def not_matching(pattern: str) -> Rule:
     """Invalid when the whole value matches ``pattern``."""
-    return lambda c: _definite(~c.rlike(rf"\A(?:{pattern})\z"))
+    return StoredRule("not_matching", (pattern,))
+
+
+def to_specification(rules: RuleSet) -> list[dict]:
+    """Fields with their rules as plain data, in order. A rule that is a bare function cannot be stored."""
+    stored = []
+    for field, of_field in rules.items():
+        if not all(isinstance(rule, StoredRule) for rule in of_field):
+            raise TypeError(f"a rule of {field} is a bare function; give it a name in KINDS and use StoredRule")
+        stored.append({"field": field, "rules": [[rule.kind, *rule.arguments] for rule in of_field]})
+    return stored
+
+
+def from_specification(stored: list[dict]) -> RuleSet:
+    return {entry["field"]: [StoredRule(kind, tuple(arguments)) for kind, *arguments in entry["rules"]] for entry in stored}
 
 
 def all_valid(name: str, rules: Sequence[Rule]) -> Column:

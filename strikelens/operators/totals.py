@@ -14,12 +14,13 @@ from ..schemas import GROUPED, KEY
 from ..settings import WINDOW
 
 
-def grouped(clean: DataFrame) -> DataFrame:
-    """Incidents and creatures per key, both from one shuffle of map-side combined rows."""
+def grouped(clean: DataFrame, time: str | None = None) -> DataFrame:
+    """Incidents and creatures per key, both from one shuffle of map-side combined rows; and the latest ``time`` counted, if wanted."""
     creatures = mean_quantity(F.col("species_quantity_min"), F.col("species_quantity_max"))
     return clean.groupBy(*KEY.fieldNames()).agg(
         F.count(F.lit(1)).alias("incidents"),
         F.coalesce(F.sum(creatures), F.lit(0)).alias("creatures"),
+        *([F.max(time).alias(time)] if time else []),
     )
 
 
@@ -91,6 +92,19 @@ def windowed_running_count(rows: DataFrame, keys: Sequence[str], ts: str, width:
     return per_window.withColumn("running_count", F.sum("n").over(up_to)).drop("n")
 
 
+def windowed_last_sums(
+    rows: DataFrame, keys: Sequence[str], group: Sequence[str], value: str, ts: str, order: Sequence[str] = (), width: str = WINDOW
+) -> DataFrame:
+    """window_start, window_end, ``group``, total: the last values of all keys in a window, summed per group, which is part of the keys.
+
+    Two aggregations, of which the second takes the windows of the first as its time, so that a stream with a watermark
+    can run both in one query and append each sum once. ``windowed_last_sum`` is the sum of these over all windows.
+    """
+    last = rows.groupBy(F.window(ts, width).alias("w"), *keys).agg(F.max_by(value, _rank([ts, *order])).alias(value))
+    sums = last.groupBy(F.window("w", width).alias("w"), *group).agg(F.sum(value).alias("total"))
+    return sums.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *group, "total")
+
+
 def windowed_last_sum(last_values: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Sum of the last values of all windows per group.
 

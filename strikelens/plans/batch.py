@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.rules import FIELD_RULES, RuleSet
+from ..functions.rules import FIELD_RULES, RuleSet, from_specification, to_specification
 from ..operators import codes, rank, route, totals, validate
 from ..operators.narrow import to_summary
 from ..runtime import stage
 from ..settings import STRICT_THRESHOLD, TOP_N
+from ..sources.files import Files, Versions
 
 
 def scan_codes_and_profile(details: DataFrame, rules: RuleSet = FIELD_RULES) -> DataFrame:
@@ -63,6 +65,43 @@ def prepare(
     )
 
 
+#: The tables of a preparation and the file of what is no table, as stored.
+_TABLES = ("pairs", "repairs", "profile")
+_CHOICES = "choices.json"
+
+
+def store(prepared: Preparation, folder: str) -> None:
+    """Keeps a preparation as a new version in ``folder``, beside the checkpoints of the streams that use it."""
+    spark = prepared.pairs.sparkSession
+
+    def write(version: str) -> None:
+        for name in _TABLES:
+            getattr(prepared, name).write.parquet(f"{version}/{name}")
+        choices = {"rules": to_specification(prepared.rules), "lookups": sorted(prepared.lookups)}
+        Files(spark).write(f"{version}/{_CHOICES}", json.dumps(choices))
+
+    Versions(spark, folder).publish(write)
+
+
+def stored(spark: SparkSession, folder: str) -> Preparation | None:
+    """The preparation last stored in ``folder``, None if there is none. The raw records are not looked at."""
+    version = Versions(spark, folder).current()
+    if version is None:
+        return None
+    choices = json.loads(Files(spark).read(f"{version}/{_CHOICES}"))
+    tables = {name: spark.read.parquet(f"{version}/{name}") for name in _TABLES}
+    lookups = {tuple(lookup) for lookup in choices["lookups"]}
+    return Preparation(rules=from_specification(choices["rules"]), lookups=lookups, **tables)
+
+
+def prepared_once(details: DataFrame, folder: str, **options) -> Preparation:
+    """The preparation stored in ``folder``, made from ``details`` when there is none: a restart goes on with the rules it had."""
+    spark = details.sparkSession
+    if Versions(spark, folder).current() is None:
+        store(prepare(details, **options), folder)
+    return stored(spark, folder)
+
+
 def repaired_summary(details: DataFrame, prepared: Preparation) -> DataFrame:
     return codes.apply_repairs(to_summary(details), prepared.repairs, prepared.lookups)
 
@@ -71,6 +110,12 @@ def validated(details: DataFrame, prepared: Preparation) -> DataFrame:
     return route.with_topics(repaired_summary(details, prepared), prepared.rules)
 
 
+def clean_summaries(summary: DataFrame, prepared: Preparation) -> DataFrame:
+    """Clean incidents from rows that are summaries already, as topics hold them; repairs leave further columns alone."""
+    repaired = codes.apply_repairs(summary, prepared.repairs, prepared.lookups)
+    return route.clean(route.with_topics(repaired, prepared.rules))
+
+
 def clean_incidents(details: DataFrame, prepared: Preparation) -> DataFrame:
     return route.clean(validated(details, prepared))
 

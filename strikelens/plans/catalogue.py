@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.codec import decode
 from ..functions.quantity import mean_quantity, parse_quantity
 from ..operators import codes, narrow, rank, route, totals, validate
 from ..runtime import new_folder, stage
-from ..schemas import DETAIL_COLUMNS, KEY, SUMMARY
+from ..schemas import DETAIL_COLUMNS, GROUPED, KEY, SUMMARY
 from ..settings import LENIENT_THRESHOLD, STRICT_THRESHOLD
 from ..sources import csv_files, topics
 from ..streaming import jobs
+from ..streaming.replay import Replay
 from ..streaming.run import drain
+from ..streaming.upserts import UpsertLog
 from . import batch
 from .tables import details_of, events_of, table_stream
 
@@ -24,6 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 CODES = ["record_id", "airport_id", "airport_name", "species_id", "species_name"]
 EVENT_KEY = ["user_id", "event_type"]
 DAY = "1 day"
+INCIDENT_WINDOW = "730 days"
 
 
 def _prepared(spark: SparkSession, folder: str) -> tuple[DataFrame, batch.Preparation]:
@@ -309,7 +314,10 @@ def stream_source(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_static(spark: SparkSession, folder: str) -> DataFrame:
     """Streamed records with repairs and rules of the batch preparation, routed to the quarantine topics."""
-    _, prepared = _prepared(spark, folder)
+    details, kept = details_of(spark, folder), new_folder(spark, "preparation")
+    batch.store(batch.prepare(details), kept)
+    # as after a restart: rules and repairs come from the store, and the raw records are not looked at again
+    prepared = batch.stored(spark, kept)
     path = new_folder(spark, "quarantine")
     validated = batch.validated(_detail_stream(spark, folder), prepared)
     drain(jobs.quarantine(validated, path, new_folder(spark, "state")))
@@ -332,6 +340,26 @@ def _clean_stream(spark: SparkSession, folder: str) -> DataFrame:
     return batch.clean_incidents(_detail_stream(spark, folder), prepared)
 
 
+def _dated(rows: DataFrame) -> DataFrame:
+    """With the day of the incident as its time, which reads the same in every time zone."""
+    return rows.withColumn("ts", F.timestamp_seconds(F.unix_date(F.make_date("year", "month", "day")) * 86_400))
+
+
+def _offered(envelopes: DataFrame, width: str, label: str) -> DataFrame:
+    """Records as a topic stream whose micro-batches are the windows of their time, in order."""
+    topic = new_folder(envelopes.sparkSession, label)
+    replay = Replay.by_time(envelopes, width)
+    replay.offer(topic, len(replay.waiting()))
+    return topics.topic_source(envelopes.sparkSession, topic, per_trigger=1)
+
+
+def _clean_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean incidents with their time as a stream of several batches in the order of time, from the raw topic."""
+    details, prepared = _prepared(spark, folder)
+    raw = topics.to_envelopes(_dated(narrow.to_summary(details)), at="ts")
+    return batch.clean_summaries(topics.summaries(_offered(raw, INCIDENT_WINDOW, "raw-topic"), "ts"), prepared)
+
+
 def stream_grouped(spark: SparkSession, folder: str) -> DataFrame:
     log = jobs.counts_log(new_folder(spark, "counts"))
     drain(jobs.count_keys(_clean_stream(spark, folder), log, new_folder(spark, "state")))
@@ -341,7 +369,7 @@ def stream_grouped(spark: SparkSession, folder: str) -> DataFrame:
 def grouped_topics(spark: SparkSession, folder: str) -> DataFrame:
     """Counts through their changelog topics, the latest record of each key."""
     paths = new_folder(spark, "grouped-incidents"), new_folder(spark, "grouped-creatures")
-    drain(jobs.publish_counts(_clean_stream(spark, folder), *paths, new_folder(spark, "state")))
+    drain(jobs.publish_counts(_clean_batches(spark, folder), *paths, new_folder(spark, "state"), "ts"))
     latest = []
     for path, name in zip(paths, ("incidents", "creatures")):
         records = topics.grouped_counts(spark.read.parquet(path))
@@ -351,35 +379,84 @@ def grouped_topics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def replay_idempotent(spark: SparkSession, folder: str) -> DataFrame:
-    """The same batch of counts written twice, as after a failure."""
-    log = jobs.counts_log(new_folder(spark, "counts"))
-    counts = totals.grouped(_clean(spark, folder))
-    for _ in range(2):
-        log.write(counts, 0)
-    return log.latest(spark)
+    """Changelog topics of a stream that fails after a batch is written and before it is committed, and starts again.
+
+    A second stream reads the topics before and after; ``doubled`` is how many records of a key it was given more than once.
+    """
+    names = ("incidents", "creatures")
+    paths = {name: new_folder(spark, f"grouped-{name}") for name in names}
+    read, reading = ({name: new_folder(spark, label) for name in names} for label in ("read", "state"))
+    publish, state = jobs.publisher(paths, time="ts"), new_folder(spark, "state")
+    counted = totals.grouped(_clean_batches(spark, folder), "ts")
+
+    def written_but_not_committed(rows: DataFrame, batch_id: int) -> None:
+        publish(rows, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("failure for the sake of the query")
+
+    def read_on() -> None:
+        for name in names:
+            records = topics.topic_source(spark, paths[name]).withColumn("batch", topics.batch_of())
+            amounts = topics.grouped_counts(records).select(*KEY.fieldNames(), "amount", "batch")
+            drain(jobs.append_rows(amounts, read[name], reading[name]))
+
+    try:
+        drain(jobs.each_batch(counted, written_but_not_committed, state))
+    except StreamingQueryException:
+        read_on()
+    drain(jobs.each_batch(counted, publish, state))
+    read_on()
+    measures = []
+    for name in names:
+        times = spark.read.parquet(read[name]).groupBy(*KEY.fieldNames(), "batch").agg(F.max("amount").alias("amount"), F.count("*").alias("n"))
+        latest = F.max_by("amount", "batch").alias("amount")
+        of_key = times.groupBy(*KEY.fieldNames()).agg(latest, F.sum(F.col("n") - 1).alias("doubled"))
+        measures.append(of_key.withColumn("measure", F.lit(name)))
+    both = measures[0].unionByName(measures[1]).groupBy(*KEY.fieldNames())
+    amount = lambda name: F.max(F.when(F.col("measure") == name, F.col("amount"))).alias(name)
+    return both.agg(*[amount(name) for name in names], F.sum("doubled").alias("doubled"))
 
 
 def stream_topn(spark: SparkSession, folder: str) -> DataFrame:
     counts = jobs.counts_log(new_folder(spark, "counts"))
     ranking = jobs.ranking_log(new_folder(spark, "ranking"))
-    drain(jobs.rank_years(_clean_stream(spark, folder), counts, ranking, new_folder(spark, "state")))
+    drain(jobs.rank_years(_clean_batches(spark, folder), counts, ranking, new_folder(spark, "state")))
     return rank.exploded_by_year(ranking.latest(spark))
 
 
 def snapshot_sink(spark: SparkSession, folder: str) -> DataFrame:
-    """Both outputs that the stream rewrites, side by side."""
+    """Both outputs as their own clock writes them, side by side."""
     counts = jobs.counts_log(new_folder(spark, "counts"))
     ranking = jobs.ranking_log(new_folder(spark, "ranking"))
     outputs = new_folder(spark, "from-counts"), new_folder(spark, "from-ranking")
-    state = new_folder(spark, "state")
-    drain(jobs.rewrite_outputs(_clean_stream(spark, folder), counts, ranking, outputs, state))
+    drain(jobs.rank_years(_clean_batches(spark, folder), counts, ranking, new_folder(spark, "state")))
+    clock = jobs.rewrite_outputs(counts, ranking, outputs, spark, tick="1 second").start()
+    clock.processAllAvailable()
+    clock.stop()
     first, second = (
-        csv_files.read_ranked(spark, path).withColumn("output", F.lit(name))
+        csv_files.read_published(spark, path).withColumn("output", F.lit(name))
         for path, name in zip(outputs, ("counts", "ranking"))
     )
     return first.unionByName(second)
 
 
+def stream_windowed_topn(spark: SparkSession, folder: str) -> DataFrame:
+    """The chain of the topics: clean incidents, counts per key, last count per window, totals per species and year, ranked years.
+
+    Every step is a stream that reads the topic of the one before; nothing is counted in batch.
+    """
+    grouped, creatures, windows, ranked = (new_folder(spark, label) for label in ("grouped", "creatures", "windows", "top-n"))
+    drain(jobs.publish_counts(_clean_batches(spark, folder), grouped, creatures, new_folder(spark, "state"), "ts"))
+    counts = topics.grouped_counts(topics.topic_source(spark, grouped, per_trigger=8), time="ts")
+    species = GROUPED.fieldNames()
+    drain(jobs.sum_windows(counts, KEY.fieldNames(), species, "ts", windows, new_folder(spark, "state"), width=INCIDENT_WINDOW))
+    sums = topics.yearly_counts(topics.topic_source(spark, windows, per_trigger=4))
+    drain(jobs.rank_windows(sums, jobs.totals_log(new_folder(spark, "totals")), ranked, new_folder(spark, "state")))
+    records = topics.ranked_from_envelopes(spark.read.parquet(ranked))
+    latest = records.groupBy("year").agg(F.max_by("ranked", "id").alias("ranked"))
+    return rank.exploded_by_year(latest)
+
+
 def _closed(rows: DataFrame, keys: list[str], value: str, order: list[str]) -> DataFrame:
     spark = rows.sparkSession
     path, state = new_folder(spark, "windows"), new_folder(spark, "state")
@@ -393,11 +470,23 @@ def stream_tumbling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_windowed_last_sum(spark: SparkSession, folder: str) -> DataFrame:
-    """Running counts streamed into windows; the last counts of the closed windows are summed."""
-    counted = totals.running_count(events_of(spark, folder), EVENT_KEY, "ts", ["event_id"])
-    stream = _stream_of(counted.select("event_id", "ts", *EVENT_KEY, "running_count"), "grouped-topic")
-    closed = _closed(stream, EVENT_KEY, "running_count", ["event_id"])
-    return totals.windowed_last_sum(closed, ["event_type"], "running_count")
+    """Events through topics: counts per key as they change, the last count per window, and the sums of the closed windows."""
+    events = events_of(spark, folder)
+    key = T.StructType([events.schema[c] for c in EVENT_KEY])
+    group = T.StructType([events.schema["event_type"]])
+    raw = _offered(topics.to_envelopes(events, key, "value", "ts"), DAY, "events-topic")
+    counted = topics.from_envelopes(raw, key, T.DoubleType()).groupBy("key").agg(
+        F.count(F.lit(1)).alias("amount"), F.max("timestamp").alias("ts")
+    )
+    grouped, windows = new_folder(spark, "grouped-topic"), new_folder(spark, "windows-topic")
+    publish = jobs.publisher({"amount": grouped}, key, "ts")
+    drain(jobs.each_batch(counted.select("key.*", "amount", "ts"), publish, new_folder(spark, "state")))
+    counts = topics.grouped_counts(topics.topic_source(spark, grouped, per_trigger=8), key, "ts")
+    drain(jobs.sum_windows(counts, EVENT_KEY, ["event_type"], "ts", windows, new_folder(spark, "state"), width=DAY))
+    log = UpsertLog(new_folder(spark, "totals"), ["event_type"], ["amount"])
+    sums = topics.from_envelopes(topics.topic_source(spark, windows), group, T.LongType())
+    drain(jobs.add_windows(sums.select("key.*", F.col("value").alias("amount")), ["event_type"], log, new_folder(spark, "state")))
+    return log.latest(spark).withColumnRenamed("amount", "total")
 
 
 def late_drop(spark: SparkSession, folder: str) -> DataFrame:
@@ -462,6 +551,7 @@ QUERIES: dict[str, Query] = {
     "replay_idempotent": replay_idempotent,
     "stream_topn": stream_topn,
     "snapshot_sink": snapshot_sink,
+    "stream_windowed_topn": stream_windowed_topn,
     "stream_tumbling": stream_tumbling,
     "stream_windowed_last_sum": stream_windowed_last_sum,
     "late_drop": late_drop,

@@ -147,6 +147,21 @@ grouped AS (
 )"""
 
 
+# the last count of each key in each window of 730 days that has closed
+_WINDOWED = """
+dated AS (
+  SELECT *, make_date(year, month, day) - DATE '1970-01-01' AS age FROM clean
+),
+counted AS (
+  SELECT year, month, species_id, species_name, aircraft_damage, age // 730 AS w,
+         sum(count(*)) OVER (PARTITION BY year, month, species_id, species_name, aircraft_damage ORDER BY age // 730) AS last_count
+  FROM dated GROUP BY year, month, species_id, species_name, aircraft_damage, age // 730
+),
+grouped AS (
+  SELECT * FROM counted WHERE (w + 1) * 730 <= (SELECT max(age) FROM dated)
+)"""
+
+
 def _ranked(amount: str = "incidents") -> str:
     return f"""
 totals AS (
@@ -370,9 +385,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * EXCLUDE (incidents, creatures), 'incidents' AS measure, incidents AS amount FROM grouped "
             "UNION ALL SELECT * EXCLUDE (incidents, creatures), 'creatures', creatures FROM grouped",
         ),
-        "replay_idempotent": counts,
+        "replay_idempotent": _with([*_prepared(), _GROUPED], "SELECT *, CAST(0 AS BIGINT) AS doubled FROM grouped"),
         "stream_topn": top,
         "snapshot_sink": _with(ranked, "SELECT *, 'counts' AS output FROM ranked UNION ALL SELECT *, 'ranking' FROM ranked"),
+        "stream_windowed_topn": _with([*_prepared(), _WINDOWED, _ranked("last_count")], "SELECT * FROM ranked"),
         "stream_tumbling": _with(
             [_WINDOWS], "SELECT * FROM windows WHERE window_end <= (SELECT epoch(max(ts)) FROM events)"
         ),

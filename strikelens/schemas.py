@@ -109,11 +109,12 @@ GROUPED = _struct("year int, species_id string, species_name string")
 
 RANKED = _struct("index int, year int, species_id string, species_name string, amount bigint")
 
-# A record of a keyed stream: JSON key, JSON value and string headers.
+# A record of a keyed stream: JSON key, JSON value, string headers and the time of the record.
 ENVELOPE = T.StructType(
     [
         T.StructField("key", T.StringType()),
         T.StructField("value", T.StringType()),
         T.StructField("headers", T.ArrayType(_struct("key string, value string"))),
+        T.StructField("timestamp", T.TimestampType()),
     ]
 )

@@ -8,15 +8,9 @@ OPEN_RANGE_MAX = 10_000  # upper bound of "Over n"
 WINDOW = "12 seconds"  # tumbling window of the windowed totals
 BATCH_ROWS = 1_000  # rows offered per producer tick
 BATCH_TICK = "700 milliseconds"
-COMMIT_TICK = "3 seconds"
 REWRITE_TICK = "5 seconds"
 
-# Names of the keyed streams.
-RAW = "raw-data-topic"
-CLEAN = "clean-data-topic"
-GROUPED_CREATURES = "grouped-creatures-topic"
-GROUPED_INCIDENTS = "grouped-incidents-topic"
-TOP_N_INCIDENTS = "top-n-incidents-topic"
+# Where invalid rows go.
 INVALID_SPECIES = "invalid-species-topic"
 INVALID_QUANTITY = "invalid-quantity-topic"
 INVALID_OTHER = "invalid-generic-topic"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import DETAIL_COLUMNS, DETAILS, RANKED
+from .files import Versions
 
 # A quote inside a quoted field is written twice.
 _QUOTING = {"quote": '"', "escape": '"'}
@@ -76,6 +77,16 @@ def read_untyped(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.when(F.col("whole").isNull(), pair).otherwise(cut).alias("fields"))
 
 
+def publish_ranked(ranked: DataFrame, path: str) -> None:
+    """Ranked rows as a new version of an output, which takes the place of the former one in a single step."""
+    Versions(ranked.sparkSession, path, former=1).publish(lambda folder: write_ranked(ranked, folder))
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of an output, whatever is written meanwhile."""
+    return read_ranked(spark, Versions(spark, path).current())
+
+
 def write_ranked(ranked: DataFrame, path: str) -> None:
     """Ranked rows without header, every field quoted; a rewrite replaces the former output."""
     rows = ranked.select(RANKED.fieldNames())

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from conftest import SMALL, rows
 from pyspark.sql import functions as F
@@ -165,3 +167,11 @@ def test_profile_counts_rows_with_null_codes(spark):
 def test_failing_rows_are_distinct(spark):
     frame = details(spark, UNKNOWN, UNKNOWN, VALID)
     assert validate.failing_rows(frame, "species_name").count() == 1
+
+
+def test_rules_as_data():
+    known = {**rules.FIELD_RULES, **rules.PARSED_QUANTITY_RULES}
+    stored = json.loads(json.dumps(rules.to_specification(known)))
+    assert rules.from_specification(stored) == known
+    with pytest.raises(TypeError, match="speed"):
+        rules.to_specification({"speed": [lambda c: c < 900]})

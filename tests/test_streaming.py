@@ -1,15 +1,21 @@
 import glob
 import os
+import re
 
 import pytest
 from conftest import SMALL, rows
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strikelens.operators import rank, route, totals
 from strikelens.plans import batch
 from strikelens.plans.tables import details_of, events_of, table, table_stream
+from strikelens.schemas import KEY, RANKED, SUMMARY
 from strikelens.sources import csv_files, topics
 from strikelens.streaming import jobs
+from strikelens.streaming.changelog import Changelog
+from strikelens.streaming.replay import Replay
 from strikelens.streaming.run import drain, paced
 from strikelens.streaming.upserts import UpsertLog
 
@@ -76,13 +82,43 @@ def test_stopped_and_started_again(spark, incidents, folder):
         assert rows(rank.exploded_by_year(ranking.latest(spark))) == expected_ranking(arrived)
 
 
-def test_both_outputs_are_rewritten(spark, incidents, folder):
+def test_both_outputs_are_rewritten_on_their_own_clock(spark, incidents, folder):
     clean, path, _ = incidents
     outputs = folder(), folder()
     logs = jobs.counts_log(folder()), jobs.ranking_log(folder())
-    drain(jobs.rewrite_outputs(stream(spark, path, clean.schema), *logs, outputs, folder()))
+    clock = jobs.rewrite_outputs(*logs, outputs, spark, tick="100 milliseconds").start()
+    try:
+        clock.processAllAvailable()
+        # nothing was counted yet
+        assert not os.path.exists(outputs[0])
+        drain(jobs.rank_years(stream(spark, path, clean.schema), *logs, folder()))
+        clock.processAllAvailable()
+    finally:
+        clock.stop()
+    jobs.write_snapshot(*logs, outputs, spark)
     for output in outputs:
-        assert rows(csv_files.read_ranked(spark, output)) == expected_ranking(clean)
+        assert rows(csv_files.read_published(spark, output)) == expected_ranking(clean)
+        versions = [name for name in os.listdir(output) if name[0].isdigit()]
+        assert 1 <= len(versions) <= 2
+
+
+def test_a_reader_sees_whole_outputs_only(spark, folder):
+    output = folder()
+    sizes = []
+    for n in range(1, 5):
+        frame = spark.range(1, n + 1).selectExpr("0 AS index", "int(id) AS year", "'a' AS species_id", "'A' AS species_name", "id AS amount")
+        before = csv_files.read_published(spark, output) if sizes else None
+        csv_files.publish_ranked(frame.select(RANKED.fieldNames()).repartition(3), output)
+        if before is not None:
+            # who began with the former version can end with it
+            assert before.count() == sizes[-1]
+        sizes.append(csv_files.read_published(spark, output).count())
+    assert sizes == [1, 2, 3, 4]
+    # a writer that fails leaves the current version as it is
+    broken = spark.range(1).selectExpr("int(raise_error('no')) AS index", "1 AS year", "'a' AS species_id", "'A' AS species_name", "id AS amount")
+    with pytest.raises(Exception, match="no"):
+        csv_files.publish_ranked(broken, output)
+    assert csv_files.read_published(spark, output).count() == 4
 
 
 def test_changelog_topics(spark, incidents, folder):
@@ -190,3 +226,194 @@ def test_log_keeps_a_constant_number_of_folders(spark, folder):
         counts.append(sum(len(glob.glob(f"{path}/{kind}/id=*")) for kind in ("batches", "bases")))
     assert rows(log.latest(spark)) == [(0, 27), (1, 28), (2, 29)]
     assert max(counts[10:]) == max(counts[20:]) <= 12
+
+
+# ---- topics that carry time, and what is built on them
+
+
+def timed(spark, values):
+    """(k, n, second) as rows with a time."""
+    return spark.createDataFrame(values, "k string, n bigint, second bigint").withColumn("at", F.timestamp_seconds("second"))
+
+
+K = T.StructType([T.StructField("k", T.StringType())])
+
+
+def test_records_keep_their_time(spark, folder):
+    topic = folder()
+    rows_in = timed(spark, [("a", 1, 3), ("b", 2, 5)])
+    drain(topics.topic_sink(topics.to_envelopes(stream_of(rows_in, folder()), K, "n", "at"), folder(), topic))
+    read = topics.grouped_counts(topics.read_topic(spark, topic), K, "at")
+    assert rows(read.select("k", "amount", F.unix_seconds("at"))) == [("a", 1, 3), ("b", 2, 5)]
+    # without a column, a record has the time at which it was written
+    now = topics.to_envelopes(rows_in, K, "n").select((F.current_timestamp() - F.col("timestamp")).alias("age")).first().age
+    assert abs(now.total_seconds()) < 60
+
+
+def stream_of(df, path):
+    df.write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).parquet(path)
+
+
+def test_a_topic_alone_is_windowed_and_summed(spark, folder):
+    # a's count changes twice in the first window and once in the third; c comes too late for the first
+    batches = [[("a", 1, 1), ("a", 2, 9), ("b", 5, 3)], [("b", 6, 12)], [("a", 3, 25)], [("b", 7, 50), ("c", 9, 2)]]
+    topic, windows = folder(), folder()
+    for batch_id, values in enumerate(batches):
+        Changelog(topic).publish(topics.to_envelopes(timed(spark, values).coalesce(1), K, "n", "at", batch_id), batch_id)
+    counts = topics.grouped_counts(topics.topic_source(spark, topic, per_trigger=1), K, "at").withColumn("g", F.lit("all"))
+    query = drain(jobs.sum_windows(counts, ["k", "g"], ["g"], "at", windows, folder(), width="10 seconds"))
+    assert query.lastProgress["batchId"] >= 3
+    group = T.StructType([T.StructField("g", T.StringType())])
+    sums = topics.from_envelopes(topics.read_topic(spark, windows), group, T.LongType())
+    assert rows(sums.select(F.unix_seconds("timestamp"), "value")) == [(10, 7), (20, 6), (30, 3)]
+    log = UpsertLog(folder(), ["g"], ["amount"])
+    added = topics.from_envelopes(topics.topic_source(spark, windows, per_trigger=1), group, T.LongType())
+    drain(jobs.add_windows(added.select("key.*", F.col("value").alias("amount")), ["g"], log, folder()))
+    assert rows(log.latest(spark)) == [("all", 16)]
+
+
+def test_chain_of_topics_equals_batch(spark, incidents, folder):
+    clean, _, _ = incidents
+    dated = clean.withColumn("at", F.timestamp_seconds(F.unix_date(F.make_date("year", "month", "day")) * 86_400))
+    topic = folder()
+    replay = Replay.by_time(topics.to_envelopes(dated, at="at"), "365 days")
+    ticks = len(replay.waiting())
+    assert replay.offer(topic, ticks) == ticks >= 7 and replay.waiting() == []
+    source = topics.summaries(topics.topic_source(spark, topic, per_trigger=1), "at")
+    grouped, creatures, windows, ranked = folder(), folder(), folder(), folder()
+    query = drain(jobs.publish_counts(source, grouped, creatures, folder(), "at"))
+    assert query.lastProgress["batchId"] >= ticks - 1
+    counts = topics.grouped_counts(topics.topic_source(spark, grouped), time="at")
+    drain(jobs.sum_windows(counts, KEY.fieldNames(), topics.GROUPED.fieldNames(), "at", windows, folder(), width="365 days"))
+    sums = topics.yearly_counts(topics.topic_source(spark, windows, per_trigger=1))
+    drain(jobs.rank_windows(sums, jobs.totals_log(folder()), ranked, folder()))
+    found = topics.ranked_from_envelopes(spark.read.parquet(ranked)).groupBy("year").agg(F.max_by("ranked", "id").alias("ranked"))
+    counted = totals.windowed_running_count(dated, KEY.fieldNames(), "at", "365 days")
+    end = dated.agg(F.max("at")).first()[0]
+    whole = totals.windowed_last_sum(counted.filter(F.col("window_end") <= F.lit(end)), topics.GROUPED.fieldNames(), "running_count")
+    expected = rank.top_n_per_year(whole.withColumnRenamed("total", "amount"))
+    assert rows(rank.exploded_by_year(found)) == rows(expected) != []
+
+
+@pytest.mark.parametrize("moment", ["before", "between", "after"])
+def test_a_batch_that_fails_is_in_the_topics_once(spark, incidents, folder, moment, monkeypatch):
+    clean, path, _ = incidents
+    paths, state, seen, reading = {"incidents": folder(), "creatures": folder()}, folder(), folder(), folder()
+    publish = jobs.publisher(paths)
+    write = Changelog.publish
+
+    def failing(batch, batch_id):
+        if batch_id == 1 and moment == "before":
+            raise RuntimeError("failed")
+        publish(batch, batch_id)
+        if batch_id == 1 and moment == "after":
+            raise RuntimeError("failed")
+
+    def one_topic_only(self, records, batch_id):
+        if batch_id == 1 and self.path == paths["creatures"]:
+            raise RuntimeError("failed")
+        return write(self, records, batch_id)
+
+    def read_on():
+        drain(jobs.append_rows(topics.topic_source(spark, paths["creatures"]).select("key", "value"), seen, reading))
+
+    counted = totals.grouped(stream(spark, path, clean.schema))
+    if moment == "between":
+        monkeypatch.setattr(Changelog, "publish", one_topic_only)
+    with pytest.raises(StreamingQueryException):
+        drain(jobs.each_batch(counted, failing, state))
+    monkeypatch.undo()
+    read_on()
+    drain(jobs.each_batch(counted, publish, state))
+    read_on()
+    topic = spark.read.parquet(paths["creatures"])
+    assert rows(spark.read.parquet(seen)) == rows(topic.select("key", "value"))
+    latest = totals.latest_by_key(topics.grouped_counts(topic), KEY.fieldNames(), "amount", ["id"])
+    assert rows(latest) == rows(totals.grouped(clean).drop("incidents"))
+    assert Changelog(paths["creatures"]).batches(spark) == Changelog(paths["incidents"]).batches(spark) == list(range(FILES))
+
+
+def test_records_that_come_twice_are_taken_once(spark, folder):
+    topic, target = folder(), folder()
+    first = topics.to_envelopes(timed(spark, [("a", 1, 1), ("b", 1, 2)]), K, "n", "at", 0)
+    for records in (first, first, topics.to_envelopes(timed(spark, [("a", 2, 3)]), K, "n", "at", 1)):
+        records.write.mode("append").parquet(topic)
+    read = topics.once(topics.topic_source(spark, topic).withWatermark("timestamp", "1 hour"))
+    drain(jobs.append_rows(read.select("key", "value", topics.batch_of().alias("batch")), target, folder()))
+    found = spark.read.parquet(target)
+    assert rows(found) == [('{"k":"a"}', "1", 0), ('{"k":"a"}', "2", 1), ('{"k":"b"}', "1", 0)]
+
+
+def test_ranking_reads_touched_years_only(spark, incidents, folder):
+    clean, _, _ = incidents
+    dated = clean.withColumn("at", F.timestamp_seconds(F.unix_date(F.make_date("year", "month", "day")) * 86_400))
+    topic = folder()
+    replay = Replay.by_time(topics.to_envelopes(dated, at="at"), "240 days")
+    ticks = replay.offer(topic, 99)
+    assert ticks >= 10
+    counts, ranking = jobs.counts_log(folder(), fold_every=4), jobs.ranking_log(folder())
+    drain(jobs.rank_years(topics.summaries(topics.topic_source(spark, topic, per_trigger=1)), counts, ranking, folder()))
+    assert rows(rank.exploded_by_year(ranking.latest(spark))) == expected_ranking(clean)
+    touched = counts.touched(spark, ticks - 1)
+    assert 1 <= len(touched) <= 2
+    plan = counts.latest(spark, only=touched)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"PartitionFilters: \[[^]]*year", plan)) == plan.count("FileScan") > 0
+    assert rows(counts.latest(spark)) == rows(totals.grouped(clean))
+
+
+def test_log_keeps_null_partitions(spark, folder):
+    log = UpsertLog(folder(), ["year"], ["n"], partition="year")
+    log.write(spark.createDataFrame([(1, 1), (None, 2), (3, 3)], "year int, n bigint"), 0)
+    assert set(log.touched(spark, 0)) == {1, None, 3}
+    assert rows(log.latest(spark, only=[None]).select("year", "n")) == [(None, 2)]
+    assert rows(log.latest(spark, only=[3, None]).select("year", "n")) == [(3, 3), (None, 2)]
+    assert rows(log.latest(spark, only=[])) == []
+
+
+# ---- replay
+
+
+def test_replay_offers_bounded_batches_in_order(spark, folder):
+    topic, target = folder(), folder()
+    values = timed(spark, [(f"k{i}", i, i) for i in range(3500)]).repartition(7)
+    replay = Replay.by_rows(topics.to_envelopes(values, K, "n", "at"), [F.col("timestamp")])
+    assert replay.offer(topic, 2) == 2 and len(replay.waiting()) == 2
+    # after a restart the remainder is offered
+    again = Replay(spark, replay.folder)
+    source = topics.topic_source(spark, topic, per_trigger=1)
+    seen = []
+
+    def see(batch, batch_id):
+        amounts = topics.grouped_counts(batch, K).agg(F.count("*").alias("n"), F.min("amount").alias("low"), F.max("amount").alias("high"))
+        seen.append(tuple(amounts.first()))
+
+    state = folder()
+    drain(jobs.each_batch(source, see, state))
+    assert again.offer_paced(topic, seconds=0.01) == 2 and again.offer(topic) == 0
+    drain(jobs.each_batch(source, see, state))
+    assert seen == [(1000, 0, 999), (1000, 1000, 1999), (1000, 2000, 2999), (500, 3000, 3499)]
+
+
+# ---- stored preparations
+
+
+def test_restart_uses_the_stored_preparation(spark, folder):
+    kept = folder()
+    view = details_of(spark, SMALL)
+    first = batch.prepared_once(view, kept)
+    expected = rows(batch.clean_incidents(view, first))
+    # the raw records have changed: another preparation would choose other rules
+    changed = view.withColumn("aircraft_mass", F.lit(None).cast("float")).withColumn("airport_name", F.lit(""))
+    assert set(batch.prepare(changed).rules) != set(first.rules)
+    again = batch.prepared_once(changed, kept)
+    assert again.rules == first.rules and again.lookups == first.lookups
+    assert rows(again.repairs) == rows(first.repairs) and rows(again.profile) == rows(first.profile)
+    target = folder()
+    source = table_stream(spark, SMALL, "lineitem")
+    drain(jobs.append_rows(batch.clean_incidents(details_of(spark, SMALL, source), again), target, folder()))
+    assert rows(spark.read.schema(SUMMARY).parquet(target)) == expected
+    # a new version takes its place, and the former one stays for streams that use it
+    batch.store(batch.prepare(changed), kept)
+    assert batch.stored(spark, kept).rules != first.rules and rows(again.repairs) == rows(first.repairs)
+    assert batch.stored(spark, folder()) is None
