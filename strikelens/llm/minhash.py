@@ -6,11 +6,13 @@ which is its own and the same for all documents (optimal densification), so that
 ``ROWS`` bins are a band, and classes with equal bands share a bucket. With the defaults a pair of
 exactly the similarity shares no bucket with a chance of (1 - 0.85^8)^48, 2 in ten million, and a more similar one less.
 
-Buckets give stars and not pairs: each class is paired with the bucket's centre, which a hash chooses, so that the buckets of a group
-of near copies have different centres. Pairs are confirmed on full sets, and links make components. A bucket is
-done when its classes are in one component or have all been centres. Others go on without their centres: in each round the next
-classes become centres, twice as many as in the round before, for the bucket's classes in other components. So no link between classes that share
-a bucket is lost, there is no limit to a bucket, and rounds grow with the logarithm of the largest mixed bucket.
+Buckets give stars and not pairs: each class is paired with the bucket's centre, the class that shares most buckets, which in a group
+of near copies is the one that the others were made from. Pairs are confirmed on full sets, and links make components. A bucket whose
+classes are in one component is done. In the others, classes of different components are compared by outlines of their sets, which bound
+from above what two sets can share, so that no link is lost, and only pairs that the bound lets pass are confirmed. Each class first has its
+best partners confirmed, since these join most components, then more, at last all; so no link between classes that share a bucket is
+lost, and no bucket has a limit. A bucket is cut into blocks, and a task compares two blocks at a time and gives out
+nothing but pairs that passed, so its memory has a bound whatever the bucket.
 
 Sets are not written: what travels for a pair is one text, and the texts of centres once for each of ``salts`` parts of
 their pairs, so that a centre of very many classes is spread over tasks. Centres and sizes of buckets are
@@ -24,12 +26,12 @@ empty result. Only doc_id and text are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strikelens.llm.common import row_key, slices, small_batches
@@ -43,8 +45,10 @@ SIMILAR = 85
 #: Bands, and bins in each.
 BANDS = 48
 ROWS = 8
-#: Centres of a bucket in its second round; later rounds have twice as many each.
-CENTRES = 8
+#: Bits of an outline, classes in a block of a bucket, and partners that a class has confirmed in each round; None is all.
+BITS = 1024
+BLOCK = 2048
+PARTNERS = (4, 64, None)
 SEED = 20_240_607
 
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -114,13 +118,15 @@ def sketches(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """bucket, class, n, turn, centre and n_centre for all classes of buckets of two and more; written. The centre has the first turn."""
+    """bucket, members, class, n, centre and n_centre for all classes of buckets of two and more; written."""
     each = classes.select(F.explode("bands").alias("bucket"), "class", "n")
-    turn = F.xxhash64("class", "bucket")
-    first = F.min(F.struct(turn.alias("turn"), "class", "n")).alias("first")
-    shared = each.groupBy("bucket").agg(F.count("*").alias("members"), first).filter("members > 1")
-    shared = shared.select("bucket", F.col("first.class").alias("centre"), F.col("first.n").alias("n_centre"))
-    return stage(each.join(shared, "bucket").withColumn("turn", turn), "buckets")
+    shared = each.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
+    members = stage(each.join(shared, "bucket"), "members")
+    score = members.groupBy("class").agg(F.count("*").alias("score"))
+    best = F.max(F.struct("score", F.xxhash64("class", "bucket"), "class", "n")).alias("best")
+    centres = members.join(score, "class").groupBy("bucket").agg(best)
+    centres = centres.select("bucket", F.col("best.class").alias("centre"), F.col("best.n").alias("n_centre"))
+    return stage(members.join(centres, "bucket"), "buckets")
 
 
 def _comparable(similar: int) -> Column:
@@ -128,6 +134,85 @@ def _comparable(similar: int) -> Column:
     return 100 * F.least("n", "n_centre") >= similar * F.greatest("n", "n_centre")
 
 
+def outline(shingles: np.ndarray, bits: int = BITS) -> tuple[bytes, int]:
+    """Which of ``bits`` places a set has one shingle at least, and which two, as bytes; and how many shingles are beyond two.
+
+    Two sets share no more shingles than they share bits in the first half and in the second, and the lesser number beyond.
+    """
+    counts = np.bincount((shingles.view(np.uint64) >> np.uint64(13)).astype(np.int64) & (bits - 1), minlength=bits)
+    planes = np.concatenate([np.packbits(counts > 0), np.packbits(counts > 1)])
+    return planes.tobytes(), int(np.maximum(counts - 2, 0).sum())
+
+
+def outlines(texts: DataFrame, words: int = WORDS) -> DataFrame:
+    """class, planes and beyond of every class with its text; written."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        for batch in slices(batches):
+            found = [outline(shingler.set(text.as_py())) for text in batch.column("text")]
+            columns = [pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.int32())]
+            yield pa.RecordBatch.from_arrays([batch.column("class"), *columns], names=["class", "planes", "beyond"])
+
+    with small_batches(texts.sparkSession):
+        return stage(texts.select("class", "text").mapInArrow(make, "class binary, planes binary, beyond int"), "outlines")
+
+
+def _partners(similar: int, most: int | None):
+    """For two blocks of a bucket, the pairs in different components that may be similar; of each class the ``most`` best."""
+
+    def partners(table: pa.Table) -> pa.Table:
+        n = table.column("n").to_numpy()
+        beyond = table.column("beyond").to_numpy()
+        root = table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+        own, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
+        planes = np.frombuffer(b"".join(table.column("planes").to_pylist()), np.uint64).reshape(len(n), -1)
+        # a pair of one block is found where both are rows of it, a pair of two blocks from the lower one
+        rows = np.flatnonzero(own == low[0])
+        others = rows if low[0] == high[0] else np.flatnonzero(own == high[0])
+        firsts, seconds = [], []
+        step = max(1, (1 << 20) // max(1, len(others) * planes.shape[1]))
+        for start in range(0, len(rows), step):
+            part = rows[start : start + step]
+            shared = np.bitwise_count(planes[part, None, :] & planes[None, others, :]).sum(axis=2, dtype=np.int32)
+            shared += np.minimum(beyond[part, None], beyond[None, others])
+            total = n[part, None] + n[None, others]
+            shared = np.minimum(shared, np.minimum(n[part, None], n[None, others]))
+            passed = (100 * shared >= similar * (total - shared)) & (root[part, None] != root[None, others])
+            if low[0] == high[0] and most is None:
+                passed &= part[:, None] < others[None, :]
+            if most is not None and most < len(others):
+                alike = np.where(passed, shared / total, -1.0)
+                best = np.argpartition(-alike, most - 1, axis=1)[:, :most]
+                chosen = np.zeros_like(passed)
+                np.put_along_axis(chosen, best, True, axis=1)
+                passed &= chosen
+            a, b = np.nonzero(passed)
+            firsts.append(part[a])
+            seconds.append(others[b])
+        classes = table.column("class").combine_chunks()
+        ends = [classes.take(pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64())) for x in (firsts, seconds)]
+        return pa.table(ends, names=["centre", "class"])
+
+    return partners
+
+
+def possible(rest: DataFrame, outlined: DataFrame, similar: int, most: int | None, block: int = BLOCK) -> DataFrame:
+    """(centre, class): distinct pairs of ``rest`` (bucket, members, class, n, root) that share a bucket and may be similar; written."""
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    dealt = rest.withColumn("block", F.pmod(F.xxhash64("class"), blocks).cast("int"))
+    # a row goes to the pairs of its block with every block
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    named = dealt.join(outlined, "class").select(
+        "bucket", "class", F.col("n").cast("long"), "root", "block", "low", "high", "planes", "beyond"
+    )
+    pairs = named.groupBy("bucket", "low", "high").applyInArrow(_partners(similar, most), "centre binary, class binary")
+    return stage(pairs.select(F.least("centre", "class").alias("centre"), F.greatest("centre", "class").alias("class")).distinct(), "possible")
+
+
+
+
 class _Confirmed:
     """Links confirmed on full sets, and the components that they make."""
 
@@ -178,15 +263,9 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int = WORDS, similar: int
         return stage(both.mapInArrow(compare, "a binary, b binary"), "links")
 
 
-def _next_centres(rest: DataFrame, wanted: int) -> DataFrame:
-    """The first classes of each bucket by turn. The cut is made in every task before the shuffle."""
-    by_turn = Window.partitionBy("bucket").orderBy("turn", "class")
-    first = rest.withColumn("nth", F.row_number().over(by_turn)).filter(F.col("nth") <= wanted)
-    names = {"class": "centre", "n": "n_centre", "turn": "turn_centre", "root": "root_centre"}
-    return first.select("bucket", *[F.col(c).alias(name) for c, name in names.items()])
-
-
-def class_roots(rows: DataFrame, docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, centres: int = CENTRES) -> DataFrame | None:
+def class_roots(
+    rows: DataFrame, docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, partners: Sequence[int | None] = PARTNERS, block: int = BLOCK
+) -> DataFrame | None:
     """node, root of the components of classes with links; None without links. ``rows`` are the sketches of ``docs``."""
     named = rows.filter("class IS NOT NULL").groupBy("class")
     members = buckets(named.agg(F.min("n_shingles").alias("n"), F.min("bands").alias("bands")))
@@ -197,28 +276,33 @@ def class_roots(rows: DataFrame, docs: DataFrame, words: int = WORDS, similar: i
     texts = stage(found.groupBy("class").agg(F.min("text").alias("text")), "texts")
     confirmed = _Confirmed(texts, words, similar)
     others = F.col("class") != F.col("centre")
-    confirmed.add(stage(members.filter(others & _comparable(similar)).select("centre", "class").distinct(), "stars"))
-    rest = members.filter(others).select("bucket", "class", "n", "turn")
-    while True:
-        rest = confirmed.rooted(rest, "class", "root")
-        ends = rest.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        rest = stage(rest.join(ends.filter("low <> high"), "bucket", "left_semi"), "mixed")
+    stars = stage(members.filter(others & _comparable(similar)).select("centre", "class").distinct(), "stars")
+    confirmed.add(stars)
+    # all pairs of the centre are known
+    rest, outlined = members.filter(others).select("bucket", "members", "class", "n"), None
+    done = stars.select(F.least("centre", "class").alias("centre"), F.greatest("centre", "class").alias("class"))
+    for most in partners:
+        rest = confirmed.rooted(rest.drop("root"), "class", "root")
+        ends = rest.groupBy("bucket").agg(F.min("root").alias("lowest"), F.max("root").alias("highest"))
+        rest = stage(rest.join(ends.filter("lowest <> highest"), "bucket", "left_semi"), "mixed")
         if rest.isEmpty():
-            return confirmed.roots
-        chosen = stage(_next_centres(rest, centres), "centres")
-        later = F.struct("turn", "class") > F.struct(F.col("turn_centre").alias("turn"), F.col("centre").alias("class"))
-        apart = F.col("root") != F.col("root_centre")
-        pairs = rest.join(chosen, "bucket").filter(later & apart & _comparable(similar)).select("centre", "class").distinct()
-        confirmed.add(stage(pairs, "pairs"))
-        done = chosen.select("bucket", F.col("centre").alias("class"))
-        rest = rest.join(done, ["bucket", "class"], "left_anti").drop("root")
-        centres *= 2
-
-
-def join(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, bands: int = BANDS, rows: int = ROWS, centres: int = CENTRES) -> DataFrame:
+            break
+        if outlined is None:
+            outlined = outlines(texts.join(rest.select("class").distinct(), "class", "left_semi"), words)
+        pairs = possible(rest, outlined, similar, most, block)
+        fresh = stage(pairs.join(done, ["centre", "class"], "left_anti"), "fresh")
+        confirmed.add(fresh)
+        done = done.union(fresh)
+    return confirmed.roots
+
+
+def join(
+    docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, bands: int = BANDS, rows: int = ROWS,
+    partners: Sequence[int | None] = PARTNERS, block: int = BLOCK,
+) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest identifier that links reach) and kept, whether it is the row's own."""
     found = sketches(docs, words, bands, rows)
-    roots = class_roots(found, docs, words, similar, centres)
+    roots = class_roots(found, docs, words, similar, partners, block)
     some = found.filter("class IS NOT NULL").select("doc_id", "n_shingles", "class")
     classes = some.groupBy("class").agg(F.min("doc_id").alias("component_id"))
     if roots is not None:

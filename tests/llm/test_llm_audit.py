@@ -18,7 +18,7 @@ from strikelens.llm import filter_audit, merkle, minhash, oracles, queries
 # ---- near duplicates
 
 
-@pytest.mark.parametrize("options", [{}, {"bands": 40, "rows": 1, "centres": 1}])
+@pytest.mark.parametrize("options", [{}, {"bands": 40, "rows": 1, "block": 3}])
 def test_minhash(spark, options):
     docs = samples.documents(spark)
     found = minhash.join(docs, **options)
@@ -41,7 +41,7 @@ def test_minhash_where_buckets_stay_mixed(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     expected = {i: c["component_id"] for i, c in expected_components(rows, 3, 85).items()}
     assert 1 < len(set(expected.values())) < 90
-    for options in ({"bands": 3, "rows": 1, "centres": 1}, {"centres": 2}):
+    for options in ({"bands": 4, "rows": 1, "block": 7}, {"partners": (1, 2, None)}, {"partners": (None,), "block": 20}):
         assert {r.doc_id: r.component_id for r in minhash.join(docs, **options).collect()} == expected
 
 
@@ -54,6 +54,17 @@ def test_minhash_of_nothing_and_without_identifiers(spark):
     )
 
 
+def test_outlines_bound_what_sets_share():
+    rnd = np.random.default_rng(4)
+    for n in (1, 30, 400, 3000):
+        values = rnd.integers(-(2**63), 2**63 - 1, 2 * n, dtype=np.int64)
+        for k in (0, n // 2, n):
+            a, b = np.unique(values[:n]), np.unique(np.concatenate([values[:k], values[n : 2 * n - k]]))
+            (p, beyond_p), (q, beyond_q) = minhash.outline(a), minhash.outline(b)
+            bits = np.bitwise_count(np.frombuffer(p, np.uint64) & np.frombuffer(q, np.uint64)).sum()
+            assert len(np.intersect1d(a, b)) <= bits + min(beyond_p, beyond_q)
+
+
 def test_bins_agree_as_often_as_sets_are_alike():
     sketcher, rnd = minhash.Sketcher(), np.random.default_rng(3)
     for n in (12, 40, 900):
