@@ -27,6 +27,7 @@ KINDS: dict[str, Callable[..., Column]] = {
     "not_null": lambda c: c.isNotNull(),
     "not_empty": lambda c: _definite(c != ""),
     "in_range": lambda c, low, high: F.coalesce(c.between(low, high), F.lit(True)),
+    "known_in_range": lambda c, low, high: _definite(c.between(low, high)),
     "lacks": lambda c, text: _definite(~F.contains(c, F.lit(text))),
     "not_matching": lambda c, pattern: _definite(~c.rlike(rf"\A(?:{pattern})\z")),
 }
@@ -52,7 +53,7 @@ def not_empty() -> Rule:
 
 
 def in_range(low: int, high: int) -> Rule:
-    """Inclusive at both ends. A null passes: ``not_null`` reports it, so that it counts once per field."""
+    """Inclusive at both ends. A null fails, unless a ``not_null`` beside it reports it, so that it counts once per field."""
     return StoredRule("in_range", (low, high))
 
 
@@ -80,9 +81,18 @@ def from_specification(stored: list[dict]) -> RuleSet:
     return {entry["field"]: [StoredRule(kind, tuple(arguments)) for kind, *arguments in entry["rules"]] for entry in stored}
 
 
+def checks(name: str, rules: Sequence[Rule]) -> list[Column]:
+    """What each rule of a field says of a row. A range leaves null to a rule that reports it, and fails it alone."""
+    if not_null() not in rules:
+        rules = [
+            StoredRule("known_in_range", rule.arguments) if isinstance(rule, StoredRule) and rule.kind == "in_range" else rule for rule in rules
+        ]
+    return [rule(F.col(name)) for rule in rules]
+
+
 def all_valid(name: str, rules: Sequence[Rule]) -> Column:
     """Whether a field passes all its rules; a rule that answers null, as one of the user may, is not passed."""
-    return _definite(reduce(and_, [rule(F.col(name)) for rule in rules]))
+    return _definite(reduce(and_, checks(name, rules)))
 
 
 # The rules of each field of a raw record.

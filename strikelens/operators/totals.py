@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.quantity import mean_quantity
+from ..runtime import stage
 from ..schemas import GROUPED, KEY
 from ..settings import WINDOW
 
@@ -51,30 +52,26 @@ def tumbling_last(
     )
 
 
-def running_count(
-    rows: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str] = (), slot: str = "minute"
-) -> DataFrame:
+def running_count(rows: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str] = ()) -> DataFrame:
     """How many rows of its key came up to and including each row.
 
-    Counting a hot key in one window partition would put all its rows into
-    one task. Rows are numbered within short time slots instead, and the
-    rows of the earlier slots are added from the per-slot counts.
+    Counting a key in one window partition would put all its rows into one task. Rows are dealt by range of key and time
+    instead, so that a hot key is spread however close its rows are in time; a row's number in its range is
+    known without a shuffle, and the counts of the key's earlier ranges are added.
     """
-    slotted = rows.withColumn("_slot", F.date_trunc(slot, ts))
-    slot_key = [*keys, "_slot"]
-    earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        slotted.groupBy(*slot_key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*[F.col(k).alias(f"_of_{k}") for k in slot_key], F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    by = [*keys, ts, *order]
+    # this number goes up by one along a sorted range
+    dealt = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    dealt = stage(dealt.withColumn("_part", F.shiftright("_at", 33)), "running")
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = dealt.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    shifts = runs.select(
+        *[F.col(k).alias(f"_of_{k}") for k in (*keys, "_part")],
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
-    position = F.row_number().over(Window.partitionBy(*slot_key).orderBy(ts, *order))
-    numbered = slotted.withColumn("_position", position)
     # null keys are keys, too
-    same_slot = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in slot_key])
-    return numbered.join(offsets, same_slot).select(
-        *[numbered[c] for c in rows.columns], (F.col("_before") + F.col("_position")).alias("running_count")
-    )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in (*keys, "_part")])
+    return dealt.join(shifts, same).select(*rows.columns, (F.col("_at") + F.col("_shift")).alias("running_count"))
 
 
 def windowed_running_count(rows: DataFrame, keys: Sequence[str], ts: str, width: str = WINDOW) -> DataFrame:

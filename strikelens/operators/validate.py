@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import FIELD_RULES, PARSED_QUANTITY_RULES, RuleSet, all_valid
+from ..functions.rules import FIELD_RULES, PARSED_QUANTITY_RULES, RuleSet, all_valid, checks
 from ..settings import STRICT_THRESHOLD
 
 SPECIES, QUANTITY, OTHER = "species", "quantity", "other"
@@ -26,7 +26,7 @@ def topic_class(field: str) -> str:
 
 def failures(field: str, rules: RuleSet = FIELD_RULES) -> Column:
     """Number of rules of ``field`` that a row fails."""
-    return reduce(add, [F.when(rule(F.col(field)), 0).otherwise(1) for rule in rules[field]])
+    return reduce(add, [F.when(check, 0).otherwise(1) for check in checks(field, rules[field])])
 
 
 def profile(details: DataFrame, rules: RuleSet = FIELD_RULES) -> DataFrame:
@@ -81,6 +81,16 @@ def invalid_topics(rules: RuleSet) -> Column:
     return F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
 
 
+def failing_by_field(rows: DataFrame, rules: RuleSet) -> DataFrame:
+    """Distinct rows that fail, once for each field that they fail, in ``field``.
+
+    Repeats are removed before rows are multiplied, so one shuffle of the failing rows, combined in each task, serves all fields.
+    """
+    failed = F.array_compact(F.array(*[F.when(~all_valid(field, rules[field]), F.lit(field)) for field in rules]))
+    invalid = rows.filter(~reduce(and_, [all_valid(field, rules[field]) for field in rules])) if rules else rows.limit(0)
+    return invalid.dropDuplicates().select("*", F.explode(failed if rules else F.array().cast("array<string>")).alias("field"))
+
+
 def failing_rows(details: DataFrame, field: str, rules: RuleSet = FIELD_RULES) -> DataFrame:
     """Distinct rows that fail a rule of ``field``."""
     return details.filter(~all_valid(field, rules[field])).dropDuplicates()

@@ -16,6 +16,7 @@ from ..runtime import new_folder, stage
 from ..schemas import DETAIL_COLUMNS, GROUPED, KEY, SUMMARY
 from ..settings import LENIENT_THRESHOLD, STRICT_THRESHOLD
 from ..sources import csv_files, topics
+from ..sources.files import Files
 from ..streaming import jobs
 from ..streaming.replay import Replay
 from ..streaming.run import drain
@@ -91,9 +92,9 @@ def invalid_topics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dedup_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Distinct rows, as far as these columns go, that fail the mass rule."""
-    rows = details_of(spark, folder).select("year", "month", "species_id", "species_name", "aircraft_mass")
-    return validate.failing_rows(rows, "aircraft_mass").drop("aircraft_mass")
+    """Distinct summaries, apart from their record ids, that fail a kept field, under each such field."""
+    details, prepared = _prepared(spark, folder)
+    return validate.failing_by_field(batch.repaired_summary(details, prepared).drop("record_id"), prepared.rules)
 
 
 def route_fanout(spark: SparkSession, folder: str) -> DataFrame:
@@ -250,19 +251,22 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def csv_untyped(spark: SparkSession, folder: str) -> DataFrame:
     """How often each line of a headed file occurs, with all columns and line breaks in texts, its header line among them.
 
-    Every third record is written without its last column, so the lines differ in width.
+    Every third record is written without its last column, so the lines differ in width, and the first orders have a text of
+    100,000 characters. Each file has a header; a header counts once if there are as many as files.
     """
     path = new_folder(spark, "raw-csv")
     wide = _wide_details(spark, folder)
     texts = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in wide.columns]
-    broken = wide.select(texts).withColumn("operator", F.concat("operator", F.lit("\n\"x\",")))
-    narrow = F.col("record_id").cast("long") % 3 == 0
+    long = F.when(F.col("record_id").cast("long") < 50, F.repeat(F.lit('x,"'), 33_334)).otherwise("")
+    broken = wide.select(texts).withColumn("operator", F.concat("operator", F.lit("\n\"x\","), long))
+    narrow, extra = F.col("record_id").cast("long") % 3 == 0, F.lit(0)
     for rows in (broken.filter(~narrow), broken.filter(narrow).drop(wide.columns[-1])):
+        before = len(Files(spark).names(f"{path}/part-*"))
         rows.write.mode("append").options(header=True, compression="gzip", quote='"', escape='"', emptyValue="").csv(path)
+        files = len(Files(spark).names(f"{path}/part-*")) - before
+        extra = F.when(F.col("line") == "|".join(rows.columns), files - 1).otherwise(extra)
     lines = csv_files.read_untyped(spark, path).select(F.array_join("fields", "|").alias("line"))
-    # every task writes a header of its own
-    header = F.col("line").startswith(wide.columns[0] + "|")
-    return lines.groupBy("line").agg(F.when(F.first(header), 1).otherwise(F.count("*")).alias("n"))
+    return lines.groupBy("line").agg(F.count("*").alias("n")).select("line", (F.col("n") - extra).alias("n"))
 
 
 def csv_sink(spark: SparkSession, folder: str) -> DataFrame:

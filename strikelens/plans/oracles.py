@@ -249,7 +249,8 @@ def _untyped_lines() -> str:
     texts = []
     for _, name, dtype in DETAIL_COLUMNS:
         text = f"coalesce(CAST({name} AS VARCHAR), '')"
-        texts.append(f"operator || chr(10) || '\"x\",'" if name == "operator" else text)
+        long = "CASE WHEN record_id < 50 THEN repeat('x,\"', 33334) ELSE '' END"
+        texts.append(f"operator || chr(10) || '\"x\",' || {long}" if name == "operator" else text)
     whole, narrow = (", '|', ".join(t) for t in (texts, texts[:-1]))
     return (
         f"SELECT '{'|'.join(names)}' AS line, CAST(1 AS BIGINT) AS n UNION ALL SELECT '{'|'.join(names[:-1])}', 1 "
@@ -258,6 +259,17 @@ def _untyped_lines() -> str:
     )
 
 
+def _failing() -> str:
+    """Distinct summaries without their record ids under each kept field that they fail; the quantity has become two."""
+    columns = ", ".join(c for c in SUMMARY.fieldNames() if c != "record_id")
+    parts = []
+    for field, count in _FAILURES.items():
+        names = [f"{field}_min", f"{field}_max"] if field == "species_quantity" else [field]
+        test = f"'{field}' IN (SELECT field FROM kept) AND {count} > 0"
+        parts += [f"SELECT DISTINCT {columns}, '{name}' AS field FROM repaired WHERE {test}" for name in names]
+    return " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     summary = ", ".join(SUMMARY.fieldNames())
     codes = "record_id, airport_id, airport_name, species_id, species_name"
@@ -309,9 +321,7 @@ def oracle_sql() -> dict[str, str]:
             "CASE WHEN bad_quantity THEN 'quantity' END, CASE WHEN bad_other THEN 'other' END) AS topics FROM flagged",
         ),
         "route_fanout": routed,
-        "dedup_rows": _with(
-            [_RECORDS], "SELECT DISTINCT year, month, species_id, species_name FROM details WHERE aircraft_mass IS NULL"
-        ),
+        "dedup_rows": _with(_prepared(), _failing()),
         "id_name_map": _with(
             pairs,
             "SELECT kind, id, name FROM pairs WHERE kind NOT IN "

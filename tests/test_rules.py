@@ -175,3 +175,18 @@ def test_rules_as_data():
     assert rules.from_specification(stored) == known
     with pytest.raises(TypeError, match="speed"):
         rules.to_specification({"speed": [lambda c: c < 900]})
+
+
+def test_a_range_alone_fails_null(spark):
+    frame = spark.createDataFrame([(5,), (50,), (None,)], "v int")
+    alone, reported = {"v": [rules.in_range(1, 9)]}, {"v": [rules.not_null(), rules.in_range(1, 9)]}
+    for of_field, failures in ((alone, [0, 1, 1]), (reported, [0, 1, 1])):
+        assert [r[0] for r in frame.select(rules.all_valid("v", of_field["v"])).collect()] == [True, False, False]
+        assert [r[0] for r in frame.select(validate.failures("v", of_field)).collect()] == failures
+
+
+def test_failing_rows_of_all_fields(spark):
+    frame = spark.createDataFrame([(1, ""), (1, ""), (None, "a"), (None, ""), (2, "b")], "n int, t string")
+    known = {"n": [rules.not_null()], "t": [rules.not_empty()]}
+    assert rows(validate.failing_by_field(frame, known)) == [(1, "", "t"), (None, "", "n"), (None, "", "t"), (None, "a", "n")]
+    assert rows(validate.failing_by_field(frame, {})) == []

@@ -1,6 +1,7 @@
 import random
 
 from conftest import SMALL, rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strikelens.operators import rank, totals
@@ -123,3 +124,13 @@ def test_first_per_key(spark):
 def test_each_year_is_cut_before_the_shuffle(spark):
     plan = rank.top_n_per_year(yearly(spark, ("a", 1)))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_running_count_of_a_hot_key_spreads(spark):
+    # all rows of one key within a second, others around it, null keys among them
+    frame = spark.range(4000).selectExpr(
+        "CASE WHEN id % 10 < 7 THEN 'hot' WHEN id % 10 = 7 THEN NULL ELSE string(id % 5) END AS k", "timestamp_millis(id % 900) AS ts", "id AS i"
+    )
+    counted = totals.running_count(frame.repartition(3), ["k"], "ts", ["i"])
+    expected = Window.partitionBy("k").orderBy("ts", "i")
+    assert rows(counted) == rows(frame.withColumn("running_count", F.row_number().over(expected).cast("bigint")))
