@@ -185,10 +185,28 @@ SELECT leaves.doc_id, leaves.digest AS leaf, subroots.digest AS subroot, root, s
 FROM leaves JOIN subroots ON leaves.tree = group_name JOIN high_top USING (row) CROSS JOIN roots
 """
 
+CHAT = r"""
+WITH turns AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role)
+), formed AS (
+  SELECT *, '### ' || regexp_replace(role, '(\\|###|</turn>)', '\\\1', 'g') || ': ' || regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g')
+    || '</turn>' || chr(10) AS form
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(form)) AS BIGINT) AS formatted_chars
+FROM formed GROUP BY conv_id
+"""
+
 ORACLE_SQL = {
     "op1_jaccard_join": similar_sql(5, 80, kept=False),
     "op5_mix_sources": MIX,
     "op7_exact_dedup": EXACT_DEDUP,
+    "op9_chat_formatting": CHAT,
     "op11_minhash_dedup": similar_sql(3, 85, kept=True),
     "op12_filter_audit": FILTER_AUDIT,
     "op13_merkle_manifest": MERKLE,

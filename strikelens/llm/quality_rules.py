@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strikelens.llm.common import SPACE, WORD, whole_text
+from strikelens.llm.common import SPACE, WORD, row_key, whole_text
 from strikelens.runtime import stage
 
 #: Fixed values of the contract.
@@ -181,3 +181,11 @@ def judge(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     patterns = stage(counted.groupBy(*names).agg(F.count("*").alias("n")), "vote-patterns").coalesce(1)
     posterior = _posterior(*fit(patterns, names, iterations))
     return counted.withColumn("posterior", posterior).withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5))
+
+
+def filter_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
+    """The rows of ``docs`` that are kept, with the columns of ``docs``."""
+    judged = judge(docs.select(row_key().alias("doc_id"), "text"), iterations)
+    kept = judged.filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.select(F.struct("*").alias("_row"), row_key().alias("_key"))
+    return rows.join(kept, F.col("_key") == F.col("_kept"), "left_semi").select("_row.*")

@@ -1,4 +1,4 @@
-"""MinHash components, filter audit and Merkle manifest against brute force, and corpus queries against their SQL."""
+"""MinHash components, filter audit and Merkle manifest against brute force."""
 
 import hashlib
 import itertools
@@ -7,13 +7,11 @@ import zlib
 
 import numpy as np
 import pytest
-from compare import connect, differences, expected_of
-from conftest import SMALL
 from llm import samples
 from llm.test_llm_dedup import expected_components, plain_rows
 from pyspark.sql import functions as F
 
-from strikelens.llm import filter_audit, merkle, minhash, oracles, queries
+from strikelens.llm import filter_audit, merkle, minhash
 
 # ---- near duplicates
 
@@ -213,12 +211,3 @@ def test_merkle_manifest_of_little(spark):
     one = spark.createDataFrame([(None, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
     (row,) = merkle.verified(merkle.manifest(one)).collect()
     assert row.leaf == row.root == row.subroot == row.folded_root == digest("-----") and row.proof_sha256 == digest() and row.verified
-
-
-# ---- queries
-
-
-@pytest.mark.parametrize("name", ["op1_jaccard_join", "op11_minhash_dedup", "op12_filter_audit", "op13_merkle_manifest"])
-def test_query_equals_sql(spark, name):
-    connection = connect(SMALL, ["documents", "labels"])
-    assert differences(queries.QUERIES[name](spark, SMALL).toArrow(), expected_of(connection, oracles.ORACLE_SQL[name])) == ""

@@ -1,5 +1,7 @@
 """Mixing, quality rules, classifier, surrogates and the queries with SQL."""
 
+import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -12,13 +14,13 @@ from pyspark.sql import functions as F
 from strikelens.llm import classifier, mixing, quality_rules, surrogates
 from strikelens.llm.oracles import ORACLE_SQL
 from strikelens.llm.queries import QUERIES
+from strikelens.runtime import stage
 
 
 @pytest.mark.parametrize("name", list(ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     actual = QUERIES[name](spark, SMALL).toArrow()
-    connection = connect(SMALL)
-    connection.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    connection = connect(SMALL, ["documents", "labels", "conversations"])
     assert differences(actual, expected_of(connection, ORACLE_SQL[name])) == ""
 
 
@@ -98,6 +100,56 @@ def test_quality_rules(spark):
     assert quality_rules.judge(samples.empty(spark)).count() == 0
 
 
+def test_kept_rows_keep_their_columns(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumn("digest", F.lit("d"))
+    kept = quality_rules.filter_documents(docs)
+    judged = {(r.doc_id, r.n_words) for r in quality_rules.judge(docs).filter("kept").collect()}
+    rows = kept.collect()
+    assert kept.columns == docs.columns and rows
+    assert {(r.doc_id, len(samples.WORD.findall(r.text or ""))) for r in rows} == judged
+    assert quality_rules.filter_documents(samples.empty(spark)).count() == 0
+
+
+def test_posteriors_against_plain_python(spark):
+    rnd = random.Random(9)
+    rows = [(i, rnd.gauss(1 if i % 3 else -2, 1.5), f"h{i % 4}" if i % 7 else None, f"p{i % 2}" if i % 5 else None) for i in range(300)]
+    rows += [(300, -1.0, "alone", "p0"), (300, -1.0, "alone", "p0"), (None, 2.0, "new", None)]
+    scored = spark.createDataFrame(rows, "doc_id long, evidence double, source string, lang string")
+    sites = stage(classifier.site_posteriors(scored), "sites")
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    logit = lambda p: math.log(min(max(p, 1e-4), 1 - 1e-4) / (1 - min(max(p, 1e-4), 1 - 1e-4)))
+    paths, hosts = defaultdict(list), defaultdict(list)
+    for _, evidence, host, path in rows:
+        paths[host, path].append(sigmoid(evidence))
+        hosts[host].append(sigmoid(evidence))
+
+    def strength(groups):
+        """Groups by what is above them; the variance of their means, less what chance explains."""
+        members = [g for parent in groups.values() for g in parent]
+        n, inside = sum(map(len, members)), sum(sum(x * x for x in g) - sum(g) ** 2 / len(g) for g in members)
+        between = spread = 0.0
+        for parent in groups.values():
+            whole = sum(map(len, parent))
+            between += sum(sum(g) ** 2 / len(g) for g in parent) - sum(map(sum, parent)) ** 2 / whole
+            spread += whole - sum(len(g) ** 2 for g in parent) / whole
+        noise = inside / (n - len(members))
+        variance = (between - (len(members) - len(groups)) * noise) / spread
+        return 10_000.0 if variance <= 0 else min(10_000.0, max(2.0, noise / variance))
+
+    nested = defaultdict(list)
+    for (host, _), g in paths.items():
+        nested[host].append(g)
+    prior = sum(map(sum, hosts.values())) / len(rows)
+    by_host, by_path = strength({None: list(hosts.values())}), strength(nested)
+    for r in classifier.judge(scored, sites).collect():
+        h, g = hosts[r.source], paths[r.source, r.lang]
+        host_quality = (sum(h) + by_host * prior) / (len(h) + by_host)
+        path_quality = (sum(g) + by_path * host_quality) / (len(g) + by_path)
+        odds = r.evidence + min(max(logit(path_quality) - logit(prior), -2.0), 2.0)
+        assert (r.host_quality, r.path_quality, r.quality) == pytest.approx((host_quality, path_quality, sigmoid(odds)))
+        assert r.kept == (r.quality >= 0.5)
+
+
 def test_expectation_maximisation_finds_the_rules_that_are_right(spark):
     import random
 
