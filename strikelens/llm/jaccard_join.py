@@ -6,14 +6,11 @@ last), so a region is all classes with such a shingle, and no link crosses regio
 at distance 1 from any pivot, which is why regions start from shingles and not from a few pivots for all.
 
 A region's pivot is its smallest class. Over all regions a class meets several pivots, and belongs to the cell of the one with which it shares most
-first shingles. The first round measures it against that pivot alone; it is linked, beyond the radius, or undecided.
-Later rounds measure only where classes of one region are not in one component yet: the remaining
-pivots, and then, in regions that still hold several components, blocks of ``PIVOTS`` classes against
-all others in other components, without distances, until each has been in a block. Once before that, by the triangle inequality a class within the radius of the pivot can only be linked to
-those within twice the radius of it, so others leave with the pivot, and classes on the boundary go on with both sides.
-Small rests are compared directly. Before sets are compared,
-sketches that bound what they can share sort out most pairs. A region is done when all its classes are in one component or its pairs are measured; no
-pairs within a group of near copies are made beyond that.
+first shingles. The first round measures it against that pivot alone; it is linked, beyond the radius, or undecided. By the triangle
+inequality a class of the pivot's component at some distance can only be linked to those within that distance and the radius, so others leave, and classes on the
+boundary go on with both sides. A region is done when all its classes are in one component.
+In the others, classes of different components are compared by outlines (``blocks``), block by block, which bound what two sets share; pairs that pass are measured
+on whole sets, the best partners of each class first, then more, at last all. No other pairs of a region are made.
 
 Shingles that are common in a task's documents are gathered in a table of bounded size; it decides the order only, never the
 result. Shingles are 64-bit hashes of their words.
@@ -27,14 +24,15 @@ An empty table gives an empty result. Only doc_id and text are read; ``deduplica
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strikelens.llm.blocks import BLOCK, PARTNERS, outline_batch, possible
 from strikelens.llm.common import WORD, discard, row_key, slices, small_batches
 from strikelens.llm.components import components
 from strikelens.runtime import new_folder, stage
@@ -45,9 +43,6 @@ SIMILAR = 80
 #: Common shingles, at most, and how often one must be seen in a task to be offered.
 COMMON = 500_000
 OFTEN = 4
-#: Rests of a region up to this size are compared directly; larger ones get this many pivots a round.
-LEAF = 64
-PIVOTS = 64
 #: Counts in a sketch.
 SKETCH = 128
 #: First shingles in a bucket, about.
@@ -59,7 +54,7 @@ _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 REMEMBERED = 100_000
 SHORT = 32
 #: Shingles that a task holds before it combines them and forgets those seen once.
-HELD = 500_000
+HELD = 250_000
 
 
 class Shingler:
@@ -332,10 +327,6 @@ class _Rounds:
         roots = self.roots.select(F.col("node").alias(column), F.col("root").alias(name))
         return rows.join(roots, column, "left").withColumn(name, F.coalesce(name, column))
 
-    def apart(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose ends are in different components."""
-        return self.rooted(self.rooted(pairs, "a", "root_a"), "b", "root_b").filter("root_a <> root_b").drop("root_a", "root_b")
-
 
 def region_members(found: DataFrame) -> DataFrame:
     """The classes of all regions, from what ``first_shingles`` made."""
@@ -346,20 +337,21 @@ def region_members(found: DataFrame) -> DataFrame:
 
 
 def class_links(
-    docs: DataFrame, found: DataFrame, members: DataFrame, similar: int = SIMILAR, leaf: int = LEAF, words: int = WORDS
-) -> DataFrame | None:
+    docs: DataFrame, found: DataFrame, members: DataFrame, similar: int = SIMILAR, words: int = WORDS,
+    partners: Sequence[int | None] = PARTNERS, block: int = BLOCK,
+) -> DataFrame | None:
     """node, root of the components of classes with links, from documents' rows and regions' members, both written."""
     near = _comparable("n_a", "n_b", similar)
     # regions in which a class has a pivot are first shingles that both have: the more, the nearer
     stars = members.filter((F.col("a") != F.col("b")) & near).groupBy("a", "b").agg(F.count("*").alias("shared"))
     stars = stage(stars, "stars")
-    if stars.isEmpty() and members.filter("members > 2").isEmpty():
+    if members.isEmpty():
         return None
     classes = found.filter("n_shingles > 0").groupBy("class").agg(F.min("key").alias("key"))
     sketched = found.filter("n_shingles > 0").groupBy("class", "n_shingles").agg(F.min("sketch").alias("sketch"))
     rounds = _Rounds(stage(sketched, "sketches"), similar)
     # whole sets are made of one document of each class that may be linked
-    ends = stars.select(F.col("a").alias("class")).union(stars.select("b")).union(members.filter("members > 2").select("b"))
+    ends = members.select(F.col("b").alias("class"))
     chosen = classes.join(ends.distinct(), "class", "left_semi")
     source = docs.select(row_key(), "text").join(chosen, "key").select("class", "text")
     table = f"jaccard_sets_{uuid.uuid4().hex}"
@@ -372,62 +364,67 @@ def class_links(
         dealt.option("path", path).saveAsTable(table)
     rounds.sets = docs.sparkSession.table(table)
     try:
-        # a class and the nearest of its pivots, its cell; then the other pivots of classes that are still apart
-        nearest = stage(stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")), "nearest")
+        # a class and the nearest of its pivots, its cell; then whatever is still apart in a region
+        nearest = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
         measured = rounds.measure(rounds.possible(nearest))
-        others = rounds.possible(rounds.apart(stars.select("a", "b").join(nearest, ["a", "b"], "left_anti")))
-        if not others.isEmpty():
-            measured = measured.unionByName(rounds.measure(others))
-        return _recurse(rounds, members.filter("members > 2"), measured, similar, leaf)
+        return _settle(rounds, members, measured, similar, partners, block)
     finally:
         docs.sparkSession.sql(f"DROP TABLE {table}")
         discard(docs.sparkSession, path)
 
 
-def _recurse(rounds: _Rounds, members: DataFrame, measured: DataFrame, similar: int, leaf: int) -> DataFrame:
-    """Measures what regions of three and more classes still leave open, by pivots of the rest."""
+def _settle(
+    rounds: _Rounds, members: DataFrame, measured: DataFrame, similar: int, partners: Sequence[int | None], block: int
+) -> DataFrame:
+    """Measures what regions still leave open: pairs of different components that the window and the outlines let pass."""
     radius = 1 - similar / 100
-    distance = (1 - F.col("shared") / F.col("joined")).alias("distance")
-    near = measured.select("a", "b", distance)
+    near = measured.select("a", "b", (1 - F.col("shared") / F.col("joined")).alias("distance"))
     rest = members.join(near, ["a", "b"], "left").withColumn("distance", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("distance")))
-    rest = rounds.rooted(rest.select("region", F.col("b").alias("class"), F.col("n_b").alias("n"), "a", "distance"), "class", "root")
+    rest = rounds.rooted(rest.select("region", "members", F.col("b").alias("class"), F.col("n_b").alias("n"), "a", "distance"), "class", "root")
     rest = rounds.rooted(rest, "a", "pivot_root")
-    # regions in one component are done; so is the pivot, which has been measured against all
+    # regions in one component are done
     mixed = rest.groupBy("region").agg(
         F.min("root").alias("low"), F.max("root").alias("high"),
         F.min(F.when(F.col("root") != F.col("pivot_root"), F.coalesce("distance", F.lit(0.0)))).alias("nearest"),
-    ).filter("low <> high").select("region", "nearest")
-    rest = rest.join(mixed, "region").filter(F.col("class") != F.col("a"))
+    ).filter("low <> high").select("region", "nearest")
+    rest = rest.join(mixed, "region")
     # of the pivot's component, only those stay that the triangle inequality lets reach somebody outside it
     reach = F.coalesce("distance", F.lit(1.0)) + radius + 1e-9 >= F.col("nearest")
     rest = rest.filter((F.col("root") != F.col("pivot_root")) | F.col("distance").isNull() | reach)
-    rest = stage(rest.select("region", "class", "n", "root"), "rest")
-    while True:
-        sizes = rest.groupBy("region").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
-        rest = stage(rest.join(sizes.filter("low <> high"), "region").drop("low", "high"), "rest")
+    rest = stage(rest.select(F.col("region").alias("group"), "members", "class", "n"), "rest")
+    done, outlined = measured.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), None
+    for most in partners:
+        rest = rounds.rooted(rest.drop("root"), "class", "root")
+        ends = rest.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        rest = stage(rest.join(ends.filter("low <> high").select("group"), "group", "left_semi"), "rest")
         if rest.isEmpty():
-            return rounds.roots
-        # the first classes of each region are its next pivots; those of a leaf are all its classes
-        pivots = _first(rest, PIVOTS, leaf)
-        pairs = rest.join(pivots, "region").filter((F.col("a") != F.col("class")) & (F.col("root_a") != F.col("root")) & _comparable("n_a", "n", similar))
-        pairs = pairs.select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b")).distinct()
-        done = pivots.select("region", F.col("a").alias("class"))
-        pairs = rounds.possible(pairs)
-        if not pairs.isEmpty():
-            rounds.measure(pairs)
-        rest = rest.join(done, ["region", "class"], "left_anti").select("region", "class", "n")
-        rest = stage(rounds.rooted(rest, "class", "root"), "rest")
-
-
-def _first(rest: DataFrame, pivots: int, leaf: int) -> DataFrame:
-    """The next pivots of each region: (region, a, n_a, root_a). The cut is made in every task before the shuffle."""
-    by_class = Window.partitionBy("region").orderBy("class")
-    ranked = rest.withColumn("rank", F.row_number().over(by_class)).filter(F.col("rank") <= max(pivots, leaf))
-    kept = ranked.filter((F.col("size") <= leaf) | (F.col("rank") <= pivots))
-    return kept.select("region", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-
-
-def _joined(docs: DataFrame, words: int, similar: int, common: int, often: int, leaf: int) -> DataFrame:
+            break
+        if outlined is None:
+            outlined = outlines(rounds.sets.join(rest.select("class").distinct(), "class", "left_semi"))
+        fresh = stage(possible(rest, outlined, similar, most, block).join(done, ["a", "b"], "left_anti"), "fresh")
+        if not fresh.isEmpty():
+            rounds.measure(fresh)
+        done = done.union(fresh)
+    return rounds.roots
+
+
+def outlines(sets: DataFrame) -> DataFrame:
+    """class, planes and beyond of sets; written."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("shingles")
+            values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+            yield outline_batch(batch.column("class"), [values[a:b] for a, b in zip(offsets, offsets[1:])])
+
+    with small_batches(sets.sparkSession):
+        return stage(sets.select("class", "shingles").mapInArrow(make, "class long, planes binary, beyond int"), "outlines")
+
+
+def _joined(
+    docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, common: int = COMMON, often: int = OFTEN,
+    partners: Sequence[int | None] = PARTNERS, block: int = BLOCK,
+) -> DataFrame:
     """doc_id, key, n_shingles, component_id and root of every row: a root is one class of the component, null for an empty set."""
     often_found, firsts = common_shingles(docs, words, similar, common, often)
     spark = docs.sparkSession
@@ -439,7 +436,7 @@ def _joined(docs: DataFrame, words: int, similar: int, common: int, often: int,
     members = stage(region_members(written), "members")
     # what is larger than all that follows is not needed any more
     discard(spark, path)
-    roots = class_links(docs, found, members, similar, leaf, words)
+    roots = class_links(docs, found, members, similar, words, partners, block)
     rows = found.select("doc_id", "key", "n_shingles", "class")
     some = rows.filter("n_shingles > 0")
     classes = some.groupBy("class").agg(F.min("doc_id").alias("component_id"))
@@ -457,9 +454,9 @@ def _joined(docs: DataFrame, words: int, similar: int, common: int, often: int,
     return some.join(classes, "class").select(columns).unionByName(none)
 
 
-def join(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, common: int = COMMON, often: int = OFTEN, leaf: int = LEAF) -> DataFrame:
-    """doc_id, n_shingles, component_id: the smallest identifier that links reach."""
-    return _joined(docs, words, similar, common, often, leaf).select("doc_id", "n_shingles", "component_id")
+def join(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, n_shingles, component_id: the smallest identifier that links reach. Options are those of ``_joined``."""
+    return _joined(docs, **options).select("doc_id", "n_shingles", "component_id")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
@@ -468,7 +465,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     Of rows of one component that share this identifier, and of rows that repeat it with its text, one stays. Documents
     without words are linked with nothing and all stay.
     """
-    joined = _joined(docs, WORDS, SIMILAR, COMMON, OFTEN, LEAF)
+    joined = _joined(docs)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     linked = joined.filter("root IS NOT NULL").groupBy("root").agg(F.min_by("key", order).alias("_kept")).select("_kept")
     rows = docs.select(F.struct("*").alias("_row"), row_key().alias("_key"))

@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strikelens.llm.blocks import BLOCK, PARTNERS, outline_batch, possible
 from strikelens.llm.common import row_key, slices, small_batches
 from strikelens.llm.components import components
 from strikelens.llm.jaccard_join import Shingler
@@ -45,10 +46,6 @@ SIMILAR = 85
 #: Bands, and bins in each.
 BANDS = 48
 ROWS = 8
-#: Bits of an outline, classes in a block of a bucket, and partners that a class has confirmed in each round; None is all.
-BITS = 1024
-BLOCK = 2048
-PARTNERS = (4, 64, None)
 SEED = 20_240_607
 
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -134,85 +131,18 @@ def _comparable(similar: int) -> Column:
     return 100 * F.least("n", "n_centre") >= similar * F.greatest("n", "n_centre")
 
 
-def outline(shingles: np.ndarray, bits: int = BITS) -> tuple[bytes, int]:
-    """Which of ``bits`` places a set has one shingle at least, and which two, as bytes; and how many shingles are beyond two.
-
-    Two sets share no more shingles than they share bits in the first half and in the second, and the lesser number beyond.
-    """
-    counts = np.bincount((shingles.view(np.uint64) >> np.uint64(13)).astype(np.int64) & (bits - 1), minlength=bits)
-    planes = np.concatenate([np.packbits(counts > 0), np.packbits(counts > 1)])
-    return planes.tobytes(), int(np.maximum(counts - 2, 0).sum())
-
-
 def outlines(texts: DataFrame, words: int = WORDS) -> DataFrame:
     """class, planes and beyond of every class with its text; written."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in slices(batches):
-            found = [outline(shingler.set(text.as_py())) for text in batch.column("text")]
-            columns = [pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.int32())]
-            yield pa.RecordBatch.from_arrays([batch.column("class"), *columns], names=["class", "planes", "beyond"])
+            yield outline_batch(batch.column("class"), [shingler.set(text.as_py()) for text in batch.column("text")])
 
     with small_batches(texts.sparkSession):
         return stage(texts.select("class", "text").mapInArrow(make, "class binary, planes binary, beyond int"), "outlines")
 
 
-def _partners(similar: int, most: int | None):
-    """For two blocks of a bucket, the pairs in different components that may be similar; of each class the ``most`` best."""
-
-    def partners(table: pa.Table) -> pa.Table:
-        n = table.column("n").to_numpy()
-        beyond = table.column("beyond").to_numpy()
-        root = table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
-        own, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
-        planes = np.frombuffer(b"".join(table.column("planes").to_pylist()), np.uint64).reshape(len(n), -1)
-        # a pair of one block is found where both are rows of it, a pair of two blocks from the lower one
-        rows = np.flatnonzero(own == low[0])
-        others = rows if low[0] == high[0] else np.flatnonzero(own == high[0])
-        firsts, seconds = [], []
-        step = max(1, (1 << 20) // max(1, len(others) * planes.shape[1]))
-        for start in range(0, len(rows), step):
-            part = rows[start : start + step]
-            shared = np.bitwise_count(planes[part, None, :] & planes[None, others, :]).sum(axis=2, dtype=np.int32)
-            shared += np.minimum(beyond[part, None], beyond[None, others])
-            total = n[part, None] + n[None, others]
-            shared = np.minimum(shared, np.minimum(n[part, None], n[None, others]))
-            passed = (100 * shared >= similar * (total - shared)) & (root[part, None] != root[None, others])
-            if low[0] == high[0] and most is None:
-                passed &= part[:, None] < others[None, :]
-            if most is not None and most < len(others):
-                alike = np.where(passed, shared / total, -1.0)
-                best = np.argpartition(-alike, most - 1, axis=1)[:, :most]
-                chosen = np.zeros_like(passed)
-                np.put_along_axis(chosen, best, True, axis=1)
-                passed &= chosen
-            a, b = np.nonzero(passed)
-            firsts.append(part[a])
-            seconds.append(others[b])
-        classes = table.column("class").combine_chunks()
-        ends = [classes.take(pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64())) for x in (firsts, seconds)]
-        return pa.table(ends, names=["centre", "class"])
-
-    return partners
-
-
-def possible(rest: DataFrame, outlined: DataFrame, similar: int, most: int | None, block: int = BLOCK) -> DataFrame:
-    """(centre, class): distinct pairs of ``rest`` (bucket, members, class, n, root) that share a bucket and may be similar; written."""
-    blocks = F.ceil(F.col("members") / block).cast("int")
-    dealt = rest.withColumn("block", F.pmod(F.xxhash64("class"), blocks).cast("int"))
-    # a row goes to the pairs of its block with every block
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    named = dealt.join(outlined, "class").select(
-        "bucket", "class", F.col("n").cast("long"), "root", "block", "low", "high", "planes", "beyond"
-    )
-    pairs = named.groupBy("bucket", "low", "high").applyInArrow(_partners(similar, most), "centre binary, class binary")
-    return stage(pairs.select(F.least("centre", "class").alias("centre"), F.greatest("centre", "class").alias("class")).distinct(), "possible")
-
-
-
-
 class _Confirmed:
     """Links confirmed on full sets, and the components that they make."""
 
@@ -289,7 +219,7 @@ def class_roots(
             break
         if outlined is None:
             outlined = outlines(texts.join(rest.select("class").distinct(), "class", "left_semi"), words)
-        pairs = possible(rest, outlined, similar, most, block)
+        pairs = possible(rest.withColumnRenamed("bucket", "group"), outlined, similar, most, block).toDF("centre", "class")
         fresh = stage(pairs.join(done, ["centre", "class"], "left_anti"), "fresh")
         confirmed.add(fresh)
         done = done.union(fresh)

@@ -11,7 +11,7 @@ from llm import samples
 from llm.test_llm_dedup import expected_components, plain_rows
 from pyspark.sql import functions as F
 
-from strikelens.llm import filter_audit, merkle, minhash
+from strikelens.llm import blocks, filter_audit, merkle, minhash
 
 # ---- near duplicates
 
@@ -58,7 +58,7 @@ def test_outlines_bound_what_sets_share():
         values = rnd.integers(-(2**63), 2**63 - 1, 2 * n, dtype=np.int64)
         for k in (0, n // 2, n):
             a, b = np.unique(values[:n]), np.unique(np.concatenate([values[:k], values[n : 2 * n - k]]))
-            (p, beyond_p), (q, beyond_q) = minhash.outline(a), minhash.outline(b)
+            (p, beyond_p), (q, beyond_q) = blocks.outline(a), blocks.outline(b)
             bits = np.bitwise_count(np.frombuffer(p, np.uint64) & np.frombuffer(q, np.uint64)).sum()
             assert len(np.intersect1d(a, b)) <= bits + min(beyond_p, beyond_q)
 

@@ -93,7 +93,7 @@ def expected_components(rows, size=5, similar=80):
     return {i: {"n_shingles": len(s), "component_id": root(i)} for i, s in sets.items()}
 
 
-@pytest.mark.parametrize("options", [{}, {"common": 0, "leaf": 3}, {"often": 2}])
+@pytest.mark.parametrize("options", [{}, {"common": 0, "block": 3}, {"often": 2, "partners": (None,)}])
 def test_jaccard_join(spark, options):
     docs = samples.documents(spark)
     found = jaccard_join.join(docs, **options)
@@ -107,8 +107,8 @@ def test_jaccard_join_where_regions_stay_mixed(spark):
     passage = samples.sentence(rnd, 60, 5000)
     rows = [(i, f"{samples.sentence(rnd, rnd.randint(0, 25), 5000)} {passage} {samples.sentence(rnd, rnd.randint(0, 25), 5000)}") for i in range(70)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for leaf in (4, 32):
-        assert samples.by_id(jaccard_join.join(docs, common=0, leaf=leaf)) == expected_components(rows)
+    for block in (4, 32):
+        assert samples.by_id(jaccard_join.join(docs, common=0, block=block, partners=(1, None))) == expected_components(rows)
 
 
 def test_jaccard_join_of_nothing_and_rows_kept(spark):
