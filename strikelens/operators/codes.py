@@ -180,16 +180,22 @@ def needed_lookups(repairs: DataFrame) -> set[tuple[str, str]]:
 
 
 def apply_repairs(
-    rows: DataFrame, repairs: DataFrame, needed: set[tuple[str, str]], member: str = "id", key: str = "name"
+    rows: DataFrame, repairs: DataFrame, needed: set[tuple[str, str]], member: str = "id", key: str = "name", salts: int = 1
 ) -> DataFrame:
     """Rewrite the codes of every row; batch and streaming rows alike.
 
     Equi-joins on one code each, and only the ``needed`` ones: rows are not
     shuffled to look up nothing. ``repairs`` should be a staged table: Spark
     then broadcasts it only while its files are small, and otherwise runs a
-    sort-merge join whose hot keys adaptive execution splits.
+    sort-merge join whose hot keys adaptive execution splits. A stream with state has no adaptive execution:
+    there ``salts`` copies of the lookups, which are small beside the rows, spread the rows of a code over as many tasks.
     """
     columns = rows.columns
+    salted = []
+    if salts > 1:
+        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)))
+        repairs = repairs.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+        salted = ["_salt"]
     for kind, names in CODE_COLUMNS.items():
         column = dict(zip(("id", "name"), names))
         found = {}
@@ -197,13 +203,13 @@ def apply_repairs(
             found[lookup] = F.lit(None)
             if (kind, lookup) in needed:
                 wanted = repairs.filter((F.col("kind") == kind) & (F.col("lookup") == lookup))
-                by_code = wanted.select(F.col("code").alias(column[lookup]), F.col("replacement").alias(result))
-                rows = rows.join(by_code, column[lookup], "left")
+                by_code = wanted.select(F.col("code").alias(column[lookup]), F.col("replacement").alias(result), *salted)
+                rows = rows.join(by_code, [column[lookup], *salted], "left")
                 found[lookup] = F.col(result)
         old_member, old_key = F.col(column[member]), F.col(column[key])
         repaired = {
             column[member]: F.when(old_member.isNotNull(), F.coalesce(found[member], found[key], old_member)),
             column[key]: F.when(found[member].isNotNull(), old_member).otherwise(old_key),
         }
-        rows = rows.withColumns(repaired).select(columns)
-    return rows
+        rows = rows.withColumns(repaired).select(*columns, *salted)
+    return rows.select(columns)

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.rules import FIELD_RULES, RuleSet, from_specification, to_specification
 from ..operators import codes, rank, route, totals, validate
 from ..operators.narrow import to_summary
-from ..runtime import stage
-from ..settings import STRICT_THRESHOLD, TOP_N
+from ..runtime import one_job_if_small, stage
+from ..settings import STREAM_SALTS, STRICT_THRESHOLD, TOP_N
 from ..sources.files import Files, Versions
 
 
@@ -55,14 +55,12 @@ def prepare(
         *[F.coalesce(F.sum(column), F.lit(0)).alias(name) for name, column in sums.items()]
     )
     pairs = codes.known_pairs(scanned)
-    repairs = stage(codes.code_repairs(pairs), "repairs")
-    return Preparation(
-        pairs=pairs,
-        repairs=repairs,
-        lookups=codes.needed_lookups(repairs),
-        profile=profiled,
-        rules=validate.select_rules(profiled, threshold, rules, keep_zero_failure),
-    )
+    with one_job_if_small(scanned):
+        repairs = stage(codes.code_repairs(pairs), "repairs")
+        chosen = validate.select_rules(profiled, threshold, rules, keep_zero_failure)
+    with one_job_if_small(repairs):
+        lookups = codes.needed_lookups(repairs)
+    return Preparation(pairs=pairs, repairs=repairs, lookups=lookups, profile=profiled, rules=chosen)
 
 
 #: The tables of a preparation and the file of what is no table, as stored.
@@ -110,9 +108,12 @@ def validated(details: DataFrame, prepared: Preparation) -> DataFrame:
     return route.with_topics(repaired_summary(details, prepared), prepared.rules)
 
 
-def clean_summaries(summary: DataFrame, prepared: Preparation) -> DataFrame:
-    """Clean incidents from rows that are summaries already, as topics hold them; repairs leave further columns alone."""
-    repaired = codes.apply_repairs(summary, prepared.repairs, prepared.lookups)
+def clean_summaries(summary: DataFrame, prepared: Preparation, salts: int = STREAM_SALTS) -> DataFrame:
+    """Clean incidents from rows that are summaries already, as topics hold them; repairs leave further columns alone.
+
+    The lookups are salted, because what follows in a stream has state, so Spark splits no hot code by itself.
+    """
+    repaired = codes.apply_repairs(summary, prepared.repairs, prepared.lookups, salts=salts)
     return route.clean(route.with_topics(repaired, prepared.rules))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +60,36 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Staged tables up to this size are worked on in one task.
+ONE_TASK_BYTES = 16 << 20
+
+
+@contextmanager
+def one_job_if_small(staged: DataFrame) -> Iterator[None]:
+    """While it lasts, an action on a staged table whose files are small is one job with one task a stage.
+
+    Adaptive execution makes a job of every exchange, which costs more than the work on a small table. Above
+    ``ONE_TASK_BYTES`` nothing is changed.
+    """
+    if int(str(staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > ONE_TASK_BYTES:
+        yield
+        return
+    wanted = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "1",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    conf = staged.sparkSession.conf
+    before = {key: conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            conf.set(key, value)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the work folder and read it back.
 

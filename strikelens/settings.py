@@ -8,6 +8,7 @@ OPEN_RANGE_MAX = 10_000  # upper bound of "Over n"
 WINDOW = "12 seconds"  # tumbling window of the windowed totals
 BATCH_ROWS = 1_000  # rows offered per producer tick
 BATCH_TICK = "700 milliseconds"
+STREAM_SALTS = 16  # tasks over which a stream with state spreads the rows of one code
 REWRITE_TICK = "5 seconds"
 
 # Where invalid rows go.

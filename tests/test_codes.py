@@ -3,6 +3,7 @@ import random
 from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
+from strikelens import runtime
 from strikelens.operators import codes
 from strikelens.plans import batch
 from strikelens.plans.tables import details_of
@@ -192,3 +193,46 @@ def test_orientation(spark):
 def test_unknown_names_once_per_id(spark):
     pairs = codes.code_pairs(species(spark, ("UNKB", "UNKNOWN BIRD"), ("X1", "UNKNOWN BIRD"), ("G", "GULL")))
     assert rows(codes.unknown_codes(pairs)) == [("id", "UNKB"), ("name", "UNKNOWN BIRD"), ("name", "UNKNOWN BIRD")]
+
+
+def test_preparation_takes_few_jobs(spark, monkeypatch):
+    view = details_of(spark, SMALL)
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+
+    def prepared(group):
+        context.setJobGroup(group, group)
+        found = batch.prepare(view)
+        context.setLocalProperty("spark.jobGroup.id", None)
+        return found, len(tracker.getJobIdsForGroup(group))
+
+    small, jobs = prepared("small")
+    # one for each exchange of the scan of the raw records, one for the repairs, one for the rules, one for the lookups
+    assert jobs <= 9
+    monkeypatch.setattr(runtime, "ONE_TASK_BYTES", 0)
+    spread, more = prepared("spread")
+    assert more > jobs and rows(spread.repairs) == rows(small.repairs) and (spread.lookups, spread.rules) == (small.lookups, small.rules)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true" and spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_salted_lookups_spread_a_hot_code(spark):
+    pairs = airports(spark, ("K1", "ONE"), ("K11", "ONE"), ("K2", "TWO"))
+    repairs = codes.code_repairs(codes.code_pairs(pairs))
+    hot = spark.range(4000).selectExpr(
+        "id", "'K1' AS airport_id", "CASE WHEN id < 3800 THEN 'ONE' ELSE 'TWO' END AS airport_name", "'S1' AS species_id", "'GULL' AS species_name"
+    )
+    needed, key = codes.needed_lookups(repairs), "spark.sql.autoBroadcastJoinThreshold"
+    before = {k: spark.conf.get(k) for k in (key, "spark.sql.adaptive.enabled")}
+    spark.conf.set(key, "-1")
+    # as in a stream with state
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        largest = {}
+        for salts in (1, 16):
+            repaired = codes.apply_repairs(hot, repairs, needed, salts=salts)
+            assert repaired.filter("airport_id = 'K11'").count() == 3800 and repaired.columns == hot.columns
+            by_task = repaired.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+            largest[salts] = by_task
+        assert largest[1] >= 3800 and largest[16] < 2500
+    finally:
+        for k, value in before.items():
+            spark.conf.set(k, value)
