@@ -8,12 +8,16 @@ beyond those. The work in a group that holds very many unlike components is quad
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strikelens.llm.common import slices, small_batches
+from strikelens.llm.shingles import Shingler
 from strikelens.runtime import stage
 
 #: Bits of an outline, classes in a block of a group, and partners that a class has confirmed in each round; None is all.
@@ -39,6 +43,50 @@ def outline_batch(classes: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([classes, *columns], names=["class", "planes", "beyond"])
 
 
+def outlines(texts: DataFrame, words: int) -> DataFrame:
+    """class, planes and beyond of every class with its text, as bytes; written."""
+    kind = texts.schema["class"].dataType.simpleString()
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        for batch in slices(batches):
+            yield outline_batch(batch.column("class"), [shingler.set(text.as_py()) for text in batch.column("text")])
+
+    with small_batches(texts.sparkSession):
+        return stage(texts.select("class", "text").mapInArrow(make, f"class {kind}, planes binary, beyond int"), "outlines")
+
+
+def measured(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Distinct ``pairs`` (a, b) of classes with the sizes of intersection and union of their whole sets, shared and joined; written.
+
+    The text of b travels once for each pair, that of a once for each part of its pairs, so a class with very many pairs as a is
+    spread over tasks.
+    """
+    salts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(salts)))
+    of_a, of_b = (texts.select(F.col("class").alias(end), F.col("text").alias(f"text_{end}")) for end in "ab")
+    sent = salted.select("a", "salt").distinct().join(of_a, "a")
+    both = salted.join(of_b, "b").join(sent, ["a", "salt"]).select("a", "b", "text_a", "text_b")
+    kind = pairs.schema["a"].dataType.simpleString()
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        last = own = None
+        for batch in slices(slices(batches, "text_a"), "text_b"):
+            shared, joined = [], []
+            for a, text_a, text_b in zip(batch.column("a").to_pylist(), batch.column("text_a"), batch.column("text_b")):
+                if own is None or a != last:
+                    last, own = a, shingler.set(text_a.as_py())
+                s = shingler.set(text_b.as_py())
+                shared.append(len(np.intersect1d(own, s, assume_unique=True)))
+                joined.append(len(own) + len(s) - shared[-1])
+            columns = [batch.column("a"), batch.column("b"), pa.array(shared, pa.int64()), pa.array(joined, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "shared", "joined"])
+
+    with small_batches(pairs.sparkSession):
+        return stage(both.mapInArrow(compare, f"a {kind}, b {kind}, shared long, joined long"), "measured")
+
+
 def _partners(similar: int, most: int | None):
     """For two blocks of a group, the pairs in different components that may be similar; of each class the ``most`` best."""
 

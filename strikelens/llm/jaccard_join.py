@@ -10,7 +10,8 @@ first shingles. The first round measures it against that pivot alone; it is link
 inequality a class of the pivot's component at some distance can only be linked to those within that distance and the radius, so others leave, and classes on the
 boundary go on with both sides. A region is done when all its classes are in one component.
 In the others, classes of different components are compared by outlines (``blocks``), block by block, which bound what two sets share; pairs that pass are measured
-on whole sets, the best partners of each class first, then more, at last all. No other pairs of a region are made.
+on whole sets, the best partners of each class first, then more, at last all. No other pairs of a region are made. Sets are made of texts
+wherever they are needed and never written: a text is the smaller of the two.
 
 Shingles that are common in a task's documents are gathered in a table of bounded size; it decides the order only, never the
 result. Shingles are 64-bit hashes of their words.
@@ -23,7 +24,6 @@ An empty table gives an empty result. Only doc_id and text are read; ``deduplica
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -32,9 +32,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strikelens.llm.blocks import BLOCK, PARTNERS, outline_batch, possible
-from strikelens.llm.common import WORD, discard, row_key, slices, small_batches
+from strikelens.llm.blocks import BLOCK, PARTNERS, measured, outlines, possible
+from strikelens.llm.common import WORD, discard, row_key, slices, small_batches, whole_text
 from strikelens.llm.components import components
+from strikelens.llm.shingles import MIX, PRIME, Shingler
 from strikelens.runtime import new_folder, stage
 
 WORDS = 5
@@ -48,52 +49,10 @@ SKETCH = 128
 #: First shingles in a bucket, about.
 BUCKET = 200_000
 
-_PRIME = np.uint64(0x9E3779B97F4A7C15)
-_MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
-#: Word hashes a worker remembers, of words up to so many bytes; affects time only.
-REMEMBERED = 100_000
-SHORT = 32
 #: Shingles that a task holds before it combines them and forgets those seen once.
 HELD = 250_000
 
 
-class Shingler:
-    """The set of a text: sorted 64-bit hashes of its distinct shingles."""
-
-    def __init__(self, words: int = WORDS):
-        self.words, self.known = words, {}
-
-    def _hashes(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        fresh = {w for w in words if w not in known}
-        known.update((w, xxhash.xxh3_64_intdigest(w)) for w in fresh)
-        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        for w in fresh:
-            if len(w) > SHORT:
-                del known[w]
-        return hashes
-
-    def set(self, text: bytes | None) -> np.ndarray:
-        hashes = self._hashes(text or b"")
-        if not len(hashes):
-            return np.empty(0, np.int64)
-        k = min(self.words, len(hashes))
-        h = hashes[: len(hashes) - k + 1].copy()
-        for i in range(1, k):
-            h *= _PRIME
-            h += hashes[i : len(hashes) - k + 1 + i]
-        h += np.uint64(k)
-        h ^= h >> np.uint64(33)
-        h *= _MIX[0]
-        h ^= h >> np.uint64(33)
-        h *= _MIX[1]
-        h ^= h >> np.uint64(33)
-        return np.unique(h.view(np.int64))
-
-
 def class_of(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
@@ -213,8 +172,8 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, classes, sizes = shingles[fresh], classes[fresh], sizes[fresh]
         starts = np.flatnonzero(np.concatenate(([True], shingles[1:] != shingles[:-1])))
         members = np.diff(np.append(starts, len(shingles)))
-        mixed = classes.view(np.uint64) * _PRIME
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * _MIX[0]
+        mixed = classes.view(np.uint64) * PRIME
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * MIX[0]
         names = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), starts).view(np.int64)
         first = np.unique(names, return_index=True)[1]
         kept = np.zeros(len(starts), bool)
@@ -242,26 +201,6 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
         yield held
 
 
-def sets_of(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """class, sorted shingles, and how many of them are in the lowest quarter of all hashes, of documents that come with their class,
-    in its order; of repeated rows one counts.
-    """
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for batch, sets in _sets(batches, words):
-            own = []
-            for c, s in zip(batch.column("class").to_pylist(), sets):
-                if c != last:
-                    own.append((c, s))
-                last = c
-            columns = [pa.array([c for c, _ in own], pa.int64()), pa.array([s for _, s in own], pa.list_(pa.int64()))]
-            low = pa.array([int(np.searchsorted(s, -(1 << 62))) for _, s in own], pa.int32())
-            yield pa.RecordBatch.from_arrays([*columns, low], names=["class", "shingles", "low"])
-
-    return _binary(docs, "class").mapInArrow(make, "class long, shingles array<long>, low int")
-
-
 def _comparable(n_a: str, n_b: str, similar: int) -> Column:
     """Sizes that allow the similarity."""
     low, high = F.least(n_a, n_b), F.greatest(n_a, n_b)
@@ -271,9 +210,8 @@ def _comparable(n_a: str, n_b: str, similar: int) -> Column:
 class _Rounds:
     """Links and components known so far, and the measuring of further pairs."""
 
-    def __init__(self, sketches: DataFrame, similar: int):
-        self.sketches, self.similar = sketches, similar
-        self.sets: DataFrame | None = None
+    def __init__(self, sketches: DataFrame, texts: DataFrame, words: int, similar: int):
+        self.sketches, self.texts, self.words, self.similar = sketches, texts, words, similar
         self.links: DataFrame | None = None
         self.roots: DataFrame | None = None
 
@@ -287,40 +225,13 @@ class _Rounds:
         rows = rows.withColumn("most", most).filter(100 * F.col("most") >= self.similar * (F.col("size_a") + F.col("size_b") - F.col("most")))
         return stage(rows.select("a", "b"), "possible")
 
-    def _shared(self, pairs: DataFrame, whole: bool) -> DataFrame:
-        """a, b, size_a, size_b and what the sets share: of the ``whole``, or of the lowest quarter of all hashes, with what lies above it.
-
-        The sets lie in buckets by class and are not shuffled; what travels is a set for each pair and one for each first end.
-        """
-
-        def of(end: str) -> DataFrame:
-            size = F.size("shingles")
-            chosen = F.col("shingles") if whole else F.slice("shingles", F.lit(1), F.col("low"))
-            above = (size - F.when(F.lit(whole), size).otherwise(F.col("low"))).alias(f"above_{end}")
-            return self.sets.select(F.col("class").alias(end), chosen.alias(f"of_{end}"), size.alias(f"size_{end}"), above)
-
-        with_b = pairs.select("a", "b").join(of("b"), "b")
-        firsts = pairs.select("a").distinct().join(of("a"), "a")
-        both = with_b.join(firsts, "a")
-        common = F.size(F.array_intersect("of_a", "of_b")).alias("shared")
-        return both.select("a", "b", "size_a", "size_b", "above_a", "above_b", common)
-
     def measure(self, pairs: DataFrame) -> DataFrame:
-        """``pairs`` (a, b), chosen by ``possible``, with the size of intersection and union; written.
-
-        Sets that share too little in a quarter of the hashes to make up for it in the rest are not compared further.
-        """
-        most = F.col("shared") + F.least("above_a", "above_b")
-        enough = 100 * most >= self.similar * (F.col("size_a") + F.col("size_b") - most)
-        pairs = stage(self._shared(pairs, whole=False).filter(enough).select("a", "b"), "enough")
-        shared = self._shared(pairs, whole=True).select("a", "b", "shared", (F.col("size_a") + F.col("size_b")).alias("total"))
-        measured = shared.withColumn("joined", F.col("total") - F.col("shared")).drop("total")
-        measured = measured.withColumn("linked", 100 * F.col("shared") >= self.similar * F.col("joined"))
-        measured = stage(measured, "measured")
-        found = measured.filter("linked").select("a", "b")
-        self.links = found if self.links is None else self.links.union(found)
+        """``pairs`` (a, b) with the size of intersection and union of their sets; written."""
+        found = measured(pairs, self.texts, self.words)
+        links = found.filter(100 * F.col("shared") >= self.similar * F.col("joined")).select("a", "b")
+        self.links = links if self.links is None else self.links.union(links)
         self.roots = components(self.links)
-        return measured
+        return found
 
     def rooted(self, rows: DataFrame, column: str, name: str) -> DataFrame:
         """``rows`` with the component of ``column`` as ``name``."""
@@ -349,36 +260,24 @@ def class_links(
         return None
     classes = found.filter("n_shingles > 0").groupBy("class").agg(F.min("key").alias("key"))
     sketched = found.filter("n_shingles > 0").groupBy("class", "n_shingles").agg(F.min("sketch").alias("sketch"))
-    rounds = _Rounds(stage(sketched, "sketches"), similar)
-    # whole sets are made of one document of each class that may be linked
-    ends = members.select(F.col("b").alias("class"))
-    chosen = classes.join(ends.distinct(), "class", "left_semi")
-    source = docs.select(row_key(), "text").join(chosen, "key").select("class", "text")
-    table = f"jaccard_sets_{uuid.uuid4().hex}"
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # texts travel to the buckets, not their sets, which are larger
-    sets = sets_of(source.repartition(buckets, "class").sortWithinPartitions("class"), words)
-    dealt = sets.write.bucketBy(buckets, "class").sortBy("class")
-    path = new_folder(docs.sparkSession, "sets")
-    with small_batches(docs.sparkSession):
-        dealt.option("path", path).saveAsTable(table)
-    rounds.sets = docs.sparkSession.table(table)
-    try:
-        # a class and the nearest of its pivots, its cell; then whatever is still apart in a region
-        nearest = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
-        measured = rounds.measure(rounds.possible(nearest))
-        return _settle(rounds, members, measured, similar, partners, block)
-    finally:
-        docs.sparkSession.sql(f"DROP TABLE {table}")
-        discard(docs.sparkSession, path)
+    # one text of each class that shares a region
+    ends = members.select(F.col("b").alias("class")).distinct()
+    source = docs.select(row_key(), whole_text().cast("binary").alias("text")).join(classes.join(ends, "class", "left_semi"), "key")
+    # rows that repeat have one key
+    texts = stage(source.groupBy("class").agg(F.min("text").alias("text")), "texts")
+    rounds = _Rounds(stage(sketched, "sketches"), texts, words, similar)
+    # a class and the nearest of its pivots, its cell; then whatever is still apart in a region
+    nearest = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
+    first = rounds.measure(rounds.possible(nearest))
+    return _settle(rounds, members, first, similar, partners, block)
 
 
 def _settle(
-    rounds: _Rounds, members: DataFrame, measured: DataFrame, similar: int, partners: Sequence[int | None], block: int
+    rounds: _Rounds, members: DataFrame, first: DataFrame, similar: int, partners: Sequence[int | None], block: int
 ) -> DataFrame:
     """Measures what regions still leave open: pairs of different components that the window and the outlines let pass."""
     radius = 1 - similar / 100
-    near = measured.select("a", "b", (1 - F.col("shared") / F.col("joined")).alias("distance"))
+    near = first.select("a", "b", (1 - F.col("shared") / F.col("joined")).alias("distance"))
     rest = members.join(near, ["a", "b"], "left").withColumn("distance", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("distance")))
     rest = rounds.rooted(rest.select("region", "members", F.col("b").alias("class"), F.col("n_b").alias("n"), "a", "distance"), "class", "root")
     rest = rounds.rooted(rest, "a", "pivot_root")
@@ -392,7 +291,7 @@ def _settle(
     reach = F.coalesce("distance", F.lit(1.0)) + radius + 1e-9 >= F.col("nearest")
     rest = rest.filter((F.col("root") != F.col("pivot_root")) | F.col("distance").isNull() | reach)
     rest = stage(rest.select(F.col("region").alias("group"), "members", "class", "n"), "rest")
-    done, outlined = measured.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), None
+    done, outlined = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), None
     for most in partners:
         rest = rounds.rooted(rest.drop("root"), "class", "root")
         ends = rest.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high"))
@@ -400,7 +299,7 @@ def _settle(
         if rest.isEmpty():
             break
         if outlined is None:
-            outlined = outlines(rounds.sets.join(rest.select("class").distinct(), "class", "left_semi"))
+            outlined = outlines(rounds.texts.join(rest.select("class").distinct(), "class", "left_semi"), rounds.words)
         fresh = stage(possible(rest, outlined, similar, most, block).join(done, ["a", "b"], "left_anti"), "fresh")
         if not fresh.isEmpty():
             rounds.measure(fresh)
@@ -408,19 +307,6 @@ def _settle(
     return rounds.roots
 
 
-def outlines(sets: DataFrame) -> DataFrame:
-    """class, planes and beyond of sets; written."""
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("shingles")
-            values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
-            yield outline_batch(batch.column("class"), [values[a:b] for a, b in zip(offsets, offsets[1:])])
-
-    with small_batches(sets.sparkSession):
-        return stage(sets.select("class", "shingles").mapInArrow(make, "class long, planes binary, beyond int"), "outlines")
-
-
 def _joined(
     docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, common: int = COMMON, often: int = OFTEN,
     partners: Sequence[int | None] = PARTNERS, block: int = BLOCK,

@@ -34,10 +34,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strikelens.llm.blocks import BLOCK, PARTNERS, outline_batch, possible
+from strikelens.llm.blocks import BLOCK, PARTNERS, measured, outlines, possible
 from strikelens.llm.common import row_key, slices, small_batches
 from strikelens.llm.components import components
-from strikelens.llm.jaccard_join import Shingler
+from strikelens.llm.shingles import Shingler
 from strikelens.runtime import stage
 
 #: Words of a shingle and similarity in percent.
@@ -131,18 +131,6 @@ def _comparable(similar: int) -> Column:
     return 100 * F.least("n", "n_centre") >= similar * F.greatest("n", "n_centre")
 
 
-def outlines(texts: DataFrame, words: int = WORDS) -> DataFrame:
-    """class, planes and beyond of every class with its text; written."""
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
-        for batch in slices(batches):
-            yield outline_batch(batch.column("class"), [shingler.set(text.as_py()) for text in batch.column("text")])
-
-    with small_batches(texts.sparkSession):
-        return stage(texts.select("class", "text").mapInArrow(make, "class binary, planes binary, beyond int"), "outlines")
-
-
 class _Confirmed:
     """Links confirmed on full sets, and the components that they make."""
 
@@ -153,7 +141,8 @@ class _Confirmed:
 
     def add(self, pairs: DataFrame) -> None:
         """Confirms ``pairs`` (centre, class), which are distinct."""
-        links = confirm(pairs, self.texts, self.words, self.similar)
+        found = measured(pairs.toDF("a", "b"), self.texts, self.words)
+        links = found.filter(100 * F.col("shared") >= self.similar * F.col("joined")).select("a", "b")
         if links.isEmpty():
             return
         self.links = links if self.links is None else self.links.union(links)
@@ -166,33 +155,6 @@ class _Confirmed:
         return rows.join(roots, column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
-    """The ``pairs`` (centre, class) of similar full sets, as (a, b); written."""
-    salts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(salts)))
-    of_class = texts.select("class", F.col("text").alias("other"))
-    of_centre = texts.select(F.col("class").alias("centre"), "text")
-    sent = salted.select("centre", "salt").distinct().join(of_centre, "centre")
-    both = salted.join(of_class, "class").join(sent, ["centre", "salt"]).select("centre", "class", "text", "other")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
-        last, own = None, None
-        for batch in slices(slices(batches), "other"):
-            linked = []
-            for centre, text, other in zip(*(batch.column(c) for c in ("centre", "text", "other"))):
-                if centre.as_py() != last:
-                    last, own = centre.as_py(), shingler.set(text.as_py())
-                s = shingler.set(other.as_py())
-                common = len(np.intersect1d(own, s, assume_unique=True))
-                linked.append(100 * common >= similar * (len(own) + len(s) - common))
-            found = pa.RecordBatch.from_arrays([batch.column("centre"), batch.column("class")], names=["a", "b"])
-            yield found.filter(pa.array(linked, pa.bool_()))
-
-    with small_batches(pairs.sparkSession):
-        return stage(both.mapInArrow(compare, "a binary, b binary"), "links")
-
-
 def class_roots(
     rows: DataFrame, docs: DataFrame, words: int = WORDS, similar: int = SIMILAR, partners: Sequence[int | None] = PARTNERS, block: int = BLOCK
 ) -> DataFrame | None:
