@@ -279,9 +279,9 @@ def oracle_sql() -> dict[str, str]:
         " UNION ALL ".join(
             f"SELECT {codes}, '{topic}' AS topic FROM flagged WHERE {flag}"
             for flag, topic in [
-                ("bad_species", "invalid-species-topic"),
-                ("bad_quantity", "invalid-quantity-topic"),
-                ("bad_other", "invalid-generic-topic"),
+                ("bad_species", "quarantine-species"),
+                ("bad_quantity", "quarantine-quantity"),
+                ("bad_other", "quarantine-other"),
             ]
         ),
     )

@@ -94,7 +94,7 @@ def _struct(fields: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[dtype]) for name, dtype in pairs])
 
 
-DETAILS = _struct(", ".join(f"{name} {dtype}" for _, name, dtype in DETAIL_COLUMNS))
+DETAILS = T.StructType([T.StructField(name, _TYPES[dtype]) for _, name, dtype in DETAIL_COLUMNS])
 
 SUMMARY = _struct(
     "record_id bigint, year int, month int, day int, aircraft string, aircraft_mass float, engines int, "

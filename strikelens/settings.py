@@ -12,6 +12,6 @@ STREAM_SALTS = 16  # tasks over which a stream with state spreads the rows of on
 REWRITE_TICK = "5 seconds"
 
 # Where invalid rows go.
-INVALID_SPECIES = "invalid-species-topic"
-INVALID_QUANTITY = "invalid-quantity-topic"
-INVALID_OTHER = "invalid-generic-topic"
+INVALID_SPECIES = "quarantine-species"
+INVALID_QUANTITY = "quarantine-quantity"
+INVALID_OTHER = "quarantine-other"

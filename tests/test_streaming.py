@@ -143,7 +143,7 @@ def test_routing_with_frozen_rules(spark, incidents, folder):
     expected = route.fan_out(batch.validated(view, prepared))
     assert rows(spark.read.parquet(quarantine).select(expected.columns)) == rows(expected)
     assert sorted(n for n in os.listdir(quarantine) if n.startswith("topic=")) == [
-        "topic=invalid-generic-topic", "topic=invalid-quantity-topic", "topic=invalid-species-topic",
+        "topic=quarantine-other", "topic=quarantine-quantity", "topic=quarantine-species",
     ]
 
 
