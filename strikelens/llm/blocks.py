@@ -26,25 +26,36 @@ BLOCK = 2048
 PARTNERS = (4, 64, None)
 
 
-def outline(shingles: np.ndarray, bits: int = BITS) -> tuple[bytes, int]:
-    """Which of ``bits`` places a set has one shingle at least, and which two, as bytes; and how many shingles are beyond two.
+def _places(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """How many shingles of a set are at each place."""
+    return np.bincount((shingles.view(np.uint64) >> np.uint64(13)).astype(np.int64) & (bits - 1), minlength=bits)
+
+
+def outline(counts: np.ndarray) -> tuple[bytes, int]:
+    """Which places have one shingle at least, and which two, as bytes; and how many shingles are beyond two.
 
     Two sets share no more shingles than they share bits in the first half and in the second, and the lesser number beyond.
     """
-    counts = np.bincount((shingles.view(np.uint64) >> np.uint64(13)).astype(np.int64) & (bits - 1), minlength=bits)
     planes = np.concatenate([np.packbits(counts > 0), np.packbits(counts > 1)])
     return planes.tobytes(), int(np.maximum(counts - 2, 0).sum())
 
 
-def outline_batch(classes: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
-    """class, planes and beyond of each set."""
-    found = [outline(s) for s in sets]
-    columns = [pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.int32())]
-    return pa.RecordBatch.from_arrays([classes, *columns], names=["class", "planes", "beyond"])
+OUTLINE = "planes binary, beyond int, counts binary, over int"
+
+
+def outline_batch(classes: pa.Array, sets: list[np.ndarray], bits: int = BITS) -> pa.RecordBatch:
+    """class, planes and beyond of each set, and for a closer look its counts up to 255 and what is over."""
+    planes, counts = [], []
+    for s in sets:
+        placed = _places(s, bits)
+        planes.append(outline(placed))
+        counts.append((np.minimum(placed, 255).astype(np.uint8).tobytes(), int(np.maximum(placed - 255, 0).sum())))
+    columns = [pa.array([x[k] for x in of], kind) for of in (planes, counts) for k, kind in enumerate((pa.binary(), pa.int32()))]
+    return pa.RecordBatch.from_arrays([classes, *columns], names=["class", "planes", "beyond", "counts", "over"])
 
 
 def outlines(texts: DataFrame, words: int) -> DataFrame:
-    """class, planes and beyond of every class with its text, as bytes; written."""
+    """The outline of every class with its text, as bytes; written."""
     kind = texts.schema["class"].dataType.simpleString()
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,7 +64,26 @@ def outlines(texts: DataFrame, words: int) -> DataFrame:
             yield outline_batch(batch.column("class"), [shingler.set(text.as_py()) for text in batch.column("text")])
 
     with small_batches(texts.sparkSession):
-        return stage(texts.select("class", "text").mapInArrow(make, f"class {kind}, planes binary, beyond int"), "outlines")
+        return stage(texts.select("class", "text").mapInArrow(make, f"class {kind}, {OUTLINE}"), "outlines")
+
+
+def screened(pairs: DataFrame, outlined: DataFrame, similar: int) -> DataFrame:
+    """Those ``pairs`` (a, b) that may be similar by the counts of all places, which tell long sets apart; written. None that is similar is lost."""
+    ends = [outlined.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("counts", "over")]) for x in "ab"]
+    kind = pairs.schema["a"].dataType.simpleString()
+
+    def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            counts = [np.frombuffer(b"".join(batch.column(f"counts_{x}").to_pylist()), np.uint8).reshape(batch.num_rows, -1) for x in "ab"]
+            over = [batch.column(f"over_{x}").to_numpy() for x in "ab"]
+            shared = np.minimum(*counts).sum(axis=1, dtype=np.int64) + np.minimum(*over)
+            joined = sum(c.sum(axis=1, dtype=np.int64) + o for c, o in zip(counts, over)) - shared
+            yield batch.select(["a", "b"]).filter(pa.array(100 * shared >= similar * joined))
+
+    with small_batches(pairs.sparkSession):
+        return stage(pairs.join(ends[0], "a").join(ends[1], "b").mapInArrow(screen, f"a {kind}, b {kind}"), "screened")
 
 
 def measured(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
@@ -136,7 +166,7 @@ def possible(rest: DataFrame, outlined: DataFrame, similar: int, most: int | Non
     # a row goes to the pairs of its block with every block
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    named = dealt.join(outlined, "class").select(
+    named = dealt.join(outlined.select("class", "planes", "beyond"), "class").select(
         "group", "class", F.col("n").cast("long"), "root", "block", "low", "high", "planes", "beyond"
     )
     kind = rest.schema["class"].dataType

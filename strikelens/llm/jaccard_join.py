@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strikelens.llm.blocks import BLOCK, PARTNERS, measured, outlines, possible
+from strikelens.llm.blocks import BLOCK, PARTNERS, measured, outlines, possible, screened
 from strikelens.llm.common import WORD, discard, row_key, slices, small_batches, whole_text
 from strikelens.llm.components import components
 from strikelens.llm.shingles import MIX, PRIME, Shingler
@@ -300,9 +300,11 @@ def _settle(
             break
         if outlined is None:
             outlined = outlines(rounds.texts.join(rest.select("class").distinct(), "class", "left_semi"), rounds.words)
-        fresh = stage(possible(rest, outlined, similar, most, block).join(done, ["a", "b"], "left_anti"), "fresh")
+        passed = possible(rest, outlined, similar, most, block).join(done, ["a", "b"], "left_anti")
+        fresh = screened(passed, outlined, similar)
         if not fresh.isEmpty():
             rounds.measure(fresh)
+        # what the screen has dropped is settled, too, and is dropped again
         done = done.union(fresh)
     return rounds.roots
 

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm import samples
 from llm.test_llm_dedup import expected_components, plain_rows
@@ -54,13 +55,16 @@ def test_minhash_of_nothing_and_without_identifiers(spark):
 
 def test_outlines_bound_what_sets_share():
     rnd = np.random.default_rng(4)
-    for n in (1, 30, 400, 3000):
+    for n in (1, 30, 400, 3000, 400_000):
         values = rnd.integers(-(2**63), 2**63 - 1, 2 * n, dtype=np.int64)
         for k in (0, n // 2, n):
             a, b = np.unique(values[:n]), np.unique(np.concatenate([values[:k], values[n : 2 * n - k]]))
-            (p, beyond_p), (q, beyond_q) = blocks.outline(a), blocks.outline(b)
-            bits = np.bitwise_count(np.frombuffer(p, np.uint64) & np.frombuffer(q, np.uint64)).sum()
-            assert len(np.intersect1d(a, b)) <= bits + min(beyond_p, beyond_q)
+            p, q = blocks.outline_batch(pa.array([1, 2]), [a, b]).to_pylist()
+            bits = [np.bitwise_count(np.frombuffer(x["planes"], np.uint64) & np.frombuffer(p["planes"], np.uint64)).sum() for x in (p, q)]
+            assert len(a) == bits[0] + p["beyond"] and len(np.intersect1d(a, b)) <= bits[1] + min(p["beyond"], q["beyond"])
+            counts = [np.frombuffer(x["counts"], np.uint8).astype(int) for x in (p, q)]
+            assert len(a) == counts[0].sum() + p["over"]
+            assert len(np.intersect1d(a, b)) <= np.minimum(*counts).sum() + min(p["over"], q["over"])
 
 
 def test_bins_agree_as_often_as_sets_are_alike():
