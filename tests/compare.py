@@ -59,7 +59,7 @@ def main() -> None:
     settings = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false"}
     spark = build_session(master="local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
-    connection, sql = connect(folder, [*TABLES, "documents", "labels"]), contract.oracle_sql()
+    connection, sql = connect(folder, [*TABLES, "documents", "labels", "conversations"]), contract.oracle_sql()
     chosen = sys.argv[2:] or list(contract.queries())
     for name in chosen:
         start = time.time()
