@@ -19,7 +19,7 @@ from ..sources import csv_files, topics
 from ..sources.files import Files
 from ..streaming import jobs
 from ..streaming.replay import Replay
-from ..streaming.run import drain
+from ..streaming.run import drain, ticked
 from ..streaming.upserts import UpsertLog
 from . import batch
 from .tables import details_of, events_of, table_stream
@@ -435,8 +435,10 @@ def snapshot_sink(spark: SparkSession, folder: str) -> DataFrame:
     outputs = new_folder(spark, "from-counts"), new_folder(spark, "from-ranking")
     drain(jobs.rank_years(_clean_batches(spark, folder), counts, ranking, new_folder(spark, "state")))
     clock = jobs.rewrite_outputs(counts, ranking, outputs, spark, tick="1 second").start()
-    clock.processAllAvailable()
-    clock.stop()
+    try:
+        ticked(clock)
+    finally:
+        clock.stop()
     first, second = (
         csv_files.read_published(spark, path).withColumn("output", F.lit(name))
         for path, name in zip(outputs, ("counts", "ranking"))

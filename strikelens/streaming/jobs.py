@@ -149,13 +149,19 @@ def rewrite_outputs(
 ) -> DataStreamWriter:
     """``write_snapshot`` on a clock of its own, whatever the pace of the stream that fills the logs; stopped like any other query.
 
-    The clock is a source of one row a second, of which nothing is used. A tick before the first batch writes nothing.
+    The clock is a source of one row a second, of which nothing is used. A tick before the first batch writes nothing, nor does one
+    that finds both logs as they were at the last rewrite. The source never ends, so ``run.ticked`` waits for a rewrite.
     """
+    rewritten = None
 
     def update(_: DataFrame, batch_id: int) -> None:
-        if counts.is_empty(spark) or ranking.is_empty(spark):
+        nonlocal rewritten
+        # looked at before they are read: what is logged meanwhile is left to the next tick
+        found = counts.last(spark), ranking.last(spark)
+        if None in found or found == rewritten:
             return
         write_snapshot(counts, ranking, outputs, spark, n)
+        rewritten = found
 
     clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     return clock.writeStream.foreachBatch(update).trigger(processingTime=tick)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..settings import BATCH_TICK
@@ -17,3 +19,17 @@ def drain(writer: DataStreamWriter) -> StreamingQuery:
 def paced(writer: DataStreamWriter, tick: str = BATCH_TICK) -> StreamingQuery:
     """Keep running, one micro-batch per tick; the source limits how much a tick takes."""
     return writer.trigger(processingTime=tick).start()
+
+
+def ticked(query: StreamingQuery, poll: float = 0.1) -> None:
+    """Waits until a query has ended a micro-batch that began after the call.
+
+    For queries whose source never runs dry, such as a clock: ``processAllAvailable`` would wait for a moment without new rows.
+    """
+    done = lambda: (query.lastProgress or {"batchId": -1})["batchId"]
+    # the next batch may have begun before
+    last = done() + 2
+    while done() < last:
+        if not query.isActive:
+            raise query.exception() or RuntimeError("the query was stopped")
+        time.sleep(poll)

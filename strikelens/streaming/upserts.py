@@ -70,8 +70,9 @@ class UpsertLog:
     def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return self._read(spark, self._batch(batch_id), kind="batches")
 
-    def is_empty(self, spark: SparkSession) -> bool:
-        return not _written(spark, f"{self.path}/batches")
+    def last(self, spark: SparkSession) -> int | None:
+        """The last batch that was written, None before the first."""
+        return max(_written(spark, f"{self.path}/batches"), default=None)
 
     def touched(self, spark: SparkSession, batch_id: int) -> list:
         """The values of ``partition`` that a batch wrote; read from the names of its folders by Spark."""

@@ -1,6 +1,7 @@
 import glob
 import os
 import re
+import time
 
 import pytest
 from conftest import SMALL, rows
@@ -16,7 +17,7 @@ from strikelens.sources import csv_files, topics
 from strikelens.streaming import jobs
 from strikelens.streaming.changelog import Changelog
 from strikelens.streaming.replay import Replay
-from strikelens.streaming.run import drain, paced
+from strikelens.streaming.run import drain, paced, ticked
 from strikelens.streaming.upserts import UpsertLog
 
 FILES = 4
@@ -102,6 +103,33 @@ def test_both_outputs_are_rewritten_on_their_own_clock(spark, incidents, folder)
         assert 1 <= len(versions) <= 2
 
 
+def test_a_clock_slower_than_its_source_is_waited_for(spark, incidents, folder, monkeypatch):
+    clean, path, _ = incidents
+    outputs, writes = (folder(), folder()), []
+    logs = jobs.counts_log(folder()), jobs.ranking_log(folder())
+    drain(jobs.rank_years(stream(spark, path, clean.schema), *logs, folder()))
+    write = jobs.write_snapshot
+
+    def slow(*args):
+        write(*args)
+        writes.append(time.time())
+        time.sleep(1.5)
+
+    monkeypatch.setattr(jobs, "write_snapshot", slow)
+    clock = jobs.rewrite_outputs(*logs, outputs, spark, tick="1 second").start()
+    try:
+        ticked(clock)
+        ticked(clock)
+    finally:
+        clock.stop()
+    # as nothing was logged in between
+    assert len(writes) == 1
+    for output in outputs:
+        assert rows(csv_files.read_published(spark, output)) == expected_ranking(clean)
+    with pytest.raises(Exception, match="stopped"):
+        ticked(clock)
+
+
 def test_a_reader_sees_whole_outputs_only(spark, folder):
     output = folder()
     sizes = []
