@@ -3,23 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.codec import decode
 from ..functions.quantity import mean_quantity, parse_quantity
 from ..operators import codes, narrow, rank, route, totals, validate
-from ..runtime import new_folder, stage
+from ..runtime import new_folder, stage, state_for
 from ..schemas import DETAIL_COLUMNS, GROUPED, KEY, SUMMARY
 from ..settings import LENIENT_THRESHOLD, STRICT_THRESHOLD
 from ..sources import csv_files, topics
 from ..sources.files import Files
 from ..streaming import jobs
 from ..streaming.replay import Replay
-from ..streaming.run import drain, ticked
+from ..streaming.run import drain, drain_ticks, ticked
 from ..streaming.upserts import UpsertLog
 from . import batch
 from .tables import details_of, events_of, table_stream
@@ -349,19 +351,38 @@ def _dated(rows: DataFrame) -> DataFrame:
     return rows.withColumn("ts", F.timestamp_seconds(F.unix_date(F.make_date("year", "month", "day")) * 86_400))
 
 
-def _offered(envelopes: DataFrame, width: str, label: str) -> DataFrame:
-    """Records as a topic stream whose micro-batches are the windows of their time, in order."""
-    topic = new_folder(envelopes.sparkSession, label)
-    replay = Replay.by_time(envelopes, width)
-    replay.offer(topic, len(replay.waiting()))
-    return topics.topic_source(envelopes.sparkSession, topic, per_trigger=1)
+def _drain_topic(writer: DataStreamWriter, spark: SparkSession, topic: str) -> None:
+    """``drain`` of a stream over a topic that is whole, with state for what it holds."""
+    with state_for(spark, Files(spark).size(topic)):
+        drain(writer)
 
 
-def _clean_batches(spark: SparkSession, folder: str) -> DataFrame:
+@dataclass(frozen=True)
+class _Offer:
+    """Records as a topic stream, ``rows``, whose micro-batches are the windows of their time, in order, of however many files."""
+
+    replay: Replay
+    topic: str
+    rows: DataFrame
+
+    @classmethod
+    def of(cls, envelopes: DataFrame, width: str, label: str) -> _Offer:
+        spark = envelopes.sparkSession
+        topic = new_folder(spark, label)
+        Files(spark).make(topic)
+        return cls(Replay.by_time(envelopes, width), topic, topics.topic_source(spark, topic))
+
+    def drain(self, writer: DataStreamWriter) -> None:
+        """Each window is a micro-batch of the query that ``writer`` starts."""
+        drain_ticks(self.replay, self.topic, writer)
+
+
+def _clean_batches(spark: SparkSession, folder: str) -> _Offer:
     """Clean incidents with their time as a stream of several batches in the order of time, from the raw topic."""
     details, prepared = _prepared(spark, folder)
     raw = topics.to_envelopes(_dated(narrow.to_summary(details)), at="ts")
-    return batch.clean_summaries(topics.summaries(_offered(raw, INCIDENT_WINDOW, "raw-topic"), "ts"), prepared)
+    offer = _Offer.of(raw, INCIDENT_WINDOW, "raw-topic")
+    return replace(offer, rows=batch.clean_summaries(topics.summaries(offer.rows, "ts"), prepared))
 
 
 def stream_grouped(spark: SparkSession, folder: str) -> DataFrame:
@@ -373,7 +394,8 @@ def stream_grouped(spark: SparkSession, folder: str) -> DataFrame:
 def grouped_topics(spark: SparkSession, folder: str) -> DataFrame:
     """Counts through their changelog topics, the latest record of each key."""
     paths = new_folder(spark, "grouped-incidents"), new_folder(spark, "grouped-creatures")
-    drain(jobs.publish_counts(_clean_batches(spark, folder), *paths, new_folder(spark, "state"), "ts"))
+    clean = _clean_batches(spark, folder)
+    clean.drain(jobs.publish_counts(clean.rows, *paths, new_folder(spark, "state"), "ts"))
     latest = []
     for path, name in zip(paths, ("incidents", "creatures")):
         records = topics.grouped_counts(spark.read.parquet(path))
@@ -391,7 +413,8 @@ def replay_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     paths = {name: new_folder(spark, f"grouped-{name}") for name in names}
     read, reading = ({name: new_folder(spark, label) for name in names} for label in ("read", "state"))
     publish, state = jobs.publisher(paths, time="ts"), new_folder(spark, "state")
-    counted = totals.grouped(_clean_batches(spark, folder), "ts")
+    clean = _clean_batches(spark, folder)
+    counted = totals.grouped(clean.rows, "ts")
 
     def written_but_not_committed(rows: DataFrame, batch_id: int) -> None:
         publish(rows, batch_id)
@@ -405,10 +428,12 @@ def replay_idempotent(spark: SparkSession, folder: str) -> DataFrame:
             drain(jobs.append_rows(amounts, read[name], reading[name]))
 
     try:
-        drain(jobs.each_batch(counted, written_but_not_committed, state))
+        clean.drain(jobs.each_batch(counted, written_but_not_committed, state))
     except StreamingQueryException:
         read_on()
+    # the batch that failed comes first, then the windows that were not offered yet
     drain(jobs.each_batch(counted, publish, state))
+    clean.drain(jobs.each_batch(counted, publish, state))
     read_on()
     measures = []
     for name in names:
@@ -424,7 +449,8 @@ def replay_idempotent(spark: SparkSession, folder: str) -> DataFrame:
 def stream_topn(spark: SparkSession, folder: str) -> DataFrame:
     counts = jobs.counts_log(new_folder(spark, "counts"))
     ranking = jobs.ranking_log(new_folder(spark, "ranking"))
-    drain(jobs.rank_years(_clean_batches(spark, folder), counts, ranking, new_folder(spark, "state")))
+    clean = _clean_batches(spark, folder)
+    clean.drain(jobs.rank_years(clean.rows, counts, ranking, new_folder(spark, "state")))
     return rank.exploded_by_year(ranking.latest(spark))
 
 
@@ -433,7 +459,8 @@ def snapshot_sink(spark: SparkSession, folder: str) -> DataFrame:
     counts = jobs.counts_log(new_folder(spark, "counts"))
     ranking = jobs.ranking_log(new_folder(spark, "ranking"))
     outputs = new_folder(spark, "from-counts"), new_folder(spark, "from-ranking")
-    drain(jobs.rank_years(_clean_batches(spark, folder), counts, ranking, new_folder(spark, "state")))
+    clean = _clean_batches(spark, folder)
+    clean.drain(jobs.rank_years(clean.rows, counts, ranking, new_folder(spark, "state")))
     clock = jobs.rewrite_outputs(counts, ranking, outputs, spark, tick="1 second").start()
     try:
         ticked(clock)
@@ -452,12 +479,14 @@ def stream_windowed_topn(spark: SparkSession, folder: str) -> DataFrame:
     Every step is a stream that reads the topic of the one before; nothing is counted in batch.
     """
     grouped, creatures, windows, ranked = (new_folder(spark, label) for label in ("grouped", "creatures", "windows", "top-n"))
-    drain(jobs.publish_counts(_clean_batches(spark, folder), grouped, creatures, new_folder(spark, "state"), "ts"))
+    clean = _clean_batches(spark, folder)
+    clean.drain(jobs.publish_counts(clean.rows, grouped, creatures, new_folder(spark, "state"), "ts"))
     counts = topics.grouped_counts(topics.topic_source(spark, grouped, per_trigger=8), time="ts")
     species = GROUPED.fieldNames()
-    drain(jobs.sum_windows(counts, KEY.fieldNames(), species, "ts", windows, new_folder(spark, "state"), width=INCIDENT_WINDOW))
+    summed = jobs.sum_windows(counts, KEY.fieldNames(), species, "ts", windows, new_folder(spark, "state"), width=INCIDENT_WINDOW)
+    _drain_topic(summed, spark, grouped)
     sums = topics.yearly_counts(topics.topic_source(spark, windows, per_trigger=4))
-    drain(jobs.rank_windows(sums, jobs.totals_log(new_folder(spark, "totals")), ranked, new_folder(spark, "state")))
+    _drain_topic(jobs.rank_windows(sums, jobs.totals_log(new_folder(spark, "totals")), ranked, new_folder(spark, "state")), spark, windows)
     records = topics.ranked_from_envelopes(spark.read.parquet(ranked))
     latest = records.groupBy("year").agg(F.max_by("ranked", "id").alias("ranked"))
     return rank.exploded_by_year(latest)
@@ -480,18 +509,19 @@ def stream_windowed_last_sum(spark: SparkSession, folder: str) -> DataFrame:
     events = events_of(spark, folder)
     key = T.StructType([events.schema[c] for c in EVENT_KEY])
     group = T.StructType([events.schema["event_type"]])
-    raw = _offered(topics.to_envelopes(events, key, "value", "ts"), DAY, "events-topic")
-    counted = topics.from_envelopes(raw, key, T.DoubleType()).groupBy("key").agg(
+    raw = _Offer.of(topics.to_envelopes(events, key, "value", "ts"), DAY, "events-topic")
+    counted = topics.from_envelopes(raw.rows, key, T.DoubleType()).groupBy("key").agg(
         F.count(F.lit(1)).alias("amount"), F.max("timestamp").alias("ts")
     )
     grouped, windows = new_folder(spark, "grouped-topic"), new_folder(spark, "windows-topic")
     publish = jobs.publisher({"amount": grouped}, key, "ts")
-    drain(jobs.each_batch(counted.select("key.*", "amount", "ts"), publish, new_folder(spark, "state")))
+    raw.drain(jobs.each_batch(counted.select("key.*", "amount", "ts"), publish, new_folder(spark, "state")))
     counts = topics.grouped_counts(topics.topic_source(spark, grouped, per_trigger=8), key, "ts")
-    drain(jobs.sum_windows(counts, EVENT_KEY, ["event_type"], "ts", windows, new_folder(spark, "state"), width=DAY))
+    _drain_topic(jobs.sum_windows(counts, EVENT_KEY, ["event_type"], "ts", windows, new_folder(spark, "state"), width=DAY), spark, grouped)
     log = UpsertLog(new_folder(spark, "totals"), ["event_type"], ["amount"])
     sums = topics.from_envelopes(topics.topic_source(spark, windows), group, T.LongType())
-    drain(jobs.add_windows(sums.select("key.*", F.col("value").alias("amount")), ["event_type"], log, new_folder(spark, "state")))
+    added = jobs.add_windows(sums.select("key.*", F.col("value").alias("amount")), ["event_type"], log, new_folder(spark, "state"))
+    _drain_topic(added, spark, windows)
     return log.latest(spark).withColumnRenamed("amount", "total")
 
 

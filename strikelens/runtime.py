@@ -90,6 +90,44 @@ def one_job_if_small(staged: DataFrame) -> Iterator[None]:
             conf.set(key, value)
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, plans of this session adapt to the size of their rows, and what is rebalanced has files of the advised size.
+
+    For ``foreachBatch``: a stream with state turns adaptive execution off, also for what is done with its batches, which would then have
+    a task and a file for each shuffle partition, however few their rows are.
+    """
+    wanted = {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+#: Of the records that a stream starts with, so many bytes are left to a partition of its state.
+STATE_BYTES = 32 << 20
+
+
+@contextmanager
+def state_for(spark: SparkSession, size: int) -> Iterator[None]:
+    """Streams that start while it lasts have partitions of their state for an input of ``size`` bytes.
+
+    A partition of the state costs its files in every micro-batch, whatever it holds. There is one for each core at least,
+    and ``spark.sql.shuffle.partitions`` is an upper bound, as in batch. A stream that starts again keeps those of its checkpoint.
+    """
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    wanted = max(spark.sparkContext.defaultParallelism, -(-size // STATE_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", min(int(before), wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the work folder and read it back.
 

@@ -28,6 +28,11 @@ class Files:
         found, system = self._of(path)
         return system.exists(found)
 
+    def make(self, path: str) -> None:
+        """Makes a folder."""
+        found, system = self._of(path)
+        system.mkdirs(found)
+
     def delete(self, path: str) -> None:
         found, system = self._of(path)
         system.delete(found, True)
@@ -39,6 +44,11 @@ class Files:
         if not system.rename(found, self.path(target)):
             raise OSError(f"could not move {source} to {target}")
 
+    def size(self, path: str) -> int:
+        """Bytes of all files in a folder."""
+        found, system = self._of(path)
+        return system.getContentSummary(found).getLength()
+
     def names(self, pattern: str) -> list[str]:
         found, system = self._of(pattern)
         return [status.getPath().getName() for status in system.globStatus(found) or []]

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators import rank, route, totals
+from ..runtime import adaptive
 from ..schemas import GROUPED, KEY
 from ..sources import csv_files, topics
 from ..settings import REWRITE_TICK, TOP_N, WINDOW
@@ -63,11 +64,12 @@ def publisher(topics_of: dict[str, str], key: T.StructType = KEY, time: str | No
     """A ``foreachBatch`` function that writes the rows of a batch to a changelog topic for each column: ``{column: path}``.
 
     ``time`` names the column with the time of the records. Each topic has each batch once, also after a failure anywhere in between.
+    A batch has as many files as its size asks for, whatever the number of tasks, because readers take so many files at a time.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         # evaluated once for all topics, and by the stateful plan only once
-        batch.persist()
+        batch = batch.hint("rebalance").persist()
         try:
             written = [
                 Changelog(path).publish(topics.to_envelopes(batch, key, column, time, batch_id), batch_id) for column, path in topics_of.items()
@@ -113,8 +115,8 @@ def sum_windows(
     Both aggregations are in one query that only appends; the time of the records is the end of their window.
     """
     sums = totals.windowed_last_sums(counts.withWatermark(time, lateness), keys, group, value, time, width=width)
-    schema = T.StructType([sums.schema[c] for c in group])
-    return topics.topic_sink(topics.to_envelopes(sums, schema, "total", "window_end"), checkpoint, path)
+    publish = publisher({"total": path}, T.StructType([sums.schema[c] for c in group]), "window_end")
+    return each_batch(sums, publish, checkpoint, mode="append")
 
 
 def add_windows(sums: DataFrame, group: Sequence[str], log: UpsertLog, checkpoint: str) -> DataStreamWriter:
@@ -188,5 +190,11 @@ def close_windows(
     return append_rows(closed, path, checkpoint)
 
 
-def each_batch(counts: DataFrame, function, checkpoint: str) -> DataStreamWriter:
-    return counts.writeStream.outputMode("update").foreachBatch(function).option("checkpointLocation", checkpoint)
+def each_batch(counts: DataFrame, function, checkpoint: str, mode: str = "update") -> DataStreamWriter:
+    """What ``function`` does with a batch is planned by its size; the state keeps its partitions."""
+
+    def adapted(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession):
+            function(batch, batch_id)
+
+    return counts.writeStream.outputMode(mode).foreachBatch(adapted).option("checkpointLocation", checkpoint)

@@ -62,6 +62,10 @@ class Replay:
         """The ticks not yet offered, in order; names only."""
         return sorted(int(name.removeprefix("tick=")) for name in self.files.names(f"{self.folder}/tick=*"))
 
+    def size(self) -> int:
+        """Bytes of what is not yet offered."""
+        return self.files.size(self.folder)
+
     def offer(self, topic: str, ticks: int = 1) -> int:
         """Moves the next ``ticks`` into the topic, in order, and says how many there were."""
         chosen = self.waiting()[:ticks]

@@ -6,7 +6,9 @@ import time
 
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ..runtime import state_for
 from ..settings import BATCH_TICK
+from .replay import Replay
 
 
 def drain(writer: DataStreamWriter) -> StreamingQuery:
@@ -16,6 +18,15 @@ def drain(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
+def drain_ticks(replay: Replay, topic: str, writer: DataStreamWriter) -> StreamingQuery | None:
+    """Offers one tick after the other and processes each before the next, so that a micro-batch is a tick, of however many files."""
+    query = None
+    with state_for(replay.spark, replay.size()):
+        while replay.offer(topic):
+            query = drain(writer)
+    return query
+
+
 def paced(writer: DataStreamWriter, tick: str = BATCH_TICK) -> StreamingQuery:
     """Keep running, one micro-batch per tick; the source limits how much a tick takes."""
     return writer.trigger(processingTime=tick).start()
