@@ -61,7 +61,12 @@ def _texts(envelopes: DataFrame) -> DataFrame:
 def summaries(envelopes: DataFrame, time: str | None = None) -> DataFrame:
     """The summary rows of the raw or the clean topic, with the time of their records as ``time``, if wanted."""
     times = [F.col("timestamp").alias(time)] if time else []
-    return from_envelopes(envelopes).select("value.*", *times)
+    return _texts(envelopes).select(_fields(decode("value", SUMMARY)), *times)
+
+
+def _fields(struct: Column) -> Column:
+    """The fields of a decoded text as columns. As a generator it is worked out once for a row; else Spark puts the decoding in place of each use of a field."""
+    return F.inline(F.array(struct))
 
 
 def grouped_counts(envelopes: DataFrame, key: T.StructType = KEY, time: str | None = None) -> DataFrame:
@@ -69,10 +74,10 @@ def grouped_counts(envelopes: DataFrame, key: T.StructType = KEY, time: str | No
 
     Further columns, such as the ``id`` of the batch that wrote a record, are kept.
     """
-    decoded = _texts(envelopes).withColumns({"key": decode("key", key), "amount": F.col("value").cast("bigint")})
+    decoded = _texts(envelopes).withColumn("amount", F.col("value").cast("bigint"))
     others = [c for c in decoded.columns if c not in ENVELOPE.fieldNames()]
     times = [F.col("timestamp").alias(time)] if time else []
-    return decoded.select("key.*", *others, *times)
+    return decoded.select(_fields(decode("key", key)), *others, *times)
 
 
 def batch_of(headers: str = "headers") -> Column:

@@ -69,10 +69,10 @@ def publisher(topics_of: dict[str, str], key: T.StructType = KEY, time: str | No
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         # evaluated once for all topics, and by the stateful plan only once
-        batch = batch.hint("rebalance").persist()
+        batch.persist()
         try:
             written = [
-                Changelog(path).publish(topics.to_envelopes(batch, key, column, time, batch_id), batch_id) for column, path in topics_of.items()
+                Changelog(path).publish(topics.to_envelopes(batch.hint("rebalance"), key, column, time, batch_id), batch_id) for column, path in topics_of.items()
             ]
             if not any(written):
                 # a batch that runs again has to update its state all the same

@@ -9,15 +9,17 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strikelens.functions.rules import FIELD_RULES
 from strikelens.operators import rank, route, totals
 from strikelens.plans import batch
 from strikelens.plans.tables import details_of, events_of, table, table_stream
+from strikelens.runtime import STATE_BYTES, state_for
 from strikelens.schemas import KEY, RANKED, SUMMARY
 from strikelens.sources import csv_files, topics
 from strikelens.streaming import jobs
 from strikelens.streaming.changelog import Changelog
 from strikelens.streaming.replay import Replay
-from strikelens.streaming.run import drain, paced, ticked
+from strikelens.streaming.run import drain, drain_ticks, paced, ticked
 from strikelens.streaming.upserts import UpsertLog
 
 FILES = 4
@@ -445,3 +447,51 @@ def test_restart_uses_the_stored_preparation(spark, folder):
     batch.store(batch.prepare(changed), kept)
     assert batch.stored(spark, kept).rules != first.rules and rows(again.repairs) == rows(first.repairs)
     assert batch.stored(spark, folder()) is None
+
+
+def test_a_record_is_decoded_once(spark, incidents, folder):
+    clean, _, _ = incidents
+    topic = folder()
+    topics.to_envelopes(clean).write.parquet(topic)
+    rules = {field: rule for field, rule in FIELD_RULES.items() if field in SUMMARY.fieldNames()}
+    read = topics.summaries(topics.read_topic(spark, topic))
+    again = route.clean(route.with_topics(read, rules))
+    assert again._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert rows(again.select(clean.columns)) == rows(route.clean(route.with_topics(clean, rules)))
+    # an empty record is a row all the same
+    nothing = spark.createDataFrame([(None, None, None, None)], topics.ENVELOPE)
+    assert rows(topics.summaries(nothing)) == [(None,) * len(SUMMARY)]
+    assert rows(topics.grouped_counts(nothing)) == [(None,) * (len(KEY) + 1)]
+
+
+def test_files_of_a_changelog_follow_its_size(spark, folder):
+    values, topic, windows = folder(), folder(), folder()
+    timed(spark, [(f"k{i}", i, 1) for i in range(100)]).write.parquet(values)
+    counts = stream(spark, values, spark.read.parquet(values).schema).groupBy("k").agg(F.count("*").alias("n"), F.max("at").alias("at"))
+    drain(jobs.each_batch(counts, jobs.publisher({"n": topic}, K, "at"), folder()))
+    assert len(glob.glob(f"{topic}/id=0/part-*")) == 1
+    read = topics.grouped_counts(topics.topic_source(spark, topic), K, "at")
+    drain(jobs.sum_windows(read, ["k"], ["k"], "at", windows, folder()))
+    assert all(len(glob.glob(f"{batch}/part-*")) == 1 for batch in glob.glob(f"{windows}/id=*"))
+
+
+def test_state_has_partitions_for_its_input(spark):
+    conf = lambda: spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        for size, wanted in ((0, 8), (STATE_BYTES * 50, 50), (STATE_BYTES * 500, 200)):
+            with state_for(spark, size):
+                assert conf() == str(wanted)
+        assert conf() == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_a_tick_of_several_files_is_one_batch(spark, folder):
+    source, topic, target = folder(), folder(), folder()
+    values = topics.to_envelopes(timed(spark, [(f"k{i}", i, i % 2 * 100) for i in range(20)]), K, "n", "at")
+    for tick in (0, 1):
+        values.repartition(5).write.parquet(f"{source}/tick={tick}")
+    os.makedirs(topic)
+    query = drain_ticks(Replay(spark, source), topic, jobs.append_rows(topics.topic_source(spark, topic), target, folder()))
+    assert query.lastProgress["batchId"] == 1 and spark.read.parquet(target).count() == 40
