@@ -264,7 +264,8 @@ def csv_untyped(spark: SparkSession, folder: str) -> DataFrame:
     narrow, extra = F.col("record_id").cast("long") % 3 == 0, F.lit(0)
     for rows in (broken.filter(~narrow), broken.filter(narrow).drop(wide.columns[-1])):
         before = len(Files(spark).names(f"{path}/part-*"))
-        rows.write.mode("append").options(header=True, compression="gzip", quote='"', escape='"', emptyValue="").csv(path)
+        quoting = {"quote": '"', "escape": '"', "emptyValue": ""}
+        rows.write.mode("append").options(header=True, compression="gzip", **quoting, **csv_files.GZIP_FAST).csv(path)
         files = len(Files(spark).names(f"{path}/part-*")) - before
         extra = F.when(F.col("line") == "|".join(rows.columns), files - 1).otherwise(extra)
     lines = csv_files.read_untyped(spark, path).select(F.array_join("fields", "|").alias("line"))
