@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strikelens.llm.blocks import BLOCK, PARTNERS, measured, outlines, possible, screened
+from strikelens.llm.blocks import BLOCK, COUNTS, PARTNERS, count_batch, lowest_groups, measured, planes, possible, screened
 from strikelens.llm.common import WORD, discard, row_key, slices, small_batches, whole_text
 from strikelens.llm.components import components
 from strikelens.llm.shingles import MIX, PRIME, Shingler
@@ -44,8 +44,6 @@ SIMILAR = 80
 #: Common shingles, at most, and how often one must be seen in a task to be offered.
 COMMON = 500_000
 OFTEN = 4
-#: Counts in a sketch.
-SKETCH = 128
 #: First shingles in a bucket, about.
 BUCKET = 200_000
 
@@ -65,7 +63,7 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.Re
     """Slices of the batches and their sets; no more than a slice's sets are held."""
     shingler = Shingler(words)
     for batch in slices(batches):
-        yield batch, [shingler.set(x.as_py()) for x in batch.column("text")]
+        yield batch, shingler.sets(batch.column("text").to_pylist())
 
 
 def _prefix_length(n: int, similar: int) -> int:
@@ -111,8 +109,8 @@ def common_shingles(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR,
 
 
 def first_shingles(docs: DataFrame, common: np.ndarray, buckets: int, words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
-    """Two kinds of rows. Bucket -1: doc_id, key of the row, n_shingles, class (a hash of the set) and sketch of a document: how many
-    shingles have each of some last bits, which bounds what two sets share.
+    """Two kinds of rows. Bucket -1: doc_id, key of the row, n_shingles, class (a hash of the set) and counts and over of a document's outline,
+    which bound what two sets share.
 
     Others: the first shingles of a slice's documents that belong to a bucket, with class and size of the set they are from, as bytes
     of arrays; of equal sets in a slice only one is there.
@@ -123,12 +121,10 @@ def first_shingles(docs: DataFrame, common: np.ndarray, buckets: int, words: int
             sizes = np.array([len(s) for s in sets], np.int64)
             classes = np.array([class_of(s) for s in sets], np.int64)
             n = len(sets)
-            counts_of = pa.list_(pa.int32())
-            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), counts_of, pa.binary(), pa.binary(), pa.binary())
-            names = ["bucket", "doc_id", "key", "n_shingles", "class", "sketch", "shingles", "classes", "sizes"]
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            names = ["bucket", "doc_id", "key", "n_shingles", "class", "counts", "over", "shingles", "classes", "sizes"]
             nothing = [pa.nulls(n, pa.binary())] * 3
-            sketches = pa.array([np.bincount(s & (SKETCH - 1), minlength=SKETCH).astype(np.int32) for s in sets], counts_of)
-            own = [batch.column("doc_id"), batch.column("key"), pa.array(sizes), pa.array(classes), sketches]
+            own = [batch.column("doc_id"), batch.column("key"), pa.array(sizes), pa.array(classes), *count_batch(sets)]
             rows = [pa.array(np.full(n, -1, np.int32)), *own, *nothing]
             yield pa.RecordBatch.from_arrays(rows, names=names)
             chosen = np.unique(classes, return_index=True)[1]
@@ -150,11 +146,11 @@ def first_shingles(docs: DataFrame, common: np.ndarray, buckets: int, words: int
             for b in np.flatnonzero(np.diff(ends)):
                 part = order[ends[b] : ends[b + 1]]
                 packed = (x[part].tobytes() for x in (shingles, of_class, of_size))
-                for column, value in zip(columns, (int(b), None, None, None, None, None, *packed)):
+                for column, value in zip(columns, (int(b), *[None] * 6, *packed)):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    kept = "bucket int, doc_id long, key binary, n_shingles long, class long, sketch array<int>"
+    kept = f"bucket int, doc_id long, key binary, n_shingles long, class long, {COUNTS}"
     return _binary(docs, F.col("doc_id").cast("long").alias("doc_id"), row_key()).mapInArrow(cut, f"{kept}, shingles binary, classes binary, sizes binary")
 
 
@@ -210,24 +206,19 @@ def _comparable(n_a: str, n_b: str, similar: int) -> Column:
 class _Rounds:
     """Links and components known so far, and the measuring of further pairs."""
 
-    def __init__(self, sketches: DataFrame, texts: DataFrame, words: int, similar: int):
-        self.sketches, self.texts, self.words, self.similar = sketches, texts, words, similar
+    def __init__(self, docs: DataFrame, classes: DataFrame, counted: DataFrame, words: int, similar: int):
+        self.docs, self.classes, self.counted, self.words, self.similar = docs, classes, counted, words, similar
         self.links: DataFrame | None = None
         self.roots: DataFrame | None = None
 
-    def possible(self, pairs: DataFrame) -> DataFrame:
-        """``pairs`` (a, b) whose sketches allow the similarity; written. No pair that has it is lost."""
-        rows = pairs
-        for end in ("a", "b"):
-            named = self.sketches.select(F.col("class").alias(end), F.col("n_shingles").alias(f"size_{end}"), F.col("sketch").alias(f"of_{end}"))
-            rows = rows.join(named, end)
-        most = F.aggregate(F.zip_with("of_a", "of_b", lambda x, y: F.least(x, y)), F.lit(0), lambda total, n: total + n)
-        rows = rows.withColumn("most", most).filter(100 * F.col("most") >= self.similar * (F.col("size_a") + F.col("size_b") - F.col("most")))
-        return stage(rows.select("a", "b"), "possible")
-
     def measure(self, pairs: DataFrame) -> DataFrame:
         """``pairs`` (a, b) with the size of intersection and union of their sets; written."""
-        found = measured(pairs, self.texts, self.words)
+        # one text of each class that is measured, and no others are moved
+        needed = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(self.classes, "class")
+        source = self.docs.select(row_key(), whole_text().cast("binary").alias("text")).join(stage(needed, "needed"), "key")
+        # rows that repeat have one key
+        texts = stage(source.groupBy("class").agg(F.min("text").alias("text")), "texts")
+        found = measured(pairs, texts, self.words)
         links = found.filter(100 * F.col("shared") >= self.similar * F.col("joined")).select("a", "b")
         self.links = links if self.links is None else self.links.union(links)
         self.roots = components(self.links)
@@ -248,10 +239,10 @@ def region_members(found: DataFrame) -> DataFrame:
 
 
 def class_links(
-    docs: DataFrame, found: DataFrame, members: DataFrame, similar: int = SIMILAR, words: int = WORDS,
+    docs: DataFrame, found: DataFrame, members: DataFrame, counted: DataFrame, similar: int = SIMILAR, words: int = WORDS,
     partners: Sequence[int | None] = PARTNERS, block: int = BLOCK,
 ) -> DataFrame | None:
-    """node, root of the components of classes with links, from documents' rows and regions' members, both written."""
+    """node, root of the components of classes with links, from documents' rows, regions' members and their outlines, all written."""
     near = _comparable("n_a", "n_b", similar)
     # regions in which a class has a pivot are first shingles that both have: the more, the nearer
     stars = members.filter((F.col("a") != F.col("b")) & near).groupBy("a", "b").agg(F.count("*").alias("shared"))
@@ -259,16 +250,10 @@ def class_links(
     if members.isEmpty():
         return None
     classes = found.filter("n_shingles > 0").groupBy("class").agg(F.min("key").alias("key"))
-    sketched = found.filter("n_shingles > 0").groupBy("class", "n_shingles").agg(F.min("sketch").alias("sketch"))
-    # one text of each class that shares a region
-    ends = members.select(F.col("b").alias("class")).distinct()
-    source = docs.select(row_key(), whole_text().cast("binary").alias("text")).join(classes.join(ends, "class", "left_semi"), "key")
-    # rows that repeat have one key
-    texts = stage(source.groupBy("class").agg(F.min("text").alias("text")), "texts")
-    rounds = _Rounds(stage(sketched, "sketches"), texts, words, similar)
+    rounds = _Rounds(docs, classes, counted, words, similar)
     # a class and the nearest of its pivots, its cell; then whatever is still apart in a region
     nearest = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
-    first = rounds.measure(rounds.possible(nearest))
+    first = rounds.measure(screened(nearest, counted, similar))
     return _settle(rounds, members, first, similar, partners, block)
 
 
@@ -299,13 +284,17 @@ def _settle(
         if rest.isEmpty():
             break
         if outlined is None:
-            outlined = outlines(rounds.texts.join(rest.select("class").distinct(), "class", "left_semi"), rounds.words)
-        passed = possible(rest, outlined, similar, most, block).join(done, ["a", "b"], "left_anti")
-        fresh = screened(passed, outlined, similar)
+            met = lowest_groups(members.select(F.col("region").alias("group"), F.col("b").alias("class")))
+            open_classes = rounds.counted.join(rest.select("class").distinct(), "class", "left_semi")
+            outlined = stage(planes(open_classes).join(met, "class"), "outlines")
+        found = possible(rest, outlined, similar, most, block)
+        passed = found.select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
+        fresh = screened(passed, rounds.counted, similar)
         if not fresh.isEmpty():
             rounds.measure(fresh)
         # what the screen has dropped is settled, too, and is dropped again
         done = done.union(fresh)
+        rest = rest.join(found.select(F.col("open").alias("group")).distinct(), "group", "left_semi")
     return rounds.roots
 
 
@@ -320,11 +309,15 @@ def _joined(
     with small_batches(spark):
         first_shingles(docs, often_found, max(16, firsts // BUCKET), words, similar).write.parquet(path)
     written = spark.read.parquet(path)
-    found = stage(written.filter("bucket = -1").select("doc_id", "key", "n_shingles", "class", "sketch"), "sets-of-documents")
+    rows = written.filter("bucket = -1")
+    found = stage(rows.select("doc_id", "key", "n_shingles", "class"), "sets-of-documents")
     members = stage(region_members(written), "members")
+    # outlines of the classes that share a region
+    ends = members.select(F.col("b").alias("class")).distinct()
+    counted = stage(rows.select("class", "counts", "over").join(ends, "class", "left_semi").dropDuplicates(["class"]), "outlines")
     # what is larger than all that follows is not needed any more
     discard(spark, path)
-    roots = class_links(docs, found, members, similar, words, partners, block)
+    roots = class_links(docs, found, members, counted, similar, words, partners, block)
     rows = found.select("doc_id", "key", "n_shingles", "class")
     some = rows.filter("n_shingles > 0")
     classes = some.groupBy("class").agg(F.min("doc_id").alias("component_id"))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strikelens.llm.blocks import BLOCK, PARTNERS, measured, outlines, possible
+from strikelens.llm.blocks import BLOCK, PARTNERS, lowest_groups, measured, outlines, possible
 from strikelens.llm.common import row_key, slices, small_batches
 from strikelens.llm.components import components
 from strikelens.llm.shingles import Shingler
@@ -99,8 +99,7 @@ def sketches(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int
         shingler, sketcher = Shingler(words), Sketcher(bands, rows)
         for batch in slices(batches):
             sizes, classes, banded = [], [], []
-            for text in batch.column("text"):
-                s = shingler.set(text.as_py())
+            for s in shingler.sets(batch.column("text").to_pylist()):
                 sizes.append(len(s))
                 classes.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 banded.append(sketcher.bands_of(s) if len(s) else None)
@@ -181,10 +180,14 @@ def class_roots(
             break
         if outlined is None:
             outlined = outlines(texts.join(rest.select("class").distinct(), "class", "left_semi"), words)
-        pairs = possible(rest.withColumnRenamed("bucket", "group"), outlined, similar, most, block).toDF("centre", "class")
+            met = lowest_groups(members.select(F.col("bucket").alias("group"), "class"))
+            outlined = stage(outlined.select("class", "planes", "beyond").join(met, "class"), "outlines")
+        found = possible(rest.withColumnRenamed("bucket", "group"), outlined, similar, most, block)
+        pairs = found.select(F.col("a").alias("centre"), F.col("b").alias("class")).distinct()
         fresh = stage(pairs.join(done, ["centre", "class"], "left_anti"), "fresh")
         confirmed.add(fresh)
         done = done.union(fresh)
+        rest = rest.join(found.select(F.col("open").alias("bucket")).distinct(), "bucket", "left_semi")
     return confirmed.roots
 
 

@@ -4,11 +4,12 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from llm import samples
 
-from strikelens.llm import common, components, exact_dedup, jaccard_join, suffix_dedup
+from strikelens.llm import blocks, common, components, exact_dedup, jaccard_join, shingles as word_shingles, suffix_dedup
 
 
 def plain_rows(docs):
@@ -129,6 +130,43 @@ def test_jaccard_rows_that_share_identifiers(spark):
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[0], rows[1], (3, None), (3, ""), rows[-1]], key=repr)
 
 
+def test_pairs_that_share_many_groups_come_once(spark):
+    """All meet in 40 groups; 5, 6 and 7 are alike, and of all others none."""
+    rnd = random.Random(6)
+    own = [[rnd.getrandbits(63) for _ in range(200)] for _ in range(12)]
+    own[6], own[7] = own[5][:195] + own[6][:5], own[5][:190] + own[7][:10]
+    sets = [np.sort(np.array(x, np.int64)) for x in own]
+    schema = f"class long, {blocks.PLANES}, {blocks.COUNTS}"
+    outlined = spark.createDataFrame([tuple(r.values()) for r in blocks.outline_batch(pa.array(range(12)), sets).to_pylist()], schema)
+    rows = [(g, 12, c, 200, c) for g in range(40) for c in range(12)] + [(99, 2, c, 200, c) for c in (6, 7)]
+    members = spark.createDataFrame(rows, "group long, members long, class long, n long, root long")
+    outlined = outlined.join(blocks.lowest_groups(members), "class")
+    for block in (4, 100):
+        for most in (1, 2, None):
+            found = [tuple(r) for r in blocks.possible(members, outlined, 80, most, block).collect()]
+            assert len(found) == len({x[:2] for x in found}) <= 3
+            opened = {x[2] for x in found} - {None}
+            assert {x[:2] for x in found} == {(5, 6), (5, 7), (6, 7)} or opened == {0}
+            assert most == 1 or not opened
+
+
+def test_sets_of_many_texts_are_those_of_each():
+    rnd = random.Random(8)
+    words = ["a", "A", "bc", "seventy", "eightlet", "ninelette", "é" * 9, "x" * 16, "x" * 17, "y" * 2000, "\0", "\0\0"]
+    texts = ["", " \t", None] + ["".join(rnd.choice(words) + rnd.choice([" ", "\n", "  "]) for _ in range(rnd.randint(0, 12))) for _ in range(300)]
+    data = [t and t.encode() for t in texts]
+    for size in (1, 3, 5):
+        shingler, named = word_shingles.Shingler(size), {}
+        found = shingler.sets(data)
+        for text, one in zip(data, found):
+            assert one.tolist() == sorted(set(one.tolist())) == shingler.set(text).tolist()
+            own = shingles((text or b"").decode(), size)
+            assert len(own) == len(one)
+            named.setdefault(frozenset(own), one.tobytes())
+            assert named[frozenset(own)] == one.tobytes()
+        assert len(set(named.values())) == len(named)
+
+
 def test_slices_of_batches():
     texts = [b"a" * n for n in (3, 9, 0, 2, 30, 1, 1)] + [None]
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])
