@@ -53,6 +53,26 @@ def row_key() -> Column:
     return F.unhex(F.md5(F.concat(identifier, F.lit(":"), whole_text()))).alias("key")
 
 
+#: Bits of a map for each key that it holds, and parts of 32768 bits that a map may have: 4 MB.
+BITS_OF_KEY = 16
+MAP_PARTS = 1024
+
+
+def probably_in(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Those of ``rows`` whose ``key`` is one of ``keys``, a written table, and few others; without a shuffle, so that what no join needs is not moved.
+
+    The keys are marked in a map of bits of bounded size, which is broadcast. With more keys than it has bits more other rows stay.
+    """
+    parts = min(MAP_PARTS, keys.count() * BITS_OF_KEY // 32768 + 1)
+    place = F.pmod(F.xxhash64("key"), F.lit(parts * 32768))
+    placed = keys.select(F.floor(place / 32768).cast("int").alias("_part"), (place % 32768).alias("_bit"))
+    bitmap = placed.groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    marked = rows.withColumns({"_part": F.floor(place / 32768).cast("int"), "_bit": (place % 32768).cast("int")}).join(F.broadcast(bitmap), "_part")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, F.col("_bit") % 8) == 1
+    return marked.filter(is_set).select(rows.columns)
+
+
 #: Bytes of text that Python works on at a time, and bytes and rows of a batch sent to it.
 SLICE = 4 << 20
 BATCH_BYTES = 8 << 20

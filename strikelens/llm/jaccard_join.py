@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strikelens.llm.blocks import BLOCK, COUNTS, PARTNERS, count_batch, lowest_groups, measured, planes, possible, screened
-from strikelens.llm.common import WORD, discard, row_key, slices, small_batches, whole_text
+from strikelens.llm.common import WORD, discard, probably_in, row_key, slices, small_batches, whole_text
 from strikelens.llm.components import components
 from strikelens.llm.shingles import MIX, PRIME, Shingler
 from strikelens.runtime import new_folder, stage
@@ -214,8 +214,9 @@ class _Rounds:
     def measure(self, pairs: DataFrame) -> DataFrame:
         """``pairs`` (a, b) with the size of intersection and union of their sets; written."""
         # one text of each class that is measured, and no others are moved
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(self.classes, "class")
-        source = self.docs.select(row_key(), whole_text().cast("binary").alias("text")).join(stage(needed, "needed"), "key")
+        needed = stage(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(self.classes, "class"), "needed")
+        source = self.docs.select(row_key(), whole_text().cast("binary").alias("text"))
+        source = probably_in(source, needed).join(needed, "key")
         # rows that repeat have one key
         texts = stage(source.groupBy("class").agg(F.min("text").alias("text")), "texts")
         found = measured(pairs, texts, self.words)

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from llm import samples
+from pyspark.sql import functions as F
 
 from strikelens.llm import blocks, common, components, exact_dedup, jaccard_join, shingles as word_shingles, suffix_dedup
 
@@ -150,6 +151,18 @@ def test_pairs_that_share_many_groups_come_once(spark):
             assert most == 1 or not opened
 
 
+def test_rows_probably_in(spark, monkeypatch):
+    rows = spark.range(3000).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("key"), F.col("id").alias("own"))
+    keys = rows.filter("own % 10 = 0").select("key")
+    for parts in (1, 1024):
+        monkeypatch.setattr(common, "MAP_PARTS", parts)
+        found = common.probably_in(rows, keys)
+        assert found.columns == rows.columns and "Exchange hashpartitioning(key" not in found._jdf.queryExecution().toString()
+        own = [r.own for r in found.collect()]
+        assert {i for i in own if i % 10 == 0} == set(range(0, 3000, 10)) and len(own) == len(set(own)) < 600
+    assert common.probably_in(rows, keys.limit(0)).count() == 0
+
+
 def test_sets_of_many_texts_are_those_of_each():
     rnd = random.Random(8)
     words = ["a", "A", "bc", "seventy", "eightlet", "ninelette", "é" * 9, "x" * 16, "x" * 17, "y" * 2000, "\0", "\0\0"]
