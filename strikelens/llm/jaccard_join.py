@@ -10,7 +10,8 @@ first shingles. The first round measures it against that pivot alone; it is link
 inequality a class of the pivot's component at some distance can only be linked to those within that distance and the radius, so others leave, and classes on the
 boundary go on with both sides. A region is done when all its classes are in one component.
 In the others, classes of different components are compared by outlines (``blocks``), block by block, which bound what two sets share; pairs that pass are measured
-on whole sets, the best partners of each class first, then more, at last all. No other pairs of a region are made. Sets are made of texts
+on whole sets, the best partners of each class first, then more, at last all. A pair is given out by one of the regions in which its classes meet, and no other
+pairs of a region are made. Sets are made of texts
 wherever they are needed and never written: a text is the smaller of the two.
 
 Shingles that are common in a task's documents are gathered in a table of bounded size; it decides the order only, never the
