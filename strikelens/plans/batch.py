@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import FIELD_RULES, RuleSet, from_specification, to_specification
 from ..operators import codes, rank, route, totals, validate
 from ..operators.narrow import to_summary
-from ..runtime import one_job_if_small, stage
+from ..runtime import one_job_if_small, shuffles_end, stage
 from ..settings import STREAM_SALTS, STRICT_THRESHOLD, TOP_N
 from ..sources.files import Files, Versions
 
@@ -49,7 +49,8 @@ def prepare(
 
     The rules are chosen on unrepaired rows and later applied to repaired ones.
     """
-    scanned = stage(scan_codes_and_profile(details, rules), "codes")
+    with shuffles_end(details.sparkSession):
+        scanned = stage(scan_codes_and_profile(details, rules), "codes")
     sums = {"total": "total", **{field: f"failed_{field}" for field in rules}}
     profiled = scanned.filter(F.col("kind") == codes.SPECIES).agg(
         *[F.coalesce(F.sum(column), F.lit(0)).alias(name) for name, column in sums.items()]

@@ -371,7 +371,7 @@ class _Offer:
         spark = envelopes.sparkSession
         topic = new_folder(spark, label)
         Files(spark).make(topic)
-        return cls(Replay.by_time(envelopes, width), topic, topics.topic_source(spark, topic))
+        return cls(Replay.by_time(envelopes, width, gathered=False), topic, topics.topic_source(spark, topic))
 
     def drain(self, writer: DataStreamWriter) -> None:
         """Each window is a micro-batch of the query that ``writer`` starts."""

@@ -97,7 +97,36 @@ def adaptive(spark: SparkSession) -> Iterator[None]:
     For ``foreachBatch``: a stream with state turns adaptive execution off, also for what is done with its batches, which would then have
     a task and a file for each shuffle partition, however few their rows are.
     """
-    wanted = {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    with _set(spark, {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}):
+        yield
+
+
+@contextmanager
+def shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, what a write has shuffled is deleted when the write ends.
+
+    Otherwise it stays on the disks until the driver happens to collect its plan, beside what the next steps shuffle and write.
+    """
+    with _set(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        yield
+
+
+#: Files of a partitioned table that a task has open at a time before it sorts the rest of its rows.
+OPEN_FILES = 32
+
+
+@contextmanager
+def unsorted(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, a task writes its rows to the folders of a partitioned table as they come.
+
+    Otherwise it sorts them first, on its disk if they are many.
+    """
+    with _set(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}):
+        yield
+
+
+@contextmanager
+def _set(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
     before = {key: spark.conf.get(key) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)

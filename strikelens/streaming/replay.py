@@ -7,10 +7,13 @@ import time
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..runtime import new_folder, stage
+from ..runtime import new_folder, shuffles_end, stage, unsorted
 from ..settings import BATCH_ROWS
 from ..sources.files import Files
 
+#: Waiting records are long texts that are much alike. Small row groups, because a task has a file open for every tick it has records of.
+_FILES = {"compression": "zstd", "parquet.block.size": 8 << 20}
+
 
 def numbered(rows: DataFrame, order: list[Column]) -> DataFrame:
     """``rows`` with ``place``, from 0 in ``order``; written.
@@ -27,7 +30,7 @@ def numbered(rows: DataFrame, order: list[Column]) -> DataFrame:
 
 
 class Replay:
-    """Records waiting to be offered, one file for each tick, or a few if it is very large.
+    """Records waiting to be offered, one file for each tick, or a few if it is very large or not gathered.
 
     ``by_rows`` and ``by_time`` write the files ahead; ``offer`` moves the next one into the topic and is no
     Spark job. A file gets the time of its offer, by which streams order files, so a reader that takes one file
@@ -45,17 +48,24 @@ class Replay:
         return cls._written(placed.withColumn("tick", F.floor(F.col("place") / rows)).drop("place"))
 
     @classmethod
-    def by_time(cls, envelopes: DataFrame, width: str) -> Replay:
-        """The records of one window of their time per tick; windows without records have none."""
+    def by_time(cls, envelopes: DataFrame, width: str, gathered: bool = True) -> Replay:
+        """The records of one window of their time per tick; windows without records have none.
+
+        Unless they are ``gathered``, which shuffles every record, a tick has a file from each task that has records of it;
+        ``run.drain_ticks`` takes a tick of however many files.
+        """
         start = F.unix_seconds(F.window("timestamp", width)["start"])
-        return cls._written(envelopes.withColumn("tick", start))
+        return cls._written(envelopes.withColumn("tick", start), gathered)
 
     @classmethod
-    def _written(cls, ticked: DataFrame) -> Replay:
+    def _written(cls, ticked: DataFrame, gathered: bool = True) -> Replay:
         spark = ticked.sparkSession
         folder = new_folder(spark, "replay")
-        # a tick is brought together, and cut again where it is too much for one task
-        ticked.hint("rebalance", "tick").write.partitionBy("tick").parquet(folder)
+        if gathered:
+            # a tick is brought together, and cut again where it is too much for one task
+            ticked = ticked.hint("rebalance", "tick")
+        with shuffles_end(spark), unsorted(spark):
+            ticked.write.options(**_FILES).partitionBy("tick").parquet(folder)
         return cls(spark, folder)
 
     def waiting(self) -> list[int]:

@@ -3,6 +3,7 @@ import os
 import re
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import SMALL, rows
 from pyspark.errors import StreamingQueryException
@@ -11,9 +12,9 @@ from pyspark.sql import types as T
 
 from strikelens.functions.rules import FIELD_RULES
 from strikelens.operators import rank, route, totals
-from strikelens.plans import batch
+from strikelens.plans import batch, catalogue
 from strikelens.plans.tables import details_of, events_of, table, table_stream
-from strikelens.runtime import STATE_BYTES, state_for
+from strikelens.runtime import OPEN_FILES, STATE_BYTES, state_for
 from strikelens.schemas import KEY, RANKED, SUMMARY
 from strikelens.sources import csv_files, topics
 from strikelens.streaming import jobs
@@ -495,3 +496,40 @@ def test_a_tick_of_several_files_is_one_batch(spark, folder):
     os.makedirs(topic)
     query = drain_ticks(Replay(spark, source), topic, jobs.append_rows(topics.topic_source(spark, topic), target, folder()))
     assert query.lastProgress["batchId"] == 1 and spark.read.parquet(target).count() == 40
+
+
+def test_offered_records_are_written_once_and_not_shuffled(spark, incidents):
+    clean, _, _ = incidents
+    dated = clean.withColumn("at", F.timestamp_seconds(F.unix_date(F.make_date("year", "month", "day")) * 86_400))
+    raw = topics.to_envelopes(dated, at="at")
+    next_shuffle = spark.sparkContext._jsc.sc().newShuffleId
+    before = next_shuffle()
+    offer = catalogue._Offer.of(raw, "730 days", "raw-topic")
+    assert next_shuffle() == before + 1
+    assert len(offer.replay.waiting()) == offer.replay.offer(offer.topic, 99) >= 3
+    written = glob.glob(f"{offer.topic}/*.parquet")
+    assert {pq.ParquetFile(path).metadata.row_group(0).column(1).compression for path in written} == {"ZSTD"}
+    texts = ["key", "value", "timestamp"]
+    assert rows(topics.read_topic(spark, offer.topic).select(texts)) == rows(raw.select(texts)) != []
+
+
+def test_more_ticks_than_open_files(spark, folder):
+    n = OPEN_FILES * 3
+    values = timed(spark, [(f"k{i}", i, i % n * 100) for i in range(n * 4)] + [("none", -1, None)]).repartition(2)
+    topic = folder()
+    replay = Replay.by_time(topics.to_envelopes(values, K, "n", "at"), "100 seconds", gathered=False)
+    assert replay.offer(topic, n + 1) == n
+    read = topics.grouped_counts(topics.read_topic(spark, topic).withColumn("file", F.input_file_name()), K, "at")
+    assert sorted(r.amount for r in read.collect()) == list(range(n * 4))
+    assert read.groupBy("file").agg(F.countDistinct("at").alias("n")).filter("n != 1").count() == 0
+
+
+def test_what_the_scan_of_a_preparation_shuffled_is_gone(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    first = spark.sparkContext._jsc.sc().newShuffleId() + 1
+    prepared = batch.prepare(details_of(spark, SMALL))
+    left = lambda: [f for at in folders for f in glob.glob(f"{at}/*/shuffle_{first}_*")]
+    until = time.time() + 10
+    while left() and time.time() < until:
+        time.sleep(0.1)
+    assert left() == [] and prepared.pairs.count() > 0
